@@ -120,7 +120,9 @@ def with_running_total(
     return (
         placed.withColumn("_within", F.coalesce(F.sum(weight).over(within), F.lit(0)))
         .join(F.broadcast(_offsets(sizes)), "_part")
-        .withColumn(before, F.col("_offset") + F.col("_within"))
-        .withColumn(total, F.col("_total"))
-        .drop("_part", "_slot", "_offset", "_total", "_within")
+        .select(
+            *df.columns,
+            (F.col("_offset") + F.col("_within")).alias(before),
+            F.col("_total").alias(total),
+        )
     )

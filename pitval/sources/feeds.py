@@ -208,26 +208,22 @@ def union_outcomes(bat: DataFrame, pitch: DataFrame, as_of: dt.date | None = Non
 # ---- season features ------------------------------------------------------------
 
 
-def clean_season(
-    raw: DataFrame, columns: Mapping[str, str], volume: str, period: int, role: str
-) -> DataFrame:
-    """Top-level rows of one season and role, one per entity.
+def clean_season(raw: DataFrame, columns: Mapping[str, str], volume: str, role: str) -> DataFrame:
+    """Top-level rows of one role, one per entity and ``period``.
 
     An entity that changed groups has several rows; the one with the most volume stays,
-    ties settled by group code and games.
+    ties settled by the remaining columns. ``raw`` may hold any number of periods.
     """
     top = raw.filter(F.coalesce("Lev", F.lit("")).startswith(C.MAJOR_LEAGUE_PREFIX))
-    named = top.withColumnsRenamed(dict(columns)).withColumn(
-        "entity_id", to_id(F.col("entity_id").cast("string"))
-    )
-    numbered = named.filter("entity_id is not null").withColumns(
-        {"period": F.lit(period), "role": F.lit(role)}
+    named = top.withColumnsRenamed(dict(columns)).withColumns(
+        {"entity_id": to_id(F.col("entity_id").cast("string")), "role": F.lit(role)}
     )
-    kept = fit_schema(numbered, schemas.FEATURES)
-    ties = [F.col(c) for c in kept.columns if c not in ("entity_id", volume, "period", "role")]
+    kept = fit_schema(named.filter("entity_id is not null"), schemas.FEATURES)
+    keys = ["entity_id", "period"]
+    ties = [F.col(c) for c in kept.columns if c not in (*keys, volume, "role")]
     if volume not in kept.columns:
-        return first_per_key(kept, ["entity_id"], ties)
-    return highest_volume(kept, ["entity_id"], volume, ties)
+        return first_per_key(kept, keys, ties)
+    return highest_volume(kept, keys, volume, ties)
 
 
 def union_seasons(frames: Sequence[DataFrame], as_of: dt.date) -> DataFrame:
@@ -240,17 +236,22 @@ def load_seasons(
     spark: SparkSession, paths: Mapping[tuple[int, str], str], as_of: dt.date
 ) -> DataFrame | None:
     """CSV files per (period, role). A missing file is logged, and the pitch half of a
-    period is read only if its bat half was there."""
-    frames: list[DataFrame] = []
+    period is read only if its bat half was there. Files of one role are cleaned together."""
+    raw: dict[str, list[DataFrame]] = {C.ROLE_BAT: [], C.ROLE_PITCH: []}
     for period in sorted({p for p, _ in paths}):
-        for role, columns, volume in (
-            (C.ROLE_BAT, C.SEASON_BAT_COLUMNS, "pa"),
-            (C.ROLE_PITCH, C.SEASON_PITCH_COLUMNS, "ip"),
-        ):
+        for role in raw:
             try:
-                raw = read_csv(spark, paths[period, role])
+                found = read_csv(spark, paths[period, role])
             except (AnalysisException, KeyError) as error:
                 log.error("giving up on %s %s: %s", period, role, error)
                 break
-            frames.append(clean_season(raw, columns, volume, period, role))
-    return union_seasons(frames, as_of) if frames else None
+            raw[role].append(found.withColumn("period", F.lit(period)))
+    cleaned = [
+        clean_season(union_all(raw[role]), columns, volume, role)
+        for role, columns, volume in (
+            (C.ROLE_BAT, C.SEASON_BAT_COLUMNS, "pa"),
+            (C.ROLE_PITCH, C.SEASON_PITCH_COLUMNS, "ip"),
+        )
+        if raw[role]
+    ]
+    return union_seasons(cleaned, as_of) if cleaned else None
