@@ -1,14 +1,14 @@
 """Token-set similarity of two normalized names, on a 0-100 scale.
 
 Words are compared as sets. With ``S`` the shared words and ``A``, ``B`` the words only
-one side has (each joined by single spaces), the score is the best of
+one side has (each sorted and joined by single blanks), the score is the best of
 
 * 100 when a word is shared and one side has nothing else,
 * the insert/delete similarity of ``"S A"`` and ``"S B"``,
 * when ``S`` is not empty, the similarity of ``S`` alone to ``"S A"`` and to ``"S B"``.
 
-Only the longest common subsequence inside the second leg needs Python; it is one Arrow
-batch function. Everything else, and every test that avoids calling it, is a Column.
+The longest common subsequence has no built-in expression, so pairs are scored in Arrow
+batches. Callers narrow the pairs with built-in expressions first.
 """
 
 from __future__ import annotations
@@ -17,14 +17,10 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pitval.functions.text import name_tokens
-
-# Ship the helper with the task, so that executors need no copy of this package.
+# Ship the helpers with the task, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -43,62 +39,30 @@ def lcs_length(left: str, right: str) -> int:
     return len(left) - state.bit_count()
 
 
-@pandas_udf(T.IntegerType())
-def lcs_udf(left: pd.Series, right: pd.Series) -> pd.Series:
-    """``lcs_length`` over Arrow batches; null in, null out."""
-    return pd.Series(
-        [
-            None if a is None or b is None else lcs_length(a, b)
-            for a, b in zip(left, right, strict=True)
-        ],
-        dtype="Int32",
-    )
-
-
-def similarity_parts(left: Column, right: Column) -> dict[str, Column]:
-    """Shared and one-sided words of two names, as joined strings and lengths."""
-    a, b = name_tokens(left), name_tokens(right)
-    shared = F.concat_ws(" ", F.array_intersect(a, b))
-    only_a = F.concat_ws(" ", F.array_except(a, b))
-    only_b = F.concat_ws(" ", F.array_except(b, a))
-    return {"shared": shared, "only_a": only_a, "only_b": only_b}
-
-
-def _gap(shared: Column) -> Column:
-    return F.when(F.length(shared) > 0, 1).otherwise(0)
-
-
-def joined_length(shared: Column, only: Column) -> Column:
-    """Length of ``"S X"``: a separator counts only when ``S`` is not empty."""
-    return F.length(shared) + _gap(shared) + F.length(only)
-
-
-def _ratio(distance: Column, total: Column) -> Column:
-    return F.lit(100.0) - 100.0 * distance / total
-
-
-def shared_word_score(shared: Column, only_a: Column, only_b: Column) -> Column:
-    """Best score that needs no character comparison; 0 when no word is shared."""
-    s, a, b = F.length(shared), F.length(only_a), F.length(only_b)
-    subset = F.when((a == 0) | (b == 0), F.lit(100.0))
-    leg_a = _ratio(a + 1, 2 * s + 1 + a)
-    leg_b = _ratio(b + 1, 2 * s + 1 + b)
-    return F.when(s > 0, F.coalesce(subset, F.greatest(leg_a, leg_b))).otherwise(F.lit(0.0))
-
-
-def edit_score(shared: Column, only_a: Column, only_b: Column, common: Column) -> Column:
-    """Insert/delete similarity of ``"S A"`` and ``"S B"`` given ``LCS(A, B)``."""
-    total = joined_length(shared, only_a) + joined_length(shared, only_b)
-    distance = F.length(only_a) + F.length(only_b) - 2 * common
-    return F.when(total > 0, _ratio(distance, total)).otherwise(F.lit(0.0))
-
-
-def token_set_ratio(left: Column, right: Column) -> Column:
-    """The full score. Blank against anything is 0."""
-    p = similarity_parts(left, right)
-    words = shared_word_score(**p)
-    settled = words == 100.0
-    common = lcs_udf(F.when(~settled, p["only_a"]), F.when(~settled, p["only_b"]))
-    edits = edit_score(**p, common=common)
-    blank = (F.coalesce(F.length(left), F.lit(0)) == 0) | (F.coalesce(F.length(right), F.lit(0)) == 0)
-    return F.when(blank, F.lit(0.0)).when(settled, words).otherwise(F.greatest(words, edits))
+def _ratio(distance: int, total: int) -> float:
+    return 100.0 - 100.0 * distance / total
+
+
+def token_set_score(left: str | None, right: str | None) -> float:
+    """The score of one pair. A blank or missing name scores 0 against anything."""
+    words_l, words_r = set((left or "").split()), set((right or "").split())
+    if not words_l or not words_r:
+        return 0.0
+    shared = len(" ".join(words_l & words_r))
+    only_l = " ".join(sorted(words_l - words_r))
+    only_r = " ".join(sorted(words_r - words_l))
+    if shared and (not only_l or not only_r):
+        return 100.0
+    a, b = len(only_l), len(only_r)
+    gap = 1 if shared else 0
+    edits = a + b - 2 * lcs_length(only_l, only_r)
+    best = _ratio(edits, 2 * (shared + gap) + a + b)
+    if shared:
+        best = max(best, _ratio(1 + a, 2 * shared + 1 + a), _ratio(1 + b, 2 * shared + 1 + b))
+    return best
+
+
+@pandas_udf(T.DoubleType())
+def token_set_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    """``token_set_score`` over Arrow batches."""
+    return pd.Series([token_set_score(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")

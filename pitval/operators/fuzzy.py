@@ -2,11 +2,11 @@
 
 A score of at least ``t`` can only come from two places, and each has its own index.
 
-*Shared words.* The legs that need a shared word reach ``t`` only if the shared words make
-up at least ``t / (200 - t)`` of one side's joined length. Order that side's words with
-the rare ones first: the shortest leading run that weighs more than the rest may miss must
-contain a shared word. So only those leading words of one side are looked up among all
-words of the other, in both directions.
+*Shared words.* The legs that need a shared word reach ``t`` only if the words one side
+shares make up at least ``t / (200 - t)`` of its joined length. A word longer than the
+part that may be missing is therefore shared for certain, and the rarest such word is the
+only one looked up. A side with no such word is looked up by its rare words, as many as
+outweigh the part that may be missing. Both directions are searched.
 
 *Few edits.* Pad every word with two blanks and cut it into trigrams; a name of length
 ``l`` and ``w`` words has ``l + w + 1`` of them. Every inserted or deleted character
@@ -14,11 +14,16 @@ spoils at most two trigrams of the longest common subsequence, so two names of t
 length ``L`` within ``d`` edits share at least ``L/2 + 2 - 5d/2``. With the rare trigrams
 first, the leading ``(l + w + 1) - needed + 1`` trigrams of both names must meet.
 
+Before a pair leaves its join, fixed-width signatures reject it in generated code. Words
+hash to bits, so the bits one side lacks bound the number of words it misses. Bigrams flip
+bits, and an edit changes at most three bigrams, so two names within ``d`` edits differ in
+at most ``3d`` bits. Both tests only ever let too much through.
+
 "Rare first" needs frequencies only of common words and trigrams. Those holding at least
-one part in ``1 / HOT_SHARE`` of all entries are counted; there can be at most
-``1 / HOT_SHARE`` of them, which bounds the one table that is broadcast here. The same
-counts spread a common entry over salts, so no task receives a whole common word.
-Equal names are scored once: both sides are reduced to distinct names first.
+``HOT_SHARE`` of all entries are counted; there can be at most ``1 / HOT_SHARE`` of them,
+which bounds the one table that is broadcast here. The same counts spread a common entry
+over salts, so no task receives a whole common word. Equal names are scored once: both
+sides are reduced to distinct names first.
 """
 
 from __future__ import annotations
@@ -27,11 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
-from pitval.functions import similarity as sim
+from pitval.functions.similarity import token_set_ratio
 from pitval.functions.text import name_tokens
 from pitval.session import materialize
 
 HOT_SHARE = 1e-3
+LANES = 4  # 64-bit words of the bigram signature
 LOWEST_THRESHOLD = 80  # below it the trigram bound is no longer positive for every length
 _SLACK = 1e-6
 
@@ -62,17 +68,53 @@ def least_needed(length: Column, threshold: float) -> Column:
     return F.greatest(F.ceil(total * slope + 2 - _SLACK), F.lit(1))
 
 
-def trigrams(norm: Column) -> Column:
-    """Distinct trigrams of every word padded with two blanks on each side."""
-    pads = F.lit("  ")
+def padded_grams(words: Column, size: int) -> Column:
+    """All grams of every word padded with ``size - 1`` blanks on each side, with repeats."""
+    pads = F.lit(" " * (size - 1))
 
     def cut(word: Column) -> Column:
         padded = F.concat(pads, word, pads)
         return F.transform(
-            F.sequence(F.lit(1), F.length(word) + 2), lambda i: F.substring(padded, i, F.lit(3))
+            F.sequence(F.lit(1), F.length(word) + size - 1),
+            lambda i: F.substring(padded, i, F.lit(size)),
         )
 
-    return F.array_distinct(F.flatten(F.transform(name_tokens(norm), cut)))
+    return F.flatten(F.transform(words, cut))
+
+
+def _bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+
+
+def _parity(grams: Column, lane: int) -> Column:
+    """64 bits of the bigram signature: a bigram flips one bit of one lane."""
+    hashes = F.transform(grams, lambda g: F.xxhash64(g))
+    mine = F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 8), F.lit(LANES)) == lane)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(_bit(h)))
+
+
+def with_signatures(names: DataFrame) -> DataFrame:
+    """Distinct names with their words, joined length, word bits and bigram bits."""
+    words = names.select("norm", name_tokens(F.col("norm")).alias("words"))
+    bigrams = padded_grams(F.col("words"), 2)
+    word_bits = F.aggregate(
+        "words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseOR(_bit(F.xxhash64(w)))
+    )
+    return words.withColumns(
+        {
+            "len": F.length(F.concat_ws(" ", "words")),
+            "bits": word_bits,
+            **{f"sig{i}": _parity(bigrams, i) for i in range(LANES)},
+        }
+    )
+
+
+SIGNATURES = ["len", "bits", *[f"sig{i}" for i in range(LANES)]]
+
+
+def _side(df: DataFrame, name: str, *more: str) -> DataFrame:
+    """Columns of one side of a pair under the side's prefix, next to ``entry``."""
+    return df.select(*[F.col(c).alias(f"{name}_{c}") for c in ("norm", *more)], "entry")
 
 
 def hot_entries(entries: DataFrame, share: float = HOT_SHARE) -> DataFrame:
@@ -86,106 +128,117 @@ def hot_entries(entries: DataFrame, share: float = HOT_SHARE) -> DataFrame:
     return materialize(hot.coalesce(1), "hot-entries")
 
 
-def _leading(entries: DataFrame, hot: DataFrame, keep: Column) -> DataFrame:
-    """Per name its entries, rare first, cut to the leading part chosen by ``keep``.
-
-    ``keep`` is a Column over ``_sorted`` (structs freq, entry) and the columns of the
-    name. A name has few entries, so the array is short.
-    """
+def _rare_first(entries: DataFrame, hot: DataFrame, keep: list[str]) -> DataFrame:
+    """Per name its entries as one array, rare first. A name has few, so it is short."""
     ranked = entries.join(F.broadcast(hot.select("entry", "freq")), "entry", "left")
-    grouped = ranked.groupBy("norm").agg(
-        F.array_sort(
-            F.collect_set(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "entry"))
-        ).alias("_sorted")
+    return ranked.groupBy("norm", *keep).agg(
+        F.transform(
+            F.array_sort(
+                F.collect_set(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "entry"))
+            ),
+            lambda s: s["entry"],
+        ).alias("ordered")
     )
-    return grouped.select("norm", F.transform(keep, lambda s: s["entry"]).alias("lead"))
 
 
-def _salted(left: DataFrame, right: DataFrame, hot: DataFrame) -> DataFrame:
-    """Join two posting lists on ``entry``; the right list of a hot entry is spread over
-    its salts and the left one repeated."""
+def _meet(
+    left: DataFrame, right: DataFrame, hot: DataFrame, close: Column, once: Column
+) -> DataFrame:
+    """Pairs of names whose posting lists meet in ``entry`` and pass both tests. The right
+    list of a hot entry is spread over its salts and the left one repeated.
+
+    ``close`` is cheap and rejects nearly everything; ``once`` works on arrays. The CASE
+    keeps the optimizer from testing ``once`` first.
+    """
     small = F.broadcast(hot.select("entry", "salts"))
     every = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     spread = F.pmod(F.xxhash64("right_norm"), F.coalesce("salts", F.lit(1)))
     left = left.join(small, "entry", "left").withColumn("salt", F.explode(every)).drop("salts")
-    right = right.join(small, "entry", "left").withColumn("salt", spread.cast("int")).drop("salts")
-    return left.join(right, ["entry", "salt"])
-
-
-def _words(names: DataFrame) -> DataFrame:
-    return names.select("norm", F.explode(name_tokens(F.col("norm"))).alias("entry"))
+    right = (
+        right.join(small, "entry", "left")
+        .withColumn("salt", spread.cast("int"))
+        .drop("salts")
+        .withColumnsRenamed({"entry": "_entry", "salt": "_salt"})
+    )
+    same = (F.col("entry") == F.col("_entry")) & (F.col("salt") == F.col("_salt"))
+    passed = F.when(close, once).otherwise(F.lit(False))
+    return left.join(right, same & passed).select("left_norm", "right_norm")
 
 
 def _word_candidates(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose shared words could be enough, from leading words of either side."""
-    query_words, name_words = _words(queries), _words(names)
-    hot = hot_entries(query_words.unionByName(name_words))
-    may_miss = 1 - threshold / (200.0 - threshold)
-
-    # A word may be outside the leading run only if the run already outweighs the part of
-    # the joined length that may be unshared. A missing word costs its length plus the blank.
-    def leading_words(words: DataFrame) -> DataFrame:
-        sized = F.transform(
-            "_sorted",
-            lambda s, i: F.struct(
-                s["entry"].alias("entry"),
-                F.aggregate(
-                    F.slice("_sorted", 1, i), F.lit(0), lambda acc, e: acc + F.length(e["entry"]) + 1
-                ).alias("before"),
-            ),
+    """Pairs whose shared words could be enough, searched from either side."""
+
+    def entries(side: DataFrame) -> DataFrame:
+        return side.select("norm", *SIGNATURES, F.explode("words").alias("entry"))
+
+    words = {"left": entries(queries), "right": entries(names)}
+    hot = hot_entries(words["left"].select("entry").unionByName(words["right"].select("entry")))
+    # A missing word costs its length and the blank before it.
+    spare = F.col("len") * (1 - threshold / (200.0 - threshold)) + _SLACK
+
+    def cost(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0), lambda acc, w: acc + F.length(w) + 1)
+
+    def lookups(side: DataFrame) -> DataFrame:
+        ordered = _rare_first(side, hot, SIGNATURES)
+        certain = F.filter("ordered", lambda w: F.length(w) + 1 > spare)
+        run = F.filter("ordered", lambda w, i: cost(F.slice("ordered", 1, i)) <= spare)
+        lead = F.when(F.size(certain) > 0, F.slice(certain, 1, 1)).otherwise(run)
+        cheapest = F.array_sort(F.transform("ordered", lambda w: F.length(w) + 1))
+        may_miss = F.size(
+            F.filter(
+                cheapest,
+                lambda c, i: F.aggregate(F.slice(cheapest, 1, i + 1), F.lit(0), lambda a, x: a + x)
+                <= spare,
+            )
         )
-        whole = F.aggregate(
-            "_sorted", F.lit(-1), lambda acc, e: acc + F.length(e["entry"]) + 1
+        return ordered.select(
+            "norm", "bits", may_miss.alias("may_miss"), lead.alias("lead"), F.explode(lead).alias("entry")
         )
-        kept = F.filter(sized, lambda s: s["before"] <= whole * may_miss + _SLACK)
-        return _leading(words, hot, kept)
 
     found = []
-    for lead_side in ("left", "right"):
-        lead_words, all_words = (
-            (query_words, name_words) if lead_side == "left" else (name_words, query_words)
-        )
-        other_side = "right" if lead_side == "left" else "left"
-        lead = leading_words(lead_words).select(
-            F.col("norm").alias(f"{lead_side}_norm"), "lead", F.explode("lead").alias("entry")
-        )
-        full = all_words.withColumnRenamed("norm", f"{other_side}_norm")
-        left, right = (lead, full) if lead_side == "left" else (full, lead)
-        matched = _salted(left, right, hot)
-        # Emit a pair at its first shared leading word only, so it is not repeated.
-        shared = F.array_intersect("lead", name_tokens(F.col(f"{other_side}_norm")))
-        found.append(
-            matched.filter(F.element_at(shared, 1) == F.col("entry")).select("left_norm", "right_norm")
-        )
+    for asking, answering in (("left", "right"), ("right", "left")):
+        sides = {
+            asking: _side(lookups(words[asking]), asking, "bits", "may_miss", "lead"),
+            answering: _side(words[answering], answering, "bits"),
+        }
+        lacking = F.col(f"{asking}_bits").bitwiseAND(F.bitwise_not(F.col(f"{answering}_bits")))
+        close = F.bit_count(lacking) <= F.col(f"{asking}_may_miss")
+        # Keep a pair at its first shared looked-up word only, so it is not repeated.
+        shared = F.array_intersect(f"{asking}_lead", F.split(f"{answering}_norm", " "))
+        once = F.element_at(shared, 1) == F.col("entry")
+        found.append(_meet(sides["left"], sides["right"], hot, close, once))
     return found[0].unionByName(found[1])
 
 
 def _edit_candidates(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose leading trigrams meet and whose lengths allow the threshold."""
-
-    def grams(side: DataFrame) -> DataFrame:
-        return side.select("norm", F.explode(trigrams(F.col("norm"))).alias("entry"))
-
-    query_grams, name_grams = grams(queries), grams(names)
-    hot = hot_entries(query_grams.unionByName(name_grams))
-    joined = F.length(F.concat_ws(" ", name_tokens(F.col("norm"))))
-    all_grams = joined + F.size(name_tokens(F.col("norm"))) + 1
-    run = F.greatest(all_grams - least_needed(joined, threshold) + 1, F.lit(1)).cast("int")
-
-    def postings(side: DataFrame, name: str) -> DataFrame:
-        lead = _leading(side, hot, F.slice("_sorted", F.lit(1), run))
-        return lead.select(
-            F.col("norm").alias(f"{name}_norm"),
-            joined.alias(f"{name}_len"),
-            F.col("lead").alias(f"{name}_lead"),
-            F.explode("lead").alias("entry"),
+    """Pairs whose leading trigrams meet and whose lengths and bigram bits allow the threshold."""
+
+    def entries(side: DataFrame) -> DataFrame:
+        return side.select(
+            "norm", *SIGNATURES, F.size("words").alias("n_words"),
+            F.explode(F.array_distinct(padded_grams(F.col("words"), 3))).alias("entry"),
         )
 
-    matched = _salted(postings(query_grams, "left"), postings(name_grams, "right"), hot)
+    grams = {"left": entries(queries), "right": entries(names)}
+    hot = hot_entries(grams["left"].select("entry").unionByName(grams["right"].select("entry")))
+    all_grams = F.col("len") + F.col("n_words") + 1
+    run = F.greatest(all_grams - least_needed(F.col("len"), threshold) + 1, F.lit(1)).cast("int")
+    kept = ["len", *[f"sig{i}" for i in range(LANES)]]
+
+    def postings(name: str) -> DataFrame:
+        ordered = _rare_first(grams[name], hot, [*SIGNATURES, "n_words"])
+        lead = ordered.select("norm", *kept, F.slice("ordered", F.lit(1), run).alias("lead"))
+        return _side(lead.withColumn("entry", F.explode("lead")), name, *kept, "lead")
+
     total = F.col("left_len") + F.col("right_len")
-    close = F.abs(F.col("left_len") - F.col("right_len")) <= max_edits(total, threshold)
-    first = F.element_at(F.array_intersect("left_lead", "right_lead"), 1) == F.col("entry")
-    return matched.filter(close & first).select("left_norm", "right_norm")
+    edits = max_edits(total, threshold)
+    flipped = F.lit(0)
+    for i in range(LANES):
+        flipped = flipped + F.bit_count(F.col(f"left_sig{i}").bitwiseXOR(F.col(f"right_sig{i}")))
+    close = (F.abs(F.col("left_len") - F.col("right_len")) <= edits) & (flipped <= 3 * edits)
+    once = F.element_at(F.array_intersect("left_lead", "right_lead"), 1) == F.col("entry")
+    return _meet(postings("left"), postings("right"), hot, close, once)
 
 
 def fuzzy_pairs(
@@ -198,35 +251,13 @@ def fuzzy_pairs(
     """
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"the edit index is exact only from a threshold of {LOWEST_THRESHOLD}")
-    by_word = _word_candidates(queries, names, threshold)
-    by_edit = _edit_candidates(queries, names, threshold)
-    left, right = F.col("left_norm"), F.col("right_norm")
-    parts = {name: F.col(name) for name in ("shared", "only_a", "only_b")}
-
-    def split(pairs: DataFrame) -> DataFrame:
-        return pairs.withColumns(sim.similarity_parts(left, right))
-
-    words = split(by_word).select("left_norm", "right_norm", sim.shared_word_score(**parts).alias("score"))
-
-    # The edit leg: drop what a shared word settles at 100, then what a cheap lower bound
-    # of the edit distance rules out, and only then run the subsequence function.
-    total = sim.joined_length(parts["shared"], parts["only_a"]) + sim.joined_length(
-        parts["shared"], parts["only_b"]
-    )
-    open_pairs = (
-        split(by_edit)
-        .filter(sim.shared_word_score(**parts) < 100.0)
-        .filter(F.levenshtein("only_a", "only_b") <= max_edits(total, threshold))
-        .withColumn("common", sim.lcs_udf("only_a", "only_b"))
-    )
-    edits = open_pairs.select(
-        "left_norm",
-        "right_norm",
-        F.greatest(
-            sim.shared_word_score(**parts), sim.edit_score(**parts, common=F.col("common"))
-        ).alias("score"),
+    queries, names = with_signatures(queries), with_signatures(names)
+    candidates = _word_candidates(queries, names, threshold).unionByName(
+        _edit_candidates(queries, names, threshold)
     )
-    return words.unionByName(edits).filter(F.col("score") >= threshold)
+    return candidates.withColumn(
+        "score", token_set_ratio(F.col("left_norm"), F.col("right_norm"))
+    ).filter(F.col("score") >= threshold)
 
 
 def best_fuzzy(

@@ -28,7 +28,7 @@ from pitval.operators.skew import with_position
 
 PAIR_FIELDS = ["entity_id", "group_code", "name", "primary_pos", "surplus_value"]
 PAIR_COLUMNS = [f"{c}_a" for c in PAIR_FIELDS] + [f"{c}_b" for c in PAIR_FIELDS] + ["surplus_gap"]
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 4_096
 
 
 def _differs(left: Column, right: Column) -> Column:
