@@ -12,19 +12,24 @@ before ``(i, j)``. Hence a pair among the best ``n`` has fewer than ``n`` rows b
 ends: every row needs only its next ``n`` neighbours, however many values are equal. The
 same argument holds when exactly one side must belong to a given group.
 
-Work is ``rows x codes x n``. Rows are placed by their position in the global order and
+Two passes keep the work small. Pairs of direct neighbours give an upper bound on the
+``n``-th gap, and a row farther than that from both neighbours is dropped, since no pair
+within the bound contains or spans it. The rest look at their next ``n``. Rows are placed by their position in the global order and
 cut into blocks of equal size, each repeating the first ``n`` rows of the next, so neither
 a common code nor a common value makes a large task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitval.functions.numeric import finite
 from pitval.functions.text import eligible_set
 from pitval.operators.skew import with_position
+from pitval.session import materialize
 
 PAIR_FIELDS = ["entity_id", "group_code", "name", "primary_pos", "surplus_value"]
 PAIR_COLUMNS = [f"{c}_a" for c in PAIR_FIELDS] + [f"{c}_b" for c in PAIR_FIELDS] + ["surplus_gap"]
@@ -40,6 +45,31 @@ def _one_side_in(group: str, left: Column, right: Column) -> Column:
     return F.coalesce(left == inside, F.lit(False)) != F.coalesce(right == inside, F.lit(False))
 
 
+def _gap() -> Column:
+    return F.col("_upper.surplus_value") - F.col("_lower.surplus_value")
+
+
+def _is_pair(group: str | None) -> Column:
+    """Whether the rows ``_lower`` and ``_upper`` form a pair, listed under their first
+    shared code only so that it counts once."""
+    lower, upper = F.col("_lower"), F.col("_upper")
+    first_shared = F.array_min(F.array_intersect(lower["codes"], upper["codes"]))
+    wanted = (
+        (lower["code"] == upper["code"])
+        & _differs(lower["group_code"], upper["group_code"])
+        & (first_shared == lower["code"])
+    )
+    if group is not None:
+        wanted = wanted & _one_side_in(group, lower["group_code"], upper["group_code"])
+    return wanted
+
+
+def _step(shift: Callable[[str], Column], window: WindowSpec) -> Column:
+    """Value distance to the neighbour in the same code list; null at the ends of a list."""
+    same = shift("code").over(window) == F.col("code")
+    return F.when(same, F.abs(shift("surplus_value").over(window) - F.col("surplus_value")))
+
+
 def closest_pairs(
     valuations: DataFrame,
     top_n: int = 20,
@@ -55,17 +85,23 @@ def closest_pairs(
     """
     if top_n < 1:
         raise ValueError("top_n must be at least 1")
-    slim = valuations.select(
-        "entity_id",
-        "group_code",
-        finite(F.col("surplus_value").cast("double")).alias("surplus_value"),
-        (
-            eligible_set(F.col("primary_pos"), F.col("other_pos"))
-            if require_fit
-            else F.array(F.lit("*"))
-        ).alias("codes"),
-    ).filter("surplus_value is not null")
-    listed = slim.withColumn("code", F.explode("codes"))
+    value = finite(F.col("surplus_value").cast("double"))
+    # Written once: the search and the two detail lookups below all read it.
+    base = materialize(
+        valuations.select(
+            *[c for c in PAIR_FIELDS if c != "surplus_value"],
+            value.alias("surplus_value"),
+            (
+                eligible_set(F.col("primary_pos"), F.col("other_pos"))
+                if require_fit
+                else F.array(F.lit("*"))
+            ).alias("codes"),
+        ).filter("surplus_value is not null"),
+        "valued",
+    )
+    listed = base.select(
+        "entity_id", "group_code", "surplus_value", "codes", F.explode("codes").alias("code")
+    )
     ordered = with_position(listed, ["code", "surplus_value", "entity_id"])
 
     size = max(block_rows, 4 * top_n)
@@ -73,32 +109,45 @@ def closest_pairs(
     repeats = (F.col("position") % size < top_n) & (block > 0)
     homes = F.when(repeats, F.array(block, block - 1)).otherwise(F.array(block))
     placed = ordered.withColumn("_block", block).withColumn("_home", F.explode(homes))
-
-    following = Window.partitionBy("_home").orderBy("position").rowsBetween(1, top_n)
+    in_block = Window.partitionBy("_home").orderBy("position")
     row = F.struct("code", "surplus_value", "entity_id", "group_code", "codes")
-    lower, upper = F.col("_lower"), F.col("_upper")
-    first_shared = F.array_min(F.array_intersect(lower["codes"], upper["codes"]))
-    wanted = (
-        (lower["code"] == upper["code"])
-        & _differs(lower["group_code"], upper["group_code"])
-        & (first_shared == lower["code"])
+    own = F.col("_block") == F.col("_home")
+
+    # Neighbouring rows already give pairs; the n-th smallest of their gaps bounds the answer.
+    neighbours = placed.select(
+        row.alias("_lower"), F.lead(row).over(in_block).alias("_upper"), "_block", "_home"
+    ).filter(own)
+    limit = (
+        neighbours.filter(_is_pair(group))
+        .select(_gap().alias("gap"))
+        .orderBy("gap")
+        .limit(top_n)
+        .agg(F.when(F.count(F.lit(1)) == top_n, F.max("gap")))
+        .scalar()
+    )
+    near = placed.withColumns(
+        {"_next": _step(F.lead, in_block), "_prev": _step(F.lag, in_block)}
+    ).filter(
+        F.coalesce(F.col("_next") <= limit, F.lit(True))
+        | F.coalesce(F.col("_prev") <= limit, F.lit(True))
     )
-    if group is not None:
-        wanted = wanted & _one_side_in(group, lower["group_code"], upper["group_code"])
-    gap = upper["surplus_value"] - lower["surplus_value"]
     best = (
-        placed.withColumn("_lower", row)
-        .withColumn("_ahead", F.collect_list(row).over(following))
-        .filter(F.col("_block") == F.col("_home"))
+        near.select(
+            row.alias("_lower"),
+            F.collect_list(row).over(in_block.rowsBetween(1, top_n)).alias("_ahead"),
+            "_block",
+            "_home",
+        )
+        .filter(own)
         .select("_lower", F.explode("_ahead").alias("_upper"))
-        .filter(wanted)
+        .filter(_is_pair(group))
         .select(
-            lower["entity_id"].alias("lower_id"),
-            upper["entity_id"].alias("upper_id"),
-            lower["surplus_value"].alias("lower_value"),
-            upper["surplus_value"].alias("upper_value"),
-            lower["group_code"].alias("lower_group"),
-            gap.alias("surplus_gap"),
+            F.col("_lower.entity_id").alias("lower_id"),
+            F.col("_upper.entity_id").alias("upper_id"),
+            F.col("_lower.surplus_value").alias("lower_value"),
+            F.col("_upper.surplus_value").alias("upper_value"),
+            F.col("_lower.group_code").alias("lower_group"),
+            _gap().alias("surplus_gap"),
         )
         .orderBy(
             F.col("surplus_gap").asc(),
@@ -118,19 +167,15 @@ def closest_pairs(
         F.when(lower_first, F.col("upper_id")).otherwise(F.col("lower_id")).alias("entity_id_b"),
         "surplus_gap",
     )
-    return _with_details(oriented, valuations)
+    return _with_details(oriented, base)
 
 
 def _with_details(pairs: DataFrame, valuations: DataFrame) -> DataFrame:
     """Descriptive columns for both sides. ``pairs`` holds at most ``top_n`` rows, so it is
     the side to broadcast."""
-    details = valuations.select(
-        *[c for c in PAIR_FIELDS if c != "surplus_value"],
-        F.col("surplus_value").cast("double").alias("surplus_value"),
-    )
 
     def side(suffix: str) -> DataFrame:
-        return details.select(*[F.col(c).alias(f"{c}_{suffix}") for c in PAIR_FIELDS])
+        return valuations.select(*[F.col(c).alias(f"{c}_{suffix}") for c in PAIR_FIELDS])
 
     half = side("a").join(F.broadcast(pairs), "entity_id_a")
     both = side("b").join(F.broadcast(half), "entity_id_b").select(*PAIR_COLUMNS)
