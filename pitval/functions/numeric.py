@@ -14,7 +14,7 @@ def to_number(text: Column) -> Column:
 
 def to_id(text: Column) -> Column:
     """Text such as ``12`` or ``12.0`` as a whole id; bad text becomes null."""
-    return finite(to_number(text)).cast("long")
+    return F.coalesce(text.try_cast("long"), finite(to_number(text)).try_cast("long"))
 
 
 def finite(value: Column) -> Column:

@@ -62,7 +62,9 @@ def _summary(rows: DataFrame, features: Sequence[str]) -> _Summary:
     label: one aggregation, one row."""
     aggregates = [F.count(F.lit(1)).alias("n"), F.stddev_pop("_y").alias("s")]
     for i, c in enumerate(features):
-        aggregates += [F.count(f"_x_{c}").alias(f"c{i}"), F.corr(f"_x_{c}", "_y").alias(f"r{i}")]
+        spread = F.stddev_pop(f"_x_{c}") * F.stddev_pop("_y")
+        related = F.try_divide(F.covar_pop(f"_x_{c}", "_y"), spread)
+        aggregates += [F.count(f"_x_{c}").alias(f"c{i}"), related.alias(f"r{i}")]
     row = rows.agg(*aggregates).first()
     used = [i for i in range(len(features)) if row[f"c{i}"] > 0]
     correlations = [abs(row[f"r{i}"] or 0.0) for i in used]

@@ -24,21 +24,29 @@ from pitval.operators.dedupe import first_per_key, highest_volume
 log = logging.getLogger("pitval.feeds")
 
 
-def typed(column: Column, kind: T.DataType) -> Column:
-    """Text or number as ``kind``; bad text becomes null. Whole numbers may be written
-    with a decimal point, which a direct cast would refuse."""
-    if isinstance(kind, (T.IntegerType, T.LongType)):
-        return finite(to_number(column)).try_cast(kind)
+def typed(column: Column, kind: T.DataType, source: T.DataType | None = None) -> Column:
+    """The column as ``kind``; bad text becomes null. Whole numbers in text or floating
+    point may carry a decimal point; whole-number columns are never passed through a
+    double, which would round large ids."""
+    if source == kind:
+        return column
+    whole = (T.IntegerType, T.LongType)
+    if isinstance(kind, whole) and not isinstance(source, (*whole, T.ShortType, T.ByteType)):
+        rounded_off = finite(to_number(column)).try_cast(kind)
+        if isinstance(source, (T.DoubleType, T.FloatType)):
+            return rounded_off
+        return F.coalesce(column.try_cast(kind), rounded_off)
     return column.try_cast(kind)
 
 
 def fit_schema(df: DataFrame, schema: T.StructType, fill: bool = False) -> DataFrame:
     """Only declared columns, in declared order and type; absent ones dropped or null."""
-    have = set(df.columns)
+    have = {field.name: field.dataType for field in df.schema.fields}
     out = []
     for field in schema.fields:
         if field.name in have:
-            out.append(typed(F.col(field.name), field.dataType).alias(field.name))
+            column = typed(F.col(field.name), field.dataType, have[field.name])
+            out.append(column.alias(field.name))
         elif fill:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
     return df.select(*out)
