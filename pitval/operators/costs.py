@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
+from types import MappingProxyType
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,31 +58,29 @@ def with_surplus(
     rows: DataFrame,
     costs: DataFrame,
     base_period: int,
-    value: str = "outcome_year1",
+    values: Mapping[str, str] = MappingProxyType({"surplus_value": "outcome_year1"}),
     age: str = "age",
-    out: str = "surplus_value",
     flag: str | None = "cost_estimated",
     horizon: int = C.HORIZON_YEARS,
     minimum_cost: float = C.MINIMUM_COST,
     value_per_unit: float = C.VALUE_PER_UNIT,
     discount_rate: float = C.DISCOUNT_RATE,
 ) -> DataFrame:
-    """Carry ``value`` over the horizon and subtract cost; rows without an age are left out.
+    """Carry values over the horizon and subtract cost; rows without an age are left out.
 
-    Costs are pivoted to one row per entity first, so the whole horizon needs a single
-    join and no aggregation above it. A missing or empty cost falls to the minimum and
-    sets ``flag``.
+    ``values`` maps each surplus column to the value column it starts from. Costs are
+    pivoted to one row per entity first, so the whole horizon needs a single join and no
+    aggregation above it. A missing or empty cost falls to the minimum and sets ``flag``.
     """
     joined = rows.filter(F.col(age).isNotNull()).join(
         horizon_costs(costs, base_period, horizon), "entity_id", "left"
     )
     found = [F.col(f"cost_{y}") for y in range(horizon)]
     filled = [F.coalesce(c, F.lit(float(minimum_cost))) for c in found]
-    path = value_path(F.col(value), F.col(age).cast("int"), horizon)
-    added = {out: surplus(path, filled, value_per_unit, discount_rate)}
+    added = {}
+    for out, value in values.items():
+        path = value_path(F.col(value), F.col(age).cast("int"), horizon)
+        added[out] = surplus(path, filled, value_per_unit, discount_rate)
     if flag:
-        estimated = F.lit(False)
-        for c in found:
-            estimated = estimated | c.isNull()
-        added[flag] = estimated
+        added[flag] = reduce(or_, [c.isNull() for c in found])
     return joined.withColumns(added).drop(*[f"cost_{y}" for y in range(horizon)])

@@ -251,7 +251,9 @@ def fuzzy_pairs(
     """
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"the edit index is exact only from a threshold of {LOWEST_THRESHOLD}")
-    queries, names = with_signatures(queries), with_signatures(names)
+    # Both name tables are read several times below, by both indexes and for the counts.
+    queries = materialize(with_signatures(queries), "query-names")
+    names = materialize(with_signatures(names), "known-names")
     candidates = _word_candidates(queries, names, threshold).unionByName(
         _edit_candidates(queries, names, threshold)
     )

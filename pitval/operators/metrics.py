@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitval.operators.skew import salted_join, with_running_total
+from pitval.operators.skew import frequent_keys, salted_join, with_running_total
+from pitval.session import materialize
 
 
 def regression_metrics(
@@ -40,14 +41,17 @@ def spearman(df: DataFrame, x: str, y: str, out: str = "rho") -> DataFrame:
     range-partitioned running totals rather than a one-task window, and a value shared by
     many points is spread by the salted join.
     """
-    points = (
+    points = materialize(
         df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
         .dropna()
         .groupBy("_x", "_y")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "points",
     )
-    ranked = salted_join(points, centred_ranks(points, "_x", "_rx"), ["_x"], "inner")
-    ranked = salted_join(ranked, centred_ranks(points, "_y", "_ry"), ["_y"], "inner")
+    ranked = points
+    for value, rank in (("_x", "_rx"), ("_y", "_ry")):
+        ranks = centred_ranks(points, value, rank)
+        ranked = salted_join(ranked, ranks, [value], "inner", hot=frequent_keys(points, [value]))
     n, rx, ry = F.col("_n"), F.col("_rx"), F.col("_ry")
     return ranked.agg(
         F.try_divide(

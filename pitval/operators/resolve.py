@@ -31,6 +31,7 @@ from pitval.functions.text import full_name, group_key, normalize_name, requeste
 from pitval.operators.dedupe import first_per_key
 from pitval.operators.fuzzy import best_fuzzy
 from pitval.operators.skew import salted_join
+from pitval.session import materialize
 
 NEEDS_FUZZY = "needs_fuzzy"
 
@@ -233,6 +234,7 @@ def resolve_mentions(
     )
     columns = ["norm", "grp", "method", "entity_id", "score", "candidate_count"]
     if fuzzy:
+        ladder = materialize(ladder, "ladder")
         open_keys = ladder.filter(F.col("method") == NEEDS_FUZZY).select("norm", "grp", "wanted")
         verdicts = (
             ladder.filter(F.col("method") != NEEDS_FUZZY)

@@ -34,17 +34,19 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     share: float = 1e-3,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of a possibly skewed left side to a right side with few rows per key.
 
     Rows of frequent left keys are spread over salts and the matching right rows are
     repeated per salt. The salt is a hash of the whole left row, so a re-run task places
-    its rows as the first run did.
+    its rows as the first run did. ``hot`` may give the result of ``frequent_keys`` if
+    it is known from a cheaper frame than ``left``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner joins, not {how}")
     salts = min(shuffle_width(left), MAX_SALTS)
-    hot = F.broadcast(frequent_keys(left, on, share))
+    hot = F.broadcast(frequent_keys(left, on, share) if hot is None else hot)
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     hashed_left = left.withColumn("_h", F.xxhash64(*on))
     hashed_right = right.withColumn("_h", F.xxhash64(*on))

@@ -190,10 +190,7 @@ def value_frame(
     """
     costs = costs_from_outcomes(outcomes)
     frame = rows.withColumn("age_at_target", F.col("age") + 1)
-    for out, value in scores.items():
-        frame = with_surplus(
-            frame, costs, target, value=value, age="age_at_target", out=out, flag=None
-        )
+    frame = with_surplus(frame, costs, target, scores, age="age_at_target", flag=None)
     frame = with_realized_value(frame, outcomes, target)
     kept = frame.join(dims.dropna(subset=["name", "group_code"]), "entity_id")
     return first_per_key(kept, ["entity_id"], [F.col(keep_by).desc_nulls_last(), F.col("role")])

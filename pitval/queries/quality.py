@@ -58,8 +58,9 @@ def metric_columns(y: str, p: str) -> str:
 )
 def naive_mean(v: Views) -> DataFrame:
     parts = []
+    both = materialize(same_period_rows(v), "rows")
     for role in (C.ROLE_BAT, C.ROLE_PITCH):
-        rows = same_period_rows(v).filter(F.col("role") == role)
+        rows = both.filter(F.col("role") == role)
         parts.append(ev.naive_mean(*ft.temporal_split(rows, "period", HOLDOUT)))
     return rounded(
         ev.union_all(parts).select("entity_id", "period", "role", "prediction"), 6, "prediction"
@@ -72,8 +73,9 @@ def naive_mean(v: Views) -> DataFrame:
 )
 def naive_last_period(v: Views) -> DataFrame:
     parts = []
+    both = materialize(same_period_rows(v), "rows")
     for role in (C.ROLE_BAT, C.ROLE_PITCH):
-        rows = same_period_rows(v).filter(F.col("role") == role)
+        rows = both.filter(F.col("role") == role)
         _, test = ft.temporal_split(rows, "period", HOLDOUT)
         parts.append(ev.naive_last_period(rows, test))
     return rounded(
@@ -102,7 +104,7 @@ def regression_metrics(v: Views) -> DataFrame:
     SELECT model, {metric_columns('y', 'p')} FROM guesses GROUP BY model""",
 )
 def evaluate_baselines(v: Views) -> DataFrame:
-    rows = same_period_rows(v)
+    rows = materialize(same_period_rows(v), "rows")
     scores = ev.union_all(
         [ev.evaluate_role(rows, role, [], HOLDOUT, fit=None) for role in (C.ROLE_BAT, C.ROLE_PITCH)]
     )
