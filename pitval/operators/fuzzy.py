@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pitval import constants as C
 from pitval.functions.similarity import token_set_ratio
 from pitval.functions.text import name_tokens
+from pitval.operators.skew import shuffle_width
 from pitval.session import materialize
 
 HOT_SHARE = 1e-3
@@ -141,14 +142,13 @@ def _rare_first(entries: DataFrame, hot: DataFrame, keep: list[str]) -> DataFram
     )
 
 
-def _meet(
-    left: DataFrame, right: DataFrame, hot: DataFrame, close: Column, once: Column
-) -> DataFrame:
-    """Pairs of names whose posting lists meet in ``entry`` and pass both tests. The right
+def _meet(left: DataFrame, right: DataFrame, hot: DataFrame, close: Column) -> DataFrame:
+    """Pairs of names whose posting lists meet in ``entry`` and that are ``close``. The right
     list of a hot entry is spread over its salts and the left one repeated.
 
-    ``close`` is cheap and rejects nearly everything; ``once`` works on arrays. The CASE
-    keeps the optimizer from testing ``once`` first.
+    Posting rows hold fixed-width signatures and the name only: the join runs over far more
+    pairs than it returns. The lists are small next to that work, so the partition count is
+    given rather than derived from their size.
     """
     small = F.broadcast(hot.select("entry", "salts"))
     every = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
@@ -161,8 +161,12 @@ def _meet(
         .withColumnsRenamed({"entry": "_entry", "salt": "_salt"})
     )
     same = (F.col("entry") == F.col("_entry")) & (F.col("salt") == F.col("_salt"))
-    passed = F.when(close, once).otherwise(F.lit(False))
-    return left.join(right, same & passed).select("left_norm", "right_norm")
+    width = shuffle_width(left)
+    return (
+        left.repartition(width, "entry", "salt")
+        .join(right.repartition(width, "_entry", "_salt"), same & close)
+        .select("left_norm", "right_norm")
+    )
 
 
 def _word_candidates(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
@@ -193,21 +197,18 @@ def _word_candidates(queries: DataFrame, names: DataFrame, threshold: float) ->
             )
         )
         return ordered.select(
-            "norm", "bits", may_miss.alias("may_miss"), lead.alias("lead"), F.explode(lead).alias("entry")
+            "norm", "bits", may_miss.alias("may_miss"), F.explode(lead).alias("entry")
         )
 
     found = []
     for asking, answering in (("left", "right"), ("right", "left")):
         sides = {
-            asking: _side(lookups(words[asking]), asking, "bits", "may_miss", "lead"),
+            asking: _side(lookups(words[asking]), asking, "bits", "may_miss"),
             answering: _side(words[answering], answering, "bits"),
         }
         lacking = F.col(f"{asking}_bits").bitwiseAND(F.bitwise_not(F.col(f"{answering}_bits")))
         close = F.bit_count(lacking) <= F.col(f"{asking}_may_miss")
-        # Keep a pair at its first shared looked-up word only, so it is not repeated.
-        shared = F.array_intersect(f"{asking}_lead", F.split(f"{answering}_norm", " "))
-        once = F.element_at(shared, 1) == F.col("entry")
-        found.append(_meet(sides["left"], sides["right"], hot, close, once))
+        found.append(_meet(sides["left"], sides["right"], hot, close))
     return found[0].unionByName(found[1])
 
 
@@ -224,21 +225,23 @@ def _edit_candidates(queries: DataFrame, names: DataFrame, threshold: float) ->
     hot = hot_entries(grams["left"].select("entry").unionByName(grams["right"].select("entry")))
     all_grams = F.col("len") + F.col("n_words") + 1
     run = F.greatest(all_grams - least_needed(F.col("len"), threshold) + 1, F.lit(1)).cast("int")
-    kept = ["len", *[f"sig{i}" for i in range(LANES)]]
+    sigs = [f"sig{i}" for i in range(LANES)]
+    # Each side's share of the allowed edits, so that a pair needs one addition.
+    part = F.col("len") * (1 - threshold / 100.0) + _SLACK
 
     def postings(name: str) -> DataFrame:
         ordered = _rare_first(grams[name], hot, [*SIGNATURES, "n_words"])
-        lead = ordered.select("norm", *kept, F.slice("ordered", F.lit(1), run).alias("lead"))
-        return _side(lead.withColumn("entry", F.explode("lead")), name, *kept, "lead")
+        lead = F.explode(F.slice("ordered", F.lit(1), run)).alias("entry")
+        rows = ordered.select("norm", "len", part.alias("edits"), *sigs, lead)
+        return _side(rows, name, "len", "edits", *sigs)
 
-    total = F.col("left_len") + F.col("right_len")
-    edits = max_edits(total, threshold)
-    flipped = F.lit(0)
-    for i in range(LANES):
-        flipped = flipped + F.bit_count(F.col(f"left_sig{i}").bitwiseXOR(F.col(f"right_sig{i}")))
-    close = (F.abs(F.col("left_len") - F.col("right_len")) <= edits) & (flipped <= 3 * edits)
-    once = F.element_at(F.array_intersect("left_lead", "right_lead"), 1) == F.col("entry")
-    return _meet(postings("left"), postings("right"), hot, close, once)
+    edits = F.floor(F.col("left_edits") + F.col("right_edits"))
+    flipped, close = F.lit(0), F.lit(True)
+    for sig in sigs:
+        flipped = flipped + F.bit_count(F.col(f"left_{sig}").bitwiseXOR(F.col(f"right_{sig}")))
+        close = close & (flipped <= 3 * edits)
+    close = close & (F.abs(F.col("left_len") - F.col("right_len")) <= edits)
+    return _meet(postings("left"), postings("right"), hot, close)
 
 
 def fuzzy_pairs(
@@ -246,8 +249,7 @@ def fuzzy_pairs(
 ) -> DataFrame:
     """Every (left_norm, right_norm, score) with score at or above the threshold.
 
-    Both inputs have one column ``norm`` with distinct, non-blank normalized names. A pair
-    found through both indexes appears twice.
+    Both inputs have one column ``norm`` with distinct, non-blank normalized names.
     """
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"the edit index is exact only from a threshold of {LOWEST_THRESHOLD}")
@@ -257,7 +259,7 @@ def fuzzy_pairs(
     candidates = _word_candidates(queries, names, threshold).unionByName(
         _edit_candidates(queries, names, threshold)
     )
-    return candidates.withColumn(
+    return candidates.distinct().withColumn(
         "score", token_set_ratio(F.col("left_norm"), F.col("right_norm"))
     ).filter(F.col("score") >= threshold)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitval.operators.skew import frequent_keys, salted_join, with_running_total
+from pitval.operators.skew import crowded_buckets, salted_join, with_running_total
 from pitval.session import materialize
 
 
@@ -51,7 +51,8 @@ def spearman(df: DataFrame, x: str, y: str, out: str = "rho") -> DataFrame:
     ranked = points
     for value, rank in (("_x", "_rx"), ("_y", "_ry")):
         ranks = centred_ranks(points, value, rank)
-        ranked = salted_join(ranked, ranks, [value], "inner", hot=frequent_keys(points, [value]))
+        crowded = crowded_buckets(points, [value])
+        ranked = salted_join(ranked, ranks, [value], "inner", crowded=crowded)
     n, rx, ry = F.col("_n"), F.col("_rx"), F.col("_ry")
     return ranked.agg(
         F.try_divide(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pitval.functions.numeric import finite
 from pitval.functions.text import eligible_set
-from pitval.operators.skew import with_position
+from pitval.operators.skew import shuffle_width, with_position
 from pitval.session import materialize
 
 PAIR_FIELDS = ["entity_id", "group_code", "name", "primary_pos", "surplus_value"]
@@ -108,7 +108,12 @@ def closest_pairs(
     block = F.floor(F.col("position") / size)
     repeats = (F.col("position") % size < top_n) & (block > 0)
     homes = F.when(repeats, F.array(block, block - 1)).otherwise(F.array(block))
-    placed = ordered.withColumn("_block", block).withColumn("_home", F.explode(homes))
+    # Few bytes, much work per row: give the partition count instead of deriving it from size.
+    placed = (
+        ordered.withColumn("_block", block)
+        .withColumn("_home", F.explode(homes))
+        .repartition(shuffle_width(ordered), "_home")
+    )
     in_block = Window.partitionBy("_home").orderBy("position")
     row = F.struct("code", "surplus_value", "entity_id", "group_code", "codes")
     own = F.col("_block") == F.col("_home")

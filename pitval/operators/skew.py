@@ -9,22 +9,30 @@ from pyspark.sql import functions as F
 
 from pitval.session import materialize
 
-MAX_SALTS = 1024
+KEY_BUCKETS = 1 << 16
 
 
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def frequent_keys(df: DataFrame, keys: Sequence[str], share: float = 1e-3) -> DataFrame:
-    """Hashes of the keys that may hold at least ``share`` of the rows.
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
 
-    One pass with bounded counters; it can name too many keys but misses none, and it
-    names at most ``1 / share`` of them, which bounds any broadcast of the result.
+
+def crowded_buckets(df: DataFrame, keys: Sequence[str], share: float = 1e-3) -> DataFrame:
+    """Hash buckets of the key that hold at least ``share`` of the rows, with the number of
+    salts that brings each back to that share: (_crowded, _salts).
+
+    Rows are counted into a fixed number of buckets, mostly on the map side, so the cost
+    does not depend on the number of keys. No hot key is missed; a rare key in the bucket
+    of a hot one is merely salted too. There are at most ``1 / share`` crowded buckets,
+    which bounds any broadcast of the result.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    return hashed.stat.freqItems(["h"], support=share).select(
-        F.explode("h_freqItems").alias("_hot")
+    counts = df.groupBy(_bucket(keys).alias("_crowded")).agg(F.count(F.lit(1)).alias("_n"))
+    fair = counts.select(F.sum("_n")).scalar() * share
+    return counts.filter(F.col("_n") >= fair).select(
+        "_crowded", F.ceil(F.col("_n") / fair).cast("int").alias("_salts")
     )
 
 
@@ -34,37 +42,31 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     share: float = 1e-3,
-    hot: DataFrame | None = None,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of a possibly skewed left side to a right side with few rows per key.
 
-    Rows of frequent left keys are spread over salts and the matching right rows are
+    Left rows of crowded buckets are spread over salts and the matching right rows are
     repeated per salt. The salt is a hash of the whole left row, so a re-run task places
-    its rows as the first run did. ``hot`` may give the result of ``frequent_keys`` if
-    it is known from a cheaper frame than ``left``.
+    its rows as the first run did. ``crowded`` may give the result of ``crowded_buckets``
+    if it is known from a cheaper frame than ``left``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner joins, not {how}")
-    salts = min(shuffle_width(left), MAX_SALTS)
-    hot = F.broadcast(frequent_keys(left, on, share) if hot is None else hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    hashed_left = left.withColumn("_h", F.xxhash64(*on))
-    hashed_right = right.withColumn("_h", F.xxhash64(*on))
-    salted_left = (
-        hashed_left.join(hot, F.col("_h") == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0))
-        .drop("_h", "_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = (
-        hashed_right.join(hot, F.col("_h") == F.col("_hot"), "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
+    small = F.broadcast(crowded_buckets(left, on, share) if crowded is None else crowded)
+
+    def marked(df: DataFrame, salt: Column) -> DataFrame:
+        bucketed = df.withColumn("_bucket", _bucket(on))
+        return (
+            bucketed.join(small, F.col("_bucket") == F.col("_crowded"), "left")
+            .withColumn("_salt", salt)
+            .drop("_bucket", "_crowded", "_salts")
         )
-        .drop("_h", "_hot")
-    )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+    salts = F.coalesce("_salts", F.lit(1))
+    one = F.pmod(F.xxhash64(*left.columns), salts).cast("int")
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    return marked(left, one).join(marked(right, every), [*on, "_salt"], how).drop("_salt")
 
 
 def place_in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:

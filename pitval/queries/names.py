@@ -321,8 +321,7 @@ def fuzzy_candidates(v: Views) -> DataFrame:
     """Every pair of names at or above the threshold."""
     asked, active = open_names(v)
     names = active.filter("norm <> ''").select("norm").distinct()
-    pairs = fuzzy.fuzzy_pairs(asked, names).groupBy("left_norm", "right_norm")
-    return pairs.agg(F.round(F.max("score"), 6).alias("score"))
+    return fuzzy.fuzzy_pairs(asked, names).withColumn("score", F.round("score", 6))
 
 
 @query(

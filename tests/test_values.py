@@ -98,11 +98,12 @@ def test_salted_join_equals_a_plain_join(spark):
         assert sorted(map(tuple, skew.salted_join(ldf, rdf, ["k"], how, share=0.1).collect()), key=repr) == plain
 
 
-def test_frequent_keys_names_every_hot_key(spark):
+def test_crowded_buckets_hold_every_hot_key(spark):
     df = spark.range(3000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
-    hot = {r[0] for r in skew.frequent_keys(df, ["k"], 0.01).collect()}
-    assert spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0] in hot
-    assert len(hot) <= 100
+    got = {r._crowded: r._salts for r in skew.crowded_buckets(df, ["k"], 0.01).collect()}
+    hot = spark.range(1).select(F.pmod(F.xxhash64(F.lit(7).cast("long")), F.lit(skew.KEY_BUCKETS))).first()[0]
+    assert list(got) == [hot]
+    assert 33 <= got[hot] <= 36
 
 
 def test_positions_are_the_global_order(spark):
