@@ -95,8 +95,11 @@ def _parity(grams: Column, lane: int) -> Column:
 
 
 def with_signatures(names: DataFrame) -> DataFrame:
-    """Distinct names with their words, joined length, word bits and bigram bits."""
-    words = names.select("norm", name_tokens(F.col("norm")).alias("words"))
+    """Distinct names with their words, joined length, word bits and bigram bits.
+
+    Names are few bytes and many expressions, so they are spread over all tasks first."""
+    spread = names.select("norm").repartition(shuffle_width(names), "norm")
+    words = spread.select("norm", name_tokens(F.col("norm")).alias("words"))
     bigrams = padded_grams(F.col("words"), 2)
     word_bits = F.aggregate(
         "words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseOR(_bit(F.xxhash64(w)))
