@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def build_session(app: str = "pitval", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
@@ -34,20 +31,13 @@ def build_session(app: str = "pitval", master: str | None = None, **conf: str) -
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder for written intermediate tables, from ``spark.checkpoint.dir``.
+    """The folder for written intermediate tables.
 
-    It must be readable by every executor, so a temporary folder stands in for it
-    only where the setting is absent and the session runs on this machine alone.
+    ``spark.checkpoint.dir``, or the session's warehouse where that is not set: both are
+    read by the driver and by every executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="pitval-")
-    return _LOCAL_SCRATCH[context.applicationId]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
