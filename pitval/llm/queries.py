@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitval.llm import simhash
+from pitval.llm import quality_lines, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": quality_lines.op3,
+    "op4_suffix_array_dedup": suffixes.op4,
     "op6_simhash_near_dedup": simhash.op6,
 }
 
