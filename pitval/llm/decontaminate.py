@@ -25,6 +25,8 @@ share a doc_id but not a text are judged apart. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,12 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(lowered, SEPARATORS), ""), F.array().cast("array<string>"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row: inside a function of an array, a plain
+    expression would be computed again for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _upto(last: Column) -> Column:
     """0..last, empty if last is negative."""
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
@@ -60,8 +68,12 @@ def grams(tokens: Column, size: int) -> Column:
 
 def winnowed(hashes: Column) -> Column:
     """The least of every GRAMS consecutive hashes, distinct."""
-    least = F.transform(_upto(F.size(hashes) - GRAMS), lambda i: F.array_min(F.slice(hashes, i + 1, GRAMS)))
-    return F.array_distinct(least)
+    return bound(
+        hashes,
+        lambda h: F.array_distinct(
+            F.transform(_upto(F.size(h) - GRAMS), lambda i: F.array_min(F.slice(h, i + 1, GRAMS)))
+        ),
+    )
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -73,7 +85,7 @@ class Benchmark:
 
     def __init__(self, items: DataFrame):
         tokens = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0 and item is not null")
-        tokens = tokens.withColumn("n", F.least(F.size("w"), F.lit(WINDOW_WORDS)))
+        tokens = materialize(tokens.withColumn("n", F.least(F.size("w"), F.lit(WINDOW_WORDS))), "items")
         gram = grams(F.col("w"), GRAM_WORDS)
         least = F.when(F.col("n") == WINDOW_WORDS, winnowed(gram)).otherwise(F.array(F.array_min(gram)))
         for size in range(1, GRAM_WORDS):
@@ -96,7 +108,7 @@ class Benchmark:
 
 def _offered(tokens: Column, lengths: list[int]) -> Column:
     """The fingerprints of a document, given the lengths of the items' windows."""
-    gram = grams(tokens, GRAM_WORDS)
+    gram = grams(tokens, GRAM_WORDS)  # used once
     if any(GRAM_WORDS <= n < WINDOW_WORDS for n in lengths):
         parts = [gram]
     else:
@@ -111,7 +123,7 @@ def _extended(tokens: Column, matched: Column, lengths: list[int]) -> Column:
     for n in lengths:
         size = min(n, GRAM_WORDS)
         hashes = grams(tokens, size)
-        places = F.filter(F.transform(hashes, lambda h, i: F.when(F.array_contains(matched, h), i)), lambda i: i.isNotNull())
+        places = F.array_compact(F.transform(hashes, lambda h, i: F.when(F.array_contains(matched, h), i)))
         last = F.size(tokens) - n
         starts = F.flatten(F.transform(places, _around(n - size, last)))
         found.append(F.transform(F.array_distinct(starts), _cut(tokens, n)))
@@ -142,7 +154,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     keys = ["doc_id", "text_hash"]
     if lengths:
-        offered = texts.select(*keys, F.explode(_offered(words(F.col("text")), lengths)).alias("print"))
+        offered = texts.select(*keys, F.explode(bound(words(F.col("text")), lambda w: _offered(w, lengths))).alias("print"))
         matched = (
             offered.join(_maybe_broadcast(bench.prints, bench.print_rows), "print")
             .groupBy(*keys)
@@ -152,11 +164,15 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         matched = texts.select(*keys, F.array().cast("array<bigint>").alias("prints")).limit(0)
     matched = matched.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), "prints")
     same = texts.doc_id.eqNullSafe(F.col("m_id")) & (texts.text_hash == F.col("m_hash"))
-    tokens = texts.join(matched, same, "left").select(*keys, words(F.col("text")).alias("w"), "prints")
+    tokens = texts.join(matched, same, "left")
     none = F.array().cast("array<struct<start:int,size:int,window:string>>")
-    windows = F.when(F.col("prints").isNotNull(), _extended(F.col("w"), F.col("prints"), lengths)) if lengths else none
+
+    def work(w: Column) -> Column:
+        windows = F.when(F.col("prints").isNotNull(), _extended(w, F.col("prints"), lengths)) if lengths else none
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.coalesce(windows, none).alias("windows"))
+
     rows = materialize(
-        tokens.select(*keys, F.size("w").cast("long").alias("n_words"), F.coalesce(windows, none).alias("windows")),
+        tokens.select(*keys, bound(words(F.col("text")), work).alias("x")).select(*keys, "x.n_words", "x.windows"),
         "document-windows",
     )
     found = (
