@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitval.llm import decontaminate, quality_lines, simhash, suffixes
+from pitval.llm import decontaminate, pieces, quality_lines, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": decontaminate.op1,
     "op3_quality_rules": quality_lines.op3,
     "op4_suffix_array_dedup": suffixes.op4,
     "op6_simhash_near_dedup": simhash.op6,
+    "op9_sentencepiece": pieces.op9,
 }
 
 ORACLES: dict[str, str] = {

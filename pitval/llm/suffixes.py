@@ -488,8 +488,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``. Bytes of a character that was cut through are left out."""
     kept, names = RepeatFinder(docs, length=length).kept()
     # Cutting inside a character leaves bytes that are no character; they are dropped, not replaced.
-    whole = F.regexp_replace(F.decode(F.col(names[3]), "UTF-8"), "�", "")
-    exact = F.try_validate_utf8(F.col(names[3]).cast("string"))
+    left = F.col(names[3]).cast("string")
+    whole = F.regexp_replace(F.make_valid_utf8(left), "\ufffd", "")
+    exact = F.try_validate_utf8(left)
     text = F.when(F.col(names[1]) == 0, F.col("text")).otherwise(F.coalesce(exact, whole))
     return kept.withColumn("text", text).select(docs.columns)
 
