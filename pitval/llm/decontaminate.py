@@ -212,9 +212,9 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
-    bad = hits(docs, items).where("contaminated").select(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.xxhash64("text") == F.col("b_hash"))
-    return docs.join(bad, same, "left_anti")
+    bad = hits(docs, items).where("contaminated").select("doc_id", "text_hash").distinct().alias("bad")
+    same = F.expr("d.doc_id <=> bad.doc_id and xxhash64(d.text) = bad.text_hash")
+    return docs.alias("d").join(bad, same, "left_anti")
 
 
 def op1(spark, folder):

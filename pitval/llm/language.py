@@ -115,7 +115,7 @@ def fit(counts: list[tuple[str, str, int]]) -> Model:
 
 def train(docs: DataFrame) -> Model:
     """Fitted on a bounded sample of the rows that are not held out."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = labelled.select("lang", F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("id")).alias("k"))
     # Only ids are ranked; at most SAMPLE rows of a language leave each task.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("k"))

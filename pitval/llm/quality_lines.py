@@ -19,7 +19,6 @@ are not read, or pass through ``keep_good`` untouched.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -112,8 +111,10 @@ def figures(texts: pa.Array) -> Figures:
 
     space = _SPACE[data]
     letter_start = ~space & ~_REST[data]
+    begins = np.zeros(len(data) + 1, bool)
+    begins[starts] = True
     word_start = ~space
-    word_start[1:] &= space[:-1] | np.isin(np.arange(1, len(data)), starts)
+    word_start[1:] &= space[:-1] | begins[1:-1]
     symbol = _SYMBOL[data]
     line = {
         name: sums(flags, heads, tails)
