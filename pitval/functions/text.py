@@ -9,7 +9,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pitval.constants import GROUP_ALIAS_TEXT, NAME_PUNCTUATION, NAME_SUFFIXES
+from pitval.constants import GROUP_ALIASES, NAME_PUNCTUATION, NAME_SUFFIXES
 
 
 @lru_cache(maxsize=1)
@@ -19,9 +19,11 @@ def _accent_table() -> tuple[str, str]:
     Derived from Unicode canonical decomposition: a character that decomposes into one
     base character plus marks maps to its base, a bare mark maps to nothing.
     ``translate`` deletes the characters that have no counterpart, so marks come last.
+    Hangul syllables decompose into letters, not into a base and marks, and are left
+    whole: a differing syllable counts as one character in a name's score.
     """
     accented, bases, marks = [], [], []
-    for code in range(0x00C0, 0x10000):
+    for code in range(0x00C0, 0x110000):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
@@ -61,15 +63,6 @@ def name_tokens(norm: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(norm, " "), lambda w: w != "")))
 
 
-def group_aliases() -> dict[str, list[str]]:
-    table = {}
-    for line in GROUP_ALIAS_TEXT.strip().splitlines():
-        asked, accepted = line.split(":")
-        for code in asked.split():
-            table[code] = accepted.split()
-    return table
-
-
 def _array_map(table: dict[str, list[str]]) -> Column:
     return F.create_map(
         *chain.from_iterable(
@@ -88,7 +81,7 @@ def alias_set(code: Column) -> Column:
     """Codes accepted for a requested code; unknown -> itself, blank -> empty."""
     key = group_key(code)
     return F.coalesce(
-        _array_map(group_aliases())[key],
+        _array_map(GROUP_ALIASES)[key],
         F.when(key.isNotNull(), F.array(key)),
         F.array().cast("array<string>"),
     )
@@ -96,13 +89,12 @@ def alias_set(code: Column) -> Column:
 
 def requested_by(code: Column) -> Column:
     """The reverse of ``alias_set``: requested codes that accept this recorded code."""
-    table = group_aliases()
     reverse: dict[str, list[str]] = {}
-    for asked, accepted in table.items():
+    for asked, accepted in GROUP_ALIASES.items():
         for value in accepted:
             reverse.setdefault(value, []).append(asked)
     for value in reverse:
-        if value not in table:
+        if value not in GROUP_ALIASES:
             reverse[value].append(value)
     return F.coalesce(_array_map(reverse)[code], F.array(code))
 
@@ -114,6 +106,3 @@ def eligible_set(primary: Column, others: Column) -> Column:
     )
     return F.array_distinct(F.filter(pieces, lambda p: p.isNotNull() & (p != "")))
 
-
-def sets_overlap(left: Column, right: Column) -> Column:
-    return F.coalesce(F.arrays_overlap(left, right), F.lit(False))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pitval import constants as C
 from pitval.functions.numeric import clean_nonfinite
 from pitval.operators import features as ft
-from pitval.operators.asof import snapshot_as_of
 from pitval.operators.models import Fit, fit_boosted_trees, fit_ridge
 from pitval.session import materialize
 from pitval.sources.store import Store
@@ -64,12 +63,11 @@ def forecast(
     models: dict[str, tuple[list[str], Fit]] = ROLE_MODELS,
 ) -> DataFrame:
     """Predict the latest resolved feed as of a date and store the predictions."""
-    outcomes = snapshot_as_of(store.read("outcomes"), as_of)
-    features = snapshot_as_of(store.read("features"), as_of)
-    feed = snapshot_as_of(store.read("feed"), as_of)
+    outcomes, features = store.snapshot("outcomes", as_of), store.snapshot("features", as_of)
+    feed = store.snapshot("feed", as_of)
     predicted = train_and_predict(
         ft.training_rows(features, outcomes, FEATURE_COLUMNS),
-        resolved_feed(feed, store.read("resolutions")),
+        resolved_feed(feed, store.snapshot("resolutions", as_of).drop("as_of_date")),
         ft.fielding_history(outcomes),
         models,
     )

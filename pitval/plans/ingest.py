@@ -21,13 +21,13 @@ def ingest(
     feed_period: int | None = None,
     feed_source: str = "feed",
 ) -> None:
-    """Registry: full refresh, and only of the registry. Facts: replace the date's snapshot.
+    """Replace the date's snapshot of every part that is given, and nothing else.
 
     ``outcomes`` is the raw (bat, pitch) pair, ``seasons`` maps (period, role) to a CSV
     path, ``feed_paths`` is the (hitters, pitchers) pair of CSV paths.
     """
     if registry is not None:
-        store.refresh("registry", feeds.clean_registry(registry))
+        store.replace_for_date("registry", feeds.clean_registry(registry), as_of)
     if outcomes is not None:
         store.replace_for_date("outcomes", feeds.union_outcomes(*outcomes, as_of), as_of)
     if seasons is not None:

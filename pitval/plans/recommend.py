@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitval import constants as C
 from pitval.operators.asof import snapshot_as_of
 from pitval.operators.dedupe import first_per_key
 from pitval.operators.pairs import closest_pairs
@@ -29,17 +28,28 @@ def valuations_as_of(
 ) -> DataFrame:
     """One row per entity of the valuation snapshot visible at the cutoff.
 
-    Valuations and feed are both pinned to their own latest snapshot by the cutoff, so a
-    later feed cannot change a past answer. An entity with both roles keeps its bat row.
+    Every dated input is pinned to its own latest snapshot by the cutoff, so nothing that
+    comes later can change a past answer; a registry or resolutions without a date are taken
+    as given. An entity with both roles keeps its bat row.
     """
     values = snapshot_as_of(valuations, cutoff)
+    return _described(values, _pinned(registry, cutoff), _pinned(resolutions, cutoff), snapshot_as_of(feed, cutoff), entity_id)
+
+
+def _pinned(df: DataFrame, cutoff: dt.date | str | None) -> DataFrame:
+    return snapshot_as_of(df, cutoff) if "as_of_date" in df.columns else df
+
+
+def _described(
+    values: DataFrame, registry: DataFrame, resolutions: DataFrame, feed: DataFrame, entity_id: int | None
+) -> DataFrame:
+    """Valuations of one snapshot with the group, positions and name of one snapshot each."""
     ids = resolutions.select("feed_id", "entity_id")
     if entity_id is not None:
         values = values.filter(F.col("entity_id") == entity_id)
         ids = ids.filter(F.col("entity_id") == entity_id)
     details = first_per_key(
-        snapshot_as_of(feed, cutoff)
-        .select("feed_id", "role", "group_code", "primary_pos", "other_pos")
+        feed.select("feed_id", "role", "group_code", "primary_pos", "other_pos")
         .join(ids.filter("entity_id is not null"), "feed_id"),
         ["entity_id"],
         [F.col("role").asc(), F.col("feed_id").asc()],
@@ -51,10 +61,8 @@ def valuations_as_of(
 
 
 def _stored(store: Store, cutoff: dt.date | str | None, entity_id: int | None = None) -> DataFrame:
-    return valuations_as_of(
-        store.read("valuations"), store.read("registry"), store.read("resolutions"),
-        store.read("feed"), cutoff, entity_id,
-    )
+    pinned = [store.snapshot(table, cutoff) for table in ("valuations", "registry", "resolutions", "feed")]
+    return _described(*pinned, entity_id)
 
 
 def group_count(valuations: DataFrame) -> DataFrame:
@@ -72,8 +80,8 @@ def recommend(
     as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """The closest-valued pairs, as known at ``as_of`` or now."""
-    if not 1 <= top_n <= C.MAX_PAIRS_PER_REQUEST:
-        raise ValueError(f"top_n must be between 1 and {C.MAX_PAIRS_PER_REQUEST}")
+    if top_n < 1:
+        raise ValueError("top_n must be at least 1")
     return closest_pairs(_stored(store, as_of), top_n, require_fit, group)
 
 

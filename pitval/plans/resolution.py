@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
-from pitval.operators.asof import snapshot_as_of
 from pitval.operators.metrics import frequency_table
 from pitval.operators.resolve import resolve_mentions
 from pitval.sources.store import Store
@@ -20,18 +20,27 @@ def resolve_all(
     current_period: int,
     threshold: float = C.FUZZY_THRESHOLD,
     today: dt.date | None = None,
+    dates: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Rebuild the resolutions of all feed rows, whatever their date, and return them."""
-    resolved = resolve_mentions(
-        store.read("feed"),
-        store.read("registry"),
-        snapshot_as_of(store.read("outcomes")),
-        overrides,
-        current_period,
-        threshold=threshold,
-        resolved_at=today,
-    )
-    store.refresh("resolutions", resolved)
+    """Resolve feeds and return all resolutions.
+
+    By default the feed dates that have none yet, so that a later override or registry
+    leaves earlier resolutions, and every answer replayed from them, as they were. ``dates``
+    names those to resolve, also again. Each date uses what was known on it.
+    """
+    if dates is None:
+        dates = sorted(set(store.dates("feed")) - set(store.dates("resolutions")))
+    for day in dates:
+        resolved = resolve_mentions(
+            store.snapshot("feed", day).filter(F.col("as_of_date") == F.lit(day)),
+            store.snapshot("registry", day),
+            store.snapshot("outcomes", day),
+            overrides,
+            current_period,
+            threshold=threshold,
+            resolved_at=today,
+        )
+        store.replace_for_date("resolutions", resolved, day)
     return store.read("resolutions")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pitval import constants as C
 from pitval.operators import features as ft
-from pitval.operators.asof import snapshot_as_of
 from pitval.operators.costs import cost_precedence, with_surplus
 from pitval.sources.store import Store
 
@@ -54,9 +53,9 @@ def valuation_all(
         (F.col("period") == period) & (F.col("system") == system)
     )
     inputs = valuation_inputs(
-        predictions, store.read("resolutions"), snapshot_as_of(store.read("feed"), as_of)
+        predictions, store.snapshot("resolutions", as_of).drop("as_of_date"), store.snapshot("feed", as_of)
     )
-    outcomes = snapshot_as_of(store.read("outcomes"), as_of)
+    outcomes = store.snapshot("outcomes", as_of)
     store.replace_for_date(
         "valuations", value_entities(inputs, outcomes, manual_costs, period), as_of
     )

@@ -1,12 +1,11 @@
 """Every query by key, with the SQL that must give the same rows.
 
 A query is a function of ``Views``. Its SQL runs over ``PRELUDE``; queries without SQL are
-those whose algorithm has no SQL form (trees, cross-validation, streams).
+those whose algorithm has no SQL form (trees, cross-validation).
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +17,6 @@ Query = Callable[[Views], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-AS_OF = dt.date(2024, 1, 20)
-BETWEEN = dt.date(2024, 1, 10)
-
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:

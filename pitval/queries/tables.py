@@ -99,7 +99,6 @@ def _raw_outcomes(v: Views, status: str) -> DataFrame:
         "mlb_ID": F.when(F.col("l_quantity") > 1, F.col("l_partkey")),
         "year_ID": F.year("l_shipdate"),
         "stint_ID": F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")),
-        "name_common": F.lit("n"),
         "player_ID": F.lit("p"),
         "team_ID": F.lit("t"),
         "lg_ID": F.lit("l"),
@@ -318,9 +317,11 @@ def snapshot_replace(v: Views) -> DataFrame:
 )
 def full_refresh(v: Views) -> DataFrame:
     store = Store(v.spark, scratch_path(v.spark, "store"))
-    store.refresh("registry", v.registry().withColumn("first_name", F.lit("old")))
-    store.refresh("registry", v.registry())
-    return store.read("registry").select("entity_id", "first_name", "last_name")
+    day = dt.date(2024, 1, 20)
+    store.replace_for_date("registry", v.registry().withColumn("first_name", F.lit("older")), dt.date(2024, 1, 19))
+    store.replace_for_date("registry", v.registry().withColumn("first_name", F.lit("old")), day)
+    store.replace_for_date("registry", v.registry(), day)
+    return store.snapshot("registry").select("entity_id", "first_name", "last_name")
 
 
 @query(

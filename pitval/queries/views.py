@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 LAST_FULL_PERIOD = 2000
 CURRENT_PERIOD = 2001
+#: Appearances go by month (year x 12 + month), so that the lookback leaves some entities out.
+CURRENT_MONTH = 2001 * 12 + 11
 FEED_DATES = ("2024-01-01", "2024-01-15")
 MODEL_COLUMNS = ["pa", "h", "hr", "bb", "obp", "age"]
 RATE_COLUMNS = ["ip", "bb", "hr"]
@@ -83,18 +85,14 @@ class Views:
         )
 
     def appearances(self) -> DataFrame:
-        """Where an entity was seen: the nation of the supplier, for the larger returns."""
-        lines = (
-            self.table("lineitem")
-            .filter("l_returnflag = 'R' and l_quantity > 25")
-            .select("l_partkey", "l_suppkey", "l_shipdate")
-        )
+        """Where an entity was seen: the nation of the supplier, by month."""
+        lines = self.table("lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
         places = self.table("supplier").join(
             self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")
         )
         return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(
             F.col("l_partkey").alias("entity_id"),
-            F.year("l_shipdate").cast("int").alias("period"),
+            (F.year("l_shipdate") * 12 + F.month("l_shipdate")).cast("int").alias("period"),
             F.col("n_name").alias("group_code"),
         )
 
@@ -252,10 +250,9 @@ features AS (
     ORDER BY pa DESC NULLS LAST, obp NULLS LAST, l_orderkey NULLS LAST, l_suppkey NULLS LAST,
              h NULLS LAST, hr NULLS LAST, bb NULLS LAST) = 1),
 appearances AS (
-  SELECT l_partkey AS entity_id, CAST(year(l_shipdate) AS INTEGER) AS period,
+  SELECT l_partkey AS entity_id, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS period,
          n_name AS group_code
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  WHERE l_returnflag = 'R' AND l_quantity > 25),
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 written AS (
   SELECT p_partkey, p_brand, p_type, p_size, p_name, lower(p_type) || ' ' || p_size AS last,
          p_name || ' ' || lower(p_type) || ' ' || p_size AS name

@@ -2,57 +2,49 @@
 
 ``entity_id`` is the subject, ``period`` the season, ``stint`` a part of a period,
 ``role`` the bat/pitch discriminator, ``group_code`` the team, ``outcome`` the
-measured value of a period and ``cost`` what it cost.
+measured value of a period and ``cost`` what it cost. ``as_of_date`` is when a row was
+known; of resolutions, the date of the feed they resolve.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 
-def _table(text: str) -> T.StructType:
-    kinds = {
-        "long": T.LongType, "int": T.IntegerType, "double": T.DoubleType,
-        "string": T.StringType, "date": T.DateType, "boolean": T.BooleanType,
-    }
-    out = T.StructType()
-    for part in text.split():
-        name, kind = part.split(":")
-        out.add(name, kinds[kind]())
-    return out
+def _schema(**kinds: str) -> StructType:
+    """The columns of each kind in turn."""
+    made = StructType()
+    for kind, names in kinds.items():
+        for name in names.split():
+            made = made.add(name, kind)
+    return made
 
 
-REGISTRY = _table(
-    "entity_id:long first_name:string last_name:string birth_year:int primary_position:string"
+REGISTRY = _schema(long="entity_id", string="first_name last_name", date="as_of_date")
+RESOLUTIONS = _schema(long="feed_id entity_id candidate_count", string="method", double="score", date="resolved_at as_of_date")
+PREDICTIONS = _schema(
+    long="entity_id", integer="period", string="system", date="as_of_date",
+    double="projected_outcome projected_pa projected_ip",
 )
-PREDICTIONS = _table(
-    "entity_id:long period:int system:string as_of_date:date "
-    "projected_outcome:double projected_pa:double projected_ip:double"
+VALUATIONS = _schema(
+    long="entity_id", date="as_of_date", integer="age", double="outcome_year1 surplus_value", boolean="cost_estimated"
 )
-OUTCOMES = _table(
-    "entity_id:long period:int stint:int role:string as_of_date:date name_common:string "
-    "bbref_id:string group_code:string league_id:string games:int cost:double outcome:double "
-    "outcome_rep:double outcome_avg:double def_runs:double"
+OUTCOMES = _schema(
+    long="entity_id", integer="period stint games", string="role group_code", date="as_of_date",
+    double="cost outcome outcome_rep outcome_avg def_runs",
 )
-FEED = _table(
-    "feed_id:long source:string as_of_date:date period:int role:string player_name:string "
-    "age:int group_code:string primary_pos:string other_pos:string "
-    "pa:int ab:int h:int hr:int bb:int so:int sb:int avg:double obp:double slg:double ops:double "
-    "r:int doubles:int triples:int rbi:int cs:int "
-    "w:int l:int ip:double er:int sv:int era:double whip:double k_per_9:double gs:int"
-)
-FEATURES = _table(
-    "entity_id:long period:int role:string as_of_date:date age:int group_code:string games:int "
-    "pa:int ab:int r:int h:int doubles:int triples:int hr:int rbi:int bb:int so:int hbp:int "
-    "sb:int cs:int ba:double obp:double slg:double ops:double "
-    "gs:int w:int l:int sv:int ip:double er:int era:double whip:double so9:double so_bb:double bf:int"
-)
-VALUATIONS = _table(
-    "entity_id:long as_of_date:date age:int outcome_year1:double surplus_value:double "
-    "cost_estimated:boolean"
+
+# The measures of the feeds. Counts are whole numbers, the rest are rates.
+BAT_COUNTS = "pa ab h doubles triples hr r rbi bb so sb cs"
+PITCH_COUNTS = "gs w l sv er"
+BAT_RATES = "obp slg ops"
+PITCH_RATES = "ip era whip"
+
+FEED = _schema(
+    long="feed_id", string="source role player_name group_code primary_pos other_pos", date="as_of_date",
+    integer=f"period age {BAT_COUNTS} {PITCH_COUNTS}", double=f"avg {BAT_RATES} {PITCH_RATES} k_per_9",
 )
-RESOLUTIONS = _table(
-    "feed_id:long entity_id:long method:string score:double candidate_count:long resolved_at:date"
+FEATURES = _schema(
+    long="entity_id", string="role group_code", date="as_of_date",
+    integer=f"period age games hbp bf {BAT_COUNTS} {PITCH_COUNTS}", double=f"ba {BAT_RATES} {PITCH_RATES} so9 so_bb",
 )
-OVERRIDES = _table("player_name:string group_code:string primary_pos:string entity_id:long note:string")
-MANUAL_COSTS = _table("entity_id:long period:int cost:double note:string")

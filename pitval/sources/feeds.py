@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,16 +138,18 @@ def union_feeds(
     return fit_schema(stamped, without_id, fill=True)
 
 
+FEED_IDENTITY = ["source", "as_of_date", "period", "role", "player_name", "group_code", "primary_pos", "other_pos"]
+
+
 def with_feed_ids(feed: DataFrame) -> DataFrame:
-    """Adds ``feed_id``: the load day, the partition and the row in one 63-bit number.
+    """Adds ``feed_id``: a 63-bit hash of what a row is about, and of its number among equal ones.
 
-    The id is fixed once the table is written, so write before using it.
+    Loading the same rows again gives the same ids, and no id ever passes to another name.
     """
-    slot = F.monotonically_increasing_id()
-    day = F.datediff("as_of_date", F.lit("1970-01-01").cast("date")).cast("long")
-    return feed.coalesce(1 << 15).withColumn(
-        "feed_id", F.shiftleft(day, 48).bitwiseOR(slot)
-    ).select(*[f.name for f in schemas.FEED.fields])
+    rest = [F.col(c) for c in feed.columns if c not in FEED_IDENTITY]
+    number = F.row_number().over(Window.partitionBy(*FEED_IDENTITY).orderBy(*rest))
+    made = F.xxhash64(*FEED_IDENTITY, number).bitwiseAND(F.lit((1 << 63) - 1))
+    return feed.withColumn("feed_id", made).select(*[f.name for f in schemas.FEED.fields])
 
 
 def load_feeds(

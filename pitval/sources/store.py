@@ -8,6 +8,7 @@ writes nothing and leaves the old rows in place.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,14 @@ from pitval import schemas
 from pitval.operators.dedupe import best_prediction
 from pitval.sources.feeds import fit_schema
 
+_DATE = re.compile(r"/as_of_date=(\d{4}-\d\d-\d\d)/")
+
 TABLES: dict[str, tuple[T.StructType, list[str]]] = {
-    "registry": (schemas.REGISTRY, []),
+    "registry": (schemas.REGISTRY, ["as_of_date"]),
     "outcomes": (schemas.OUTCOMES, ["as_of_date"]),
     "features": (schemas.FEATURES, ["as_of_date"]),
     "feed": (schemas.FEED, ["as_of_date"]),
-    "resolutions": (schemas.RESOLUTIONS, []),
+    "resolutions": (schemas.RESOLUTIONS, ["as_of_date"]),
     "predictions": (schemas.PREDICTIONS, ["period", "system"]),
     "valuations": (schemas.VALUATIONS, ["as_of_date"]),
 }
@@ -77,10 +80,19 @@ class Store:
         stamped = df.withColumn("as_of_date", F.lit(as_of).cast("date"))
         replace_partitions(fit_schema(stamped, schema, fill=True), self.path(table), by, spread=False)
 
-    def refresh(self, table: str, df: DataFrame) -> None:
-        """Replace the whole table. The frame must not read the table it replaces."""
-        schema, _ = TABLES[table]
-        fit_schema(df, schema, fill=True).write.mode("overwrite").parquet(self.path(table))
+    def dates(self, table: str) -> list[dt.date]:
+        """The dates a table has snapshots of, from its folders; no file is opened."""
+        found = {m[1] for f in self.read(table).inputFiles() if (m := _DATE.search(f))}
+        return sorted(dt.date.fromisoformat(d) for d in found)
+
+    def snapshot(self, table: str, cutoff: dt.date | str | None = None) -> DataFrame:
+        """The newest snapshot not after the cutoff. The date is a literal in the plan, so
+        files of other dates are neither opened nor listed by tasks."""
+        if isinstance(cutoff, str):
+            cutoff = dt.date.fromisoformat(cutoff)
+        known = [d for d in self.dates(table) if cutoff is None or d <= cutoff]
+        rows = self.read(table)
+        return rows.filter(F.col("as_of_date") == F.lit(known[-1])) if known else rows.filter("false")
 
     def replace_predictions(self, df: DataFrame) -> None:
         """Replace the (period, system) partitions in ``df``; of several predictions for

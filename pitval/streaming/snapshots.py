@@ -45,6 +45,24 @@ def stream_snapshots(
 def read_snapshots(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
-    """The table as written so far; for a key sent again the newest batch wins."""
-    stored = spark.read.schema(schema.add("batch_id", T.LongType())).parquet(path)
-    return first_per_key(stored, keys, [F.col("batch_id").desc()]).drop("batch_id")
+    """The table as written so far; for a key sent again the newest batch wins.
+
+    Rows of one key in one batch are ordered by all their values, the greatest wins, so
+    that the answer does not depend on how the batch was read.
+    """
+    fields = [f for f in schema.fields if f.name != "batch_id"]
+    stored = spark.read.schema(T.StructType([*fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    rest = [F.col(f.name).desc_nulls_last() for f in fields if f.name not in keys]
+    return first_per_key(stored, keys, [F.col("batch_id").desc(), *rest]).drop("batch_id")
+
+
+def compact_snapshots(
+    spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str], date: str = "as_of_date"
+) -> None:
+    """Write the table as readers see it to ``target``, one partition per date.
+
+    The batches become batch -1 there, older than any that follows, so a stream that goes
+    on into ``target`` wins over them. ``path`` is left as it is; run between two runs of the stream.
+    """
+    rows = read_snapshots(spark, path, schema, keys).withColumn("batch_id", F.lit(-1).cast("long"))
+    replace_partitions(rows, target, [date, "batch_id"])

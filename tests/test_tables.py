@@ -13,9 +13,9 @@ from pitval.plans import forecast, recommend, resolution, valuation
 from pitval.plans.ingest import ingest
 from pitval.sources import feeds
 from pitval.sources.store import Store
-from pitval.streaming.snapshots import read_snapshots, stream_snapshots
+from pitval.streaming.snapshots import compact_snapshots, read_snapshots, stream_snapshots
 
-D1, D2 = dt.date(2020, 1, 1), dt.date(2099, 1, 1)
+D1, D2 = dt.date(2018, 4, 9), dt.date(2031, 9, 2)
 
 
 def rows(df, *columns):
@@ -27,20 +27,19 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "store"))
 
 
-def pit_store(store, later_group=None):
-    """One entity with a valuation snapshot in the past and one in the far future."""
+NAMES = "entity_id long, first_name string, last_name string"
+FEED_ROWS = "feed_id long, period int, role string, player_name string, group_code string, primary_pos string"
+
+
+def pit_store(store):
+    """One entity, valued on two days."""
     spark = store.spark
-    store.refresh("registry", spark.createDataFrame([(-1, "Test", "Player")], "entity_id long, first_name string, last_name string"))
-    feed = "feed_id long, period int, role string, player_name string, group_code string, primary_pos string"
-    store.replace_for_date("feed", spark.createDataFrame([(1, 2026, "bat", "Test Player", "ZZZ", "1B")], feed), D1)
-    ids = [(1, -1)]
-    if later_group:
-        store.replace_for_date("feed", spark.createDataFrame([(2, 2026, "bat", "Test Player", later_group, "2B")], feed), D2)
-        ids.append((2, -1))
-    store.refresh("resolutions", spark.createDataFrame(ids, "feed_id long, entity_id long"))
-    for day, surplus in ((D1, 100.0), (D2, 999_999.0)):
+    store.replace_for_date("registry", spark.createDataFrame([(44, "Ada", "Quill")], NAMES), D1)
+    store.replace_for_date("feed", spark.createDataFrame([(7, 2018, "bat", "Ada Quill", "OAK", "C")], FEED_ROWS), D1)
+    store.replace_for_date("resolutions", spark.createDataFrame([(7, 44)], "feed_id long, entity_id long"), D1)
+    for day, surplus in ((D1, 12.5), (D2, 80.25)):
         made = spark.createDataFrame(
-            [(-1, 30, 1.0, surplus, False)],
+            [(44, 24, 0.5, surplus, True)],
             "entity_id long, age int, outcome_year1 double, surplus_value double, cost_estimated boolean",
         )
         store.replace_for_date("valuations", made, day)
@@ -49,30 +48,46 @@ def pit_store(store, later_group=None):
 
 @pytest.mark.parametrize(
     ("cutoff", "expected"),
-    [("2020-06-01", [(100.0,)]), ("2099-06-01", [(999_999.0,)]), ("2019-01-01", []), (None, [(999_999.0,)])],
+    [("2018-04-09", [(12.5,)]), ("2025-01-01", [(12.5,)]), ("2031-12-31", [(80.25,)]), ("2018-04-08", []), (None, [(80.25,)])],
 )
 def test_cutoff_sees_only_what_was_known(store, cutoff, expected):
     assert rows(recommend._stored(pit_store(store), cutoff), "surplus_value") == expected
 
 
-def test_a_later_feed_does_not_leak_into_a_past_answer(store):
-    pit_store(store, later_group="NEW")
-    assert rows(recommend._stored(store, "2020-06-01"), "group_code", "primary_pos") == [("ZZZ", "1B")]
-    assert rows(recommend._stored(store, "2099-06-01"), "group_code", "primary_pos") == [("NEW", "2B")]
+def test_later_feeds_names_and_resolutions_leave_a_past_answer(store):
+    spark = pit_store(store).spark
+    past = rows(recommend._stored(store, "2025-01-01"), *recommend.COLUMNS)
+    store.replace_for_date("registry", spark.createDataFrame([(44, "Ida", "Quill"), (45, "Ada", "Quill")], NAMES), D2)
+    store.replace_for_date("feed", spark.createDataFrame([(8, 2031, "bat", "Ida Quill", "NEW", "SS")], FEED_ROWS), D2)
+    overrides = spark.createDataFrame([("Ada Quill", "OAK", 45, 0), ("Ida Quill", "NEW", 44, 1)], "player_name string, group_code string, entity_id long, seq long")
+    resolution.resolve_all(store, overrides, 2031)
+    assert rows(recommend._stored(store, "2025-01-01"), *recommend.COLUMNS) == past
+    assert rows(recommend._stored(store, None), "name", "group_code", "primary_pos") == [("Ida Quill", "NEW", "SS")]
+    # Asked for by name, a date is resolved again.
+    resolution.resolve_all(store, overrides, 2031, dates=[D1])
+    assert rows(store.snapshot("resolutions", D1), "entity_id") == [(45,)]
+
+
+def test_the_newest_snapshot_is_found_without_old_files(store):
+    pit_store(store)
+    assert store.dates("valuations") == [D1, D2] and store.dates("predictions") == []
+    plan = store.snapshot("valuations")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(as_of_date" in plan and str(D2) in plan and "Subquery" not in plan
 
 
 def test_replay_before_any_data_is_empty(store):
-    got = recommend.backtest(pit_store(store), "2019-01-01", top_n=5)
+    got = recommend.backtest(pit_store(store), "2011-01-01", top_n=5)
     assert got.columns == PAIR_COLUMNS
     assert got.count() == 0
 
 
 def test_entity_lookup(store):
     pit_store(store)
-    assert rows(recommend.entity_valuation(store, -1), "name", "as_of_date") == [("Test Player", D2)]
+    assert rows(recommend.entity_valuation(store, 44), "name", "as_of_date") == [("Ada Quill", D2)]
     assert recommend.entity_valuation(store, 5).count() == 0
     with pytest.raises(ValueError, match="top_n"):
-        recommend.recommend(store, top_n=101)
+        recommend.recommend(store, top_n=0)
+    assert recommend.recommend(store, top_n=5000).count() == 0
 
 
 def test_an_entity_with_both_roles_appears_once(spark):
@@ -80,7 +95,7 @@ def test_an_entity_with_both_roles_appears_once(spark):
         [(1, "pitch", "A", "P", D1), (2, "bat", "B", "DH", D1), (3, "bat", "C", "DH", D1)],
         "feed_id long, role string, group_code string, primary_pos string, as_of_date date",
     ).withColumn("other_pos", F.lit(None).cast("string"))
-    values = spark.createDataFrame([(7, D1, 30, 1.0, 5.0, False)], schemas.VALUATIONS)
+    values = spark.createDataFrame([(7, D1, 30, 1.0, 5.0, False)], "entity_id long, as_of_date date, age int, outcome_year1 double, surplus_value double, cost_estimated boolean")
     registry = spark.createDataFrame([(7, "Two", "Way")], "entity_id long, first_name string, last_name string")
     ids = spark.createDataFrame([(1, 7), (2, 7), (3, 7)], "feed_id long, entity_id long")
     got = recommend.valuations_as_of(values, registry, ids, feed)
@@ -144,6 +159,18 @@ def test_stream_takes_late_rows_and_survives_a_replay(spark, tmp_path):
     assert run("p") == late
 
 
+def test_reading_a_stream_table_breaks_ties_and_keeps_the_schema(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, v double, as_of_date date").schema
+    source = spark.createDataFrame([(1, 1.0, D1, 0), (1, 3.0, D1, 0), (2, 5.0, D1, 0), (2, 4.0, D2, 1)], "id long, v double, as_of_date date, batch_id long")
+    target, folded = str(tmp_path / "t"), str(tmp_path / "c")
+    source.write.partitionBy("as_of_date", "batch_id").parquet(target)
+    assert rows(read_snapshots(spark, target, schema, ["id"]), "id", "v") == [(1, 3.0), (2, 4.0)]
+    assert schema.names == ["id", "v", "as_of_date"]
+    compact_snapshots(spark, target, folded, schema, ["id"])
+    assert rows(read_snapshots(spark, folded, schema, ["id"]), "id", "v", "as_of_date") == [(1, 3.0, D1), (2, 4.0, D2)]
+    assert len(list((tmp_path / "c" / f"as_of_date={D1}").iterdir())) == 1
+
+
 # ---- feeds ----------------------------------------------------------------------
 
 
@@ -165,6 +192,9 @@ def test_feeds_are_read_by_header_and_missing_ones_skipped(spark, tmp_path):
     assert feeds.load_feeds(spark, str(tmp_path / "a"), str(tmp_path / "b"), 2026, D1) is None
     ids = [r.feed_id for r in feeds.with_feed_ids(got.union(got)).collect()]
     assert len(set(ids)) == 2 and all(i > 0 for i in ids)
+    assert sorted(ids) == sorted(r.feed_id for r in feeds.with_feed_ids(got.union(got)).collect())
+    other = got.withColumn("player_name", F.lit("Another"))
+    assert not set(ids) & {r.feed_id for r in feeds.with_feed_ids(other.union(other)).collect()}
 
 
 def test_large_ids_are_not_rounded(spark):
