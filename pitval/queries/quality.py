@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +19,7 @@ from pitval.session import materialize
 HOLDOUT = [2000, 2001]
 BAT = [*MODEL_COLUMNS, C.PRIOR_FIELDING]
 PITCH = MODEL_COLUMNS
-SMALL_TREES = {"trees": 10, "depth": 3}
-SMALL_FOREST = {"trees": 20, "depth": 5}
+ROLE_COLUMNS = {C.ROLE_BAT: BAT, C.ROLE_PITCH: PITCH}
 
 SAME_SQL = (
     TOTALS_SQL
@@ -159,11 +156,14 @@ def prepared(v: Views) -> DataFrame:
     return materialize(lag1_prepared(v), "prepared")
 
 
-def _predicted(v: Views, role: str, columns: list[str], fit: md.Fit) -> DataFrame:
-    rows = prepared(v).filter(F.col("role") == role)
-    train, test = ft.temporal_split(rows, "target_period", HOLDOUT)
-    made = md.fit_predict(train, test, columns, fit)
-    return rounded(made.select("entity_id", "period", "role", "prediction"), 6, "prediction")
+def _predicted(v: Views, fit: md.Fit) -> DataFrame:
+    """Held-out predictions of both roles."""
+    rows = prepared(v)
+    parts = []
+    for role, columns in ROLE_COLUMNS.items():
+        train, test = ft.temporal_split(rows.filter(F.col("role") == role), "target_period", HOLDOUT)
+        parts.append(md.fit_predict(train, test, columns, fit).select("entity_id", "period", "role", "prediction"))
+    return rounded(ev.union_all(parts), 6, "prediction")
 
 
 @query("ridge_by_role")
@@ -184,22 +184,22 @@ def ridge_by_role(v: Views) -> DataFrame:
 
 @query("gbt_predict")
 def gbt_predict(v: Views) -> DataFrame:
-    return _predicted(v, C.ROLE_PITCH, PITCH, partial(md.fit_boosted_trees, **SMALL_TREES))
+    return _predicted(v, md.fit_boosted_trees)
 
 
 @query("rf_predict")
 def rf_predict(v: Views) -> DataFrame:
-    return _predicted(v, C.ROLE_PITCH, PITCH, partial(md.fit_forest, **SMALL_FOREST))
+    return _predicted(v, md.fit_forest)
 
 
 @query("elasticnet_cv")
 def elasticnet_cv(v: Views) -> DataFrame:
-    return _predicted(v, C.ROLE_BAT, BAT, partial(md.fit_elastic_net, strengths=4))
+    return _predicted(v, md.fit_elastic_net)
 
 
 @query("model_blend")
 def model_blend(v: Views) -> DataFrame:
-    return _predicted(v, C.ROLE_BAT, BAT, partial(md.fit_blend, **SMALL_TREES))
+    return _predicted(v, md.fit_blend)
 
 
 @query("evaluate_models")
@@ -214,24 +214,28 @@ def evaluate_models(v: Views) -> DataFrame:
     return rounded(scores, 6, "mae", "rmse", "r2")
 
 
+def _both_roles(v: Views, report) -> DataFrame:
+    """A report on the rows of either role, with the role."""
+    rows = prepared(v)
+    parts = [
+        report(rows.filter(F.col("role") == role), columns).withColumn("role", F.lit(role))
+        for role, columns in ROLE_COLUMNS.items()
+    ]
+    return rounded(ev.union_all(parts), 6, "mae", "rmse", "r2")
+
+
 @query("feature_ablation")
 def feature_ablation(v: Views) -> DataFrame:
-    bat = prepared(v).filter(F.col("role") == C.ROLE_BAT)
-    sets = {
-        "without prior_def_runs": [c for c in BAT if c != C.PRIOR_FIELDING],
-        "with prior_def_runs": BAT,
-        "without age": [c for c in BAT if c != "age"],
-    }
-    return rounded(ev.ablate(bat, sets, HOLDOUT, "target_period"), 6, "mae", "rmse", "r2")
+    def report(rows: DataFrame, columns: list[str]) -> DataFrame:
+        sets = {"all": columns} | {f"without {c}": [x for x in columns if x != c] for c in columns}
+        return ev.ablate(rows, sets, HOLDOUT, "target_period")
+
+    return _both_roles(v, report)
 
 
 @query("model_comparison")
 def model_comparison(v: Views) -> DataFrame:
-    bat = prepared(v).filter(F.col("role") == C.ROLE_BAT)
-    models = ev.candidate_models(SMALL_TREES, SMALL_FOREST)
-    models["elastic_net"] = partial(md.fit_elastic_net, strengths=4)
-    scores = ev.compare_models(bat, BAT, models, HOLDOUT, "target_period")
-    return rounded(scores, 6, "mae", "rmse", "r2")
+    return _both_roles(v, lambda rows, columns: ev.compare_models(rows, columns, None, HOLDOUT, "target_period"))
 
 
 # ---- value and pair quality ------------------------------------------------------
@@ -314,10 +318,10 @@ def evaluation_frame(v: Views) -> DataFrame:
 
 @query("evaluation_frame_model")
 def evaluation_frame_model(v: Views) -> DataFrame:
-    """The frame with model predictions: ridge for one role, small boosted trees for the other."""
+    """The frame with model predictions: ridge for one role, boosted trees for the other."""
     frame = ev.build_evaluation_frame(
         v.features(), v.outcomes(), v.registry(), 2000, MODEL_COLUMNS + ["group_code"],
-        {C.ROLE_BAT: (BAT, md.fit_ridge), C.ROLE_PITCH: (PITCH, partial(md.fit_boosted_trees, **SMALL_TREES))},
+        {C.ROLE_BAT: (BAT, md.fit_ridge), C.ROLE_PITCH: (PITCH, md.fit_boosted_trees)},
     )
     return rounded(frame, 2, "predicted_surplus", "naive_surplus", "realized_value").select(
         "entity_id", "role", "name", "predicted_surplus", "naive_surplus", "realized_value"
