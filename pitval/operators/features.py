@@ -61,18 +61,23 @@ def lag1_rows(
 ) -> DataFrame:
     """Features of period N with the outcomes of N and of N + 1.
 
-    An entity with no N + 1 drops out, and a gap period never matches. Both joins share
-    the (entity, period, role) partitioning, so the feature side is shuffled once.
+    An entity with no N + 1 drops out, and a gap period never matches. An outcome counts
+    for its own period and for the one before, so one aggregation of one scan gives both.
     """
-    totals = outcome_by_period(outcomes)
-    this_period = totals.withColumnRenamed("outcome", "outcome_this_period")
-    next_period = totals.withColumn("period", F.col("period") - 1)
-    kept = features.select(*KEYS, *columns) if columns else features
-    return (
-        kept.join(this_period, KEYS)
-        .join(next_period, KEYS)
-        .withColumn("target_period", F.col("period") + 1)
+    value = F.col("outcome")
+    roles = F.array(
+        F.struct(F.col("period").alias("period"), value.alias("own"), F.lit(None).cast("double").alias("next")),
+        F.struct((F.col("period") - 1).alias("period"), F.lit(None).cast("double").alias("own"), value.alias("next")),
     )
+    totals = (
+        outcomes.filter("outcome is not null")
+        .select("entity_id", "role", F.explode(roles).alias("x"))
+        .groupBy("entity_id", F.col("x.period").alias("period"), "role")
+        .agg(F.sum("x.own").alias("outcome_this_period"), F.sum("x.next").alias("outcome"))
+        .filter("outcome_this_period is not null and outcome is not null")
+    )
+    kept = features.select(*KEYS, *columns) if columns else features
+    return kept.join(totals, KEYS).withColumn("target_period", F.col("period") + 1)
 
 
 def with_prior_fielding(

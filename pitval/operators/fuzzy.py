@@ -129,7 +129,8 @@ def hot_entries(entries: DataFrame, share: float = HOT_SHARE) -> DataFrame:
     hot = counted.filter(F.col("freq") >= total * share).select(
         "entry", "freq", F.ceil(F.col("freq") / (total * share)).cast("int").alias("salts")
     )
-    return materialize(hot.coalesce(1), "hot-entries")
+    # At most 1000 rows; an exchange of its own, so that the count above stays spread.
+    return materialize(hot.repartition(1), "hot-entries")
 
 
 def _rare_first(entries: DataFrame, hot: DataFrame, keep: list[str]) -> DataFrame:

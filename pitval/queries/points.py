@@ -21,10 +21,10 @@ from pitval.sources.feeds import union_all
 TOTALS_SQL = """
     WITH totals AS (
       SELECT entity_id, period, role, sum(outcome) AS outcome FROM outcomes
-      WHERE outcome IS NOT NULL GROUP BY ALL),
+      GROUP BY entity_id, period, role HAVING count(outcome) > 0),
     hist AS (
       SELECT entity_id, period, sum(def_runs) AS def_runs FROM outcomes
-      WHERE role = 'bat' AND def_runs IS NOT NULL GROUP BY ALL)
+      GROUP BY entity_id, period, role HAVING role = 'bat' AND count(def_runs) > 0)
 """
 
 
@@ -63,12 +63,15 @@ LAG1_SQL = (
     TOTALS_SQL
     + """,
     lag1 AS (
-      SELECT f.entity_id, f.period, f.role, f.pa, f.h, f.hr, f.bb, f.obp, f.age,
-             t.outcome AS outcome_this_period, n.outcome AS outcome,
-             CAST(f.period + 1 AS INTEGER) AS target_period
-      FROM features f
-      JOIN totals t ON t.entity_id = f.entity_id AND t.period = f.period AND t.role = f.role
-      JOIN totals n ON n.entity_id = f.entity_id AND n.period = f.period + 1 AND n.role = f.role)
+      SELECT entity_id, period, role, pa, h, hr, bb, obp, age, outcome_this_period, outcome,
+             CAST(period + 1 AS INTEGER) AS target_period
+      FROM features JOIN (
+        SELECT entity_id, period - back AS period, role,
+               sum(outcome) FILTER (WHERE back = 0) AS outcome_this_period,
+               sum(outcome) FILTER (WHERE back = 1) AS outcome
+        FROM totals, (VALUES (0), (1)) AS shifts(back)
+        GROUP BY entity_id, period - back, role
+        HAVING count(*) = 2) USING (entity_id, period, role))
 """
 )
 
@@ -187,16 +190,20 @@ def latest_per_key_as_of(v: Views) -> DataFrame:
 
 
 def _as_of_cte(cutoff: str, name: str = "pit") -> str:
-    return f"""{name} AS (
-      SELECT DISTINCT ON (v.entity_id) v.entity_id, v.as_of_date,
-             first_name || ' ' || last_name AS name, f.group_code, f.primary_pos, f.other_pos,
-             v.age, v.outcome_year1, v.surplus_value, v.cost_estimated
-      FROM dated_values v JOIN registry g ON g.entity_id = v.entity_id
-      JOIN feed_resolutions s ON s.entity_id = v.entity_id
-      JOIN feed f ON f.feed_id = s.feed_id
-      WHERE v.as_of_date = (SELECT max(as_of_date) FROM dated_values WHERE as_of_date <= DATE '{cutoff}')
-        AND f.as_of_date = (SELECT max(as_of_date) FROM feed WHERE as_of_date <= DATE '{cutoff}')
-      ORDER BY v.entity_id, f.role, f.feed_id)"""
+    """Each dated input cut to its newest date by the cutoff, then one feed row per entity."""
+
+    def pinned(table: str) -> str:
+        return f"""(SELECT * FROM {table} WHERE as_of_date <= DATE '{cutoff}'
+        QUALIFY as_of_date = max(as_of_date) OVER ())"""
+
+    return f"""described AS (
+      SELECT entity_id, group_code, primary_pos, other_pos FROM {pinned('feed_resolutions')} AS ids
+      JOIN {pinned('feed')} AS rows USING (feed_id) WHERE entity_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY role, feed_id) = 1),
+    {name} AS (
+      SELECT entity_id, as_of_date, concat(first_name, ' ', last_name) AS name, described.group_code,
+             described.primary_pos, described.other_pos, vals.age, outcome_year1, surplus_value, cost_estimated
+      FROM {pinned('dated_values')} AS vals JOIN described USING (entity_id) JOIN registry USING (entity_id))"""
 
 
 def pit_values(v: Views, cutoff: str | dt.date | None, entity_id: int | None = None) -> DataFrame:

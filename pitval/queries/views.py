@@ -191,6 +191,7 @@ class Views:
     def feed_resolutions(self) -> DataFrame:
         return self.feed().select(
             "feed_id",
+            "as_of_date",
             F.when(F.col("age") != 30, F.floor(F.col("feed_id") / 4)).alias("entity_id"),
         )
 
@@ -296,7 +297,7 @@ feed AS (
     (2, DATE '2024-01-15', 'bat'), (3, DATE '2024-01-15', 'pitch')) AS v(i, d, r)
   WHERE r = 'bat' OR p_size > 43),
 feed_resolutions AS (
-  SELECT feed_id, CASE WHEN age <> 30 THEN feed_id // 4 END AS entity_id
+  SELECT feed_id, as_of_date, CASE WHEN age <> 30 THEN feed_id // 4 END AS entity_id
   FROM feed),
 predictions AS (
   SELECT entity_id, round(sum(outcome), 4) AS projected_outcome
