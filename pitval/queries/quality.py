@@ -148,7 +148,7 @@ def ridge_2f(v: Views) -> DataFrame:
     return rounded(made.select("entity_id", "period", "role", "prediction"), 6, "prediction")
 
 
-# ---- models without a SQL form --------------------------------------------------
+# ---- fitted models; trees and cross-validation have no SQL form ---------------------
 
 
 def prepared(v: Views) -> DataFrame:
@@ -166,7 +166,71 @@ def _predicted(v: Views, fit: md.Fit) -> DataFrame:
     return rounded(ev.union_all(parts), 6, "prediction")
 
 
-@query("ridge_by_role")
+def ridge_sql(name: str, train: str, columns: list[str], alpha: float = C.RIDGE_ALPHA) -> str:
+    """CTEs that solve a ridge regression on ``train``: the normal equations of imputed,
+    standardized features, eliminated column by column. ``{name}_fit`` has one row: means
+    ``m``, deviations ``s``, weights ``w`` of the standardized features, and ``y`` the mean outcome."""
+    k = len(columns)
+    means = ", ".join(f"avg({c})" for c in columns)
+    centred = ", ".join(f"coalesce({c}, m[{i}]) - m[{i}]" for i, c in enumerate(columns, 1))
+    spread = ", ".join(f"stddev_pop(z[{i}])" for i in range(1, k + 1))
+    lines = []
+    for i in range(1, k + 1):
+        cells = [f"sum(z[{i}] * z[{j}] / s[{i}] / s[{j}])" + (f" + {alpha}" if i == j else "") for j in range(1, k + 1)]
+        lines.append(f"[{', '.join([*cells, f'sum(z[{i}] * d / s[{i}])'])}]")
+    at = "p[1][1]::INTEGER"
+    return f"""{name}_mean AS (SELECT [{means}] AS m, avg(outcome) AS y FROM {train}),
+    {name}_row AS (SELECT [{centred}] AS z, outcome - y AS d FROM {train}, {name}_mean),
+    {name}_spread AS (SELECT [{spread}] AS s FROM {name}_row),
+    {name}_system AS (SELECT [{', '.join(lines)}] AS a FROM {name}_row, {name}_spread),
+    {name}_fit AS (
+      SELECT m, s, y, list_transform(
+        list_reduce(list_transform(range(1, {k + 1}), lambda i: [[i::DOUBLE]]),
+          lambda q, p: list_transform(q, lambda r, i: CASE WHEN i = {at}
+            THEN list_transform(r, lambda x: x / r[i])
+            ELSE list_transform(r, lambda x, j: x - r[{at}] * q[{at}][j] / q[{at}][{at}]) END),
+          a), lambda r: r[{k + 1}]) AS w
+      FROM {name}_system, {name}_mean, {name}_spread)"""
+
+
+def ridge_value(columns: list[str]) -> str:
+    """The prediction of a row next to ``{name}_fit``."""
+    return "y + " + " + ".join(f"w[{i}] * (coalesce({c}, m[{i}]) - m[{i}]) / s[{i}]" for i, c in enumerate(columns, 1))
+
+
+PREPARED_SQL = (
+    LAG1_SQL
+    + """,
+    prepared AS (
+      SELECT l.*, CASE WHEN l.role = 'bat' THEN r.def_runs END AS prior_def_runs
+      FROM lag1 l ASOF LEFT JOIN hist r ON l.entity_id = r.entity_id AND l.target_period > r.period)"""
+)
+
+
+def side_sql(source: str, period: str) -> str:
+    """CTEs of the training and the held-out rows of either role."""
+    return ", ".join(
+        f"{role}_{side} AS (SELECT * FROM {source} WHERE role = '{role}' AND {period} {test} (2000, 2001))"
+        for role in ROLE_COLUMNS
+        for side, test in (("train", "NOT IN"), ("test", "IN"))
+    )
+
+
+@query(
+    "ridge_by_role",
+    SAME_SQL
+    + f""",
+    joined AS (
+      SELECT r.*, CASE WHEN r.role = 'bat' THEN h.def_runs END AS prior_def_runs
+      FROM rows r ASOF LEFT JOIN hist h ON r.entity_id = h.entity_id AND r.period > h.period),
+    {side_sql('joined', 'period')},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())}
+    """
+    + " UNION ALL ".join(
+        f"SELECT entity_id, period, role, round({ridge_value(columns)}, 6) AS projected_outcome FROM {role}_test, {role}_fit"
+        for role, columns in ROLE_COLUMNS.items()
+    ),
+)
 def ridge_by_role(v: Views) -> DataFrame:
     outcomes = v.outcomes()
     rows = ft.training_rows(v.features(), outcomes, MODEL_COLUMNS)
@@ -202,7 +266,21 @@ def model_blend(v: Views) -> DataFrame:
     return _predicted(v, md.fit_blend)
 
 
-@query("evaluate_models")
+@query(
+    "evaluate_models",
+    PREPARED_SQL
+    + f""",
+    {side_sql('prepared', 'target_period')},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
+    guesses AS ("""
+    + " UNION ALL ".join(
+        f"""SELECT '{role}: naive_mean' AS model, outcome AS actual, y AS predicted FROM {role}_test, {role}_fit
+      UNION ALL SELECT '{role}: naive_last', outcome, outcome_this_period FROM {role}_test
+      UNION ALL SELECT '{role}: model', outcome, {ridge_value(columns)} FROM {role}_test, {role}_fit"""
+        for role, columns in ROLE_COLUMNS.items()
+    )
+    + f") SELECT model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY model",
+)
 def evaluate_models(v: Views) -> DataFrame:
     rows = prepared(v)
     scores = ev.union_all(
@@ -224,11 +302,34 @@ def _both_roles(v: Views, report) -> DataFrame:
     return rounded(ev.union_all(parts), 6, "mae", "rmse", "r2")
 
 
-@query("feature_ablation")
+def feature_sets(columns: list[str]) -> dict[str, list[str]]:
+    """All columns, and all but one."""
+    return {"all": columns} | {f"without {c}": [x for x in columns if x != c] for c in columns}
+
+
+SETS = [
+    (role, name, f"{role}_{number}", chosen)
+    for role, columns in ROLE_COLUMNS.items()
+    for number, (name, chosen) in enumerate(feature_sets(columns).items())
+]
+
+
+@query(
+    "feature_ablation",
+    PREPARED_SQL
+    + f""",
+    {side_sql('prepared', 'target_period')},
+    {', '.join(ridge_sql(key, f'{role}_train', chosen) for role, _, key, chosen in SETS)},
+    guesses AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{role}' AS role, '{name}' AS model, outcome AS actual, {ridge_value(chosen)} AS predicted FROM {role}_test, {key}_fit"
+        for role, name, key, chosen in SETS
+    )
+    + f") SELECT role, model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY role, model",
+)
 def feature_ablation(v: Views) -> DataFrame:
     def report(rows: DataFrame, columns: list[str]) -> DataFrame:
-        sets = {"all": columns} | {f"without {c}": [x for x in columns if x != c] for c in columns}
-        return ev.ablate(rows, sets, HOLDOUT, "target_period")
+        return ev.ablate(rows, feature_sets(columns), HOLDOUT, "target_period")
 
     return _both_roles(v, report)
 
