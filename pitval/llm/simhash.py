@@ -192,17 +192,30 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def near_copies(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint hex, component_id) of every row of ``docs`` (doc_id, text, ...)."""
+def _grouped(docs: DataFrame, size: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fingerprint) of every row, and (fingerprint, component_id).
+
+    Tables that meet on a component or a fingerprint are written first: a join of two plain
+    tables can be split where one component or fingerprint holds very many rows, one above an
+    aggregation can't.
+    """
     made = materialize(fingerprints(docs, size), "fingerprints")
-    nodes = made.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
-    linked = components(materialize(links(nodes, distance), "links"))
-    of_node = (
-        nodes.join(linked, nodes.fingerprint == linked.node, "left")
-        .select("fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"))
+    nodes = materialize(made.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "nodes")
+    roots = components(materialize(links(nodes, distance), "links"))
+    linked = materialize(
+        roots.join(nodes, F.col("node") == F.col("fingerprint")).select("fingerprint", "root", "least_id"), "linked"
+    )
+    least = materialize(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "components")
+    found = linked.join(least, "root").select(F.col("fingerprint").alias("node"), "component_id")
+    ids = nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", F.coalesce("component_id", "least_id").alias("component_id")
     )
-    least = of_node.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    ids = of_node.join(least, "root").select("fingerprint", "component_id")
+    return made, materialize(ids, "component-ids")
+
+
+def near_copies(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fingerprint hex, component_id) of every row of ``docs`` (doc_id, text, ...)."""
+    made, ids = _grouped(docs, size, distance)
     return made.join(ids, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -213,8 +226,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows that share a kept doc_id are one document; one of them stays.
     """
-    found = near_copies(docs)
-    kept = found.where("doc_id <=> component_id").select("doc_id").distinct()
+    _, ids = _grouped(docs, SHINGLE_WORDS, DISTANCE)
+    kept = ids.select(F.col("component_id").alias("doc_id")).distinct()
     rows = docs.alias("d").join(kept.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi")
     return rows.dropDuplicates(["doc_id"])
 
