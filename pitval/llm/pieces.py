@@ -23,8 +23,11 @@ through.
 
 from __future__ import annotations
 
+import gc
 import re
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -41,6 +44,8 @@ MARK = "▁"
 KEPT_WORDS = 800_000
 KEPT_PAIRS = 1_000_000
 KEPT_LENGTH = 64
+#: A prefix without a state, and the first id of characters that have no piece.
+UNSET, UNKNOWN_FROM = -1, 1 << 20
 UNIGRAM, PAIRS = "unigram", "pairs"
 _SPACED = re.compile(r" *[^ ]+| +")
 
@@ -59,14 +64,21 @@ class PieceModel:
             raise ValueError("a piece has a mark after another character: words can't be cut")
         self.scores, self.ids, self.byte_ids, self.kind = scores, ids, byte_ids, kind
         self.longest = max(map(len, scores), default=1)
-        #: What some longer piece begins with.
-        self.heads = {p[:k] for p in scores for k in range(1, len(p))}
+        #: For each piece and each beginning of one: twice its id (-2 if it has none), plus one if a longer piece begins so.
+        self.codes = {p: 2 * i for p, i in ids.items()}
+        for p in scores:
+            for k in range(1, len(p)):
+                self.codes[p[:k]] = self.codes.get(p[:k], -2) | 1
         self.least = min(scores.values(), default=0.0) - 10.0
-        self.bytes_of = {i: p.replace(MARK, " ").encode() for p, i in ids.items()}
-        self.bytes_of |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        of = {i: p.replace(MARK, " ").encode() for p, i in ids.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        spelled = [of.get(i, b"") for i in range(max(of, default=-1) + 1)]
+        #: Bytes of all ids end to end, and where each begins.
+        self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
+        self.begins = np.concatenate(([0], np.cumsum(list(map(len, spelled))))).astype(np.int64)
+        #: Ids of words as bytes of 32-bit numbers.
+        self.words: dict[str, bytes] = {}
+        #: May the piece with one id follow the piece with another?
+        self.pairs: dict[int, bool] = {}
 
     @staticmethod
     def load(path: str) -> PieceModel:
@@ -100,65 +112,65 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, before: str | None, piece: str) -> bool:
-        """May ``piece`` follow ``before`` (nothing, for None)?"""
-        if before is None:
-            found = self.whole.get(piece)
-            if found is None:
-                found = self.whole[piece] = len(self.merged(piece)) == 1
-            return found
-        pair = (before, piece)
-        found = self.pairs.get(pair)
-        if found is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[pair] = self.merged(before + piece) == [before, piece]
+    def stands(self, key: int, before: str, piece: str) -> bool:
+        """May ``piece`` follow ``before`` (nothing, if empty)? Kept under ``key``."""
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
         return found
 
-    def extend(self, word: str, last: list[str | None], best: list[float], begin: int) -> None:
-        """Forward states of the prefixes of ``word`` longer than ``begin``."""
-        scores, heads = self.scores, self.heads
-        unigram = self.kind == UNIGRAM
+    def extend(self, word: str, last: list[int], sizes: list[int], best: list[float], begin: int) -> None:
+        """Forward states of the prefixes of ``word`` longer than ``begin``: the id and length
+        of the last piece on the best path, and that path's sum."""
+        code_of, known, pairs = self.codes.get, self.pairs.get, self.kind == PAIRS
         size = len(word)
-        last += [None] * (size - begin)
+        last += [UNSET] * (size - begin)
+        sizes += [0] * (size - begin)
         best += [-float("inf")] * (size - begin)
         for start in range(max(0, begin + 1 - self.longest), size):
             before = last[start]
-            for end in range(max(start, begin) + 1, size + 1):
+            for end in range((start if start > begin else begin) + 1, size + 1):
                 piece = word[start:end]
-                own = scores.get(piece)
-                if own is None and end == start + 1:
-                    own = self.least  # a character without a piece stands alone
-                if own is not None:
-                    if unigram:
-                        if best[start] + own > best[end]:
-                            last[end], best[end] = piece, best[start] + own
-                    elif last[end] is None and self.stands(before, piece):
-                        last[end] = piece
-                if piece not in heads:
+                code = code_of(piece)
+                if code is None or (code < 0 and end == start + 1):
+                    if end == start + 1 and (last[end] == UNSET or best[start] + self.least > best[end]):
+                        # A character without a piece stands alone.
+                        last[end], sizes[end], best[end] = UNKNOWN_FROM + ord(piece), 1, best[start] + self.least
+                    if code is None:
+                        break
+                elif code >= 0:
+                    own = code >> 1
+                    if not pairs:
+                        total = best[start] + self.scores[piece]
+                        if total > best[end]:
+                            last[end], sizes[end], best[end] = own, end - start, total
+                    elif last[end] == UNSET:
+                        key = (before << 22) | own
+                        fits = known(key)
+                        if fits is None:
+                            fits = self.stands(key, word[start - sizes[start] : start], piece)
+                        if fits:
+                            last[end], sizes[end] = own, end - start
+                if not code & 1:
                     break
 
-    def path(self, word: str, last: list[str | None]) -> tuple[int, ...]:
-        pieces: list[str] = []
-        end = len(word)
-        while end:
-            pieces.append(last[end])
-            end -= len(last[end])
+    def path(self, end: int, last: list[int], sizes: list[int]) -> tuple[int, ...]:
         made: list[int] = []
-        for piece in reversed(pieces):
-            own = self.ids.get(piece)
-            if own is None:
-                made += [self.byte_ids[b] for b in piece.encode()]
-            else:
+        while end:
+            own = last[end]
+            if own < UNKNOWN_FROM:
                 made.append(own)
+            else:
+                made += [self.byte_ids[b] for b in reversed(chr(own - UNKNOWN_FROM).encode())]
+            end -= sizes[end]
+        made.reverse()
         return tuple(made)
 
     def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
         """The ids of marked words, each given without its first mark."""
         made: dict[str, tuple[int, ...]] = {}
         before = ""
-        last: list[str | None] = [None]
-        best = [0.0]
+        last, sizes, best = [UNSET], [0], [0.0]
         for key in sorted(words):
             word = MARK + key.replace(" ", MARK)
             common = 0
@@ -166,13 +178,14 @@ class PieceModel:
                 if a != b:
                     break
                 common += 1
-            del last[common + 1 :], best[common + 1 :]
-            self.extend(word, last, best, common)
-            made[key] = self.path(word, last)
+            del last[common + 1 :], sizes[common + 1 :], best[common + 1 :]
+            self.extend(word, last, sizes, best, common)
+            made[key] = self.path(len(word), last, sizes)
             before = word
         return made
 
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+    def encode(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as bytes of 32-bit numbers."""
         cut: list[list[str] | None] = []
         for text in texts:
             if not text:
@@ -188,19 +201,35 @@ class PieceModel:
             for old in list(islice(known, len(known) // 2)):
                 del known[old]
         fresh = self.encode_words(set(chain.from_iterable(c for c in cut if c)).difference(known))
-        known.update(fresh)
-        made = [None if c is None else list(chain.from_iterable(map(known.__getitem__, c))) for c in cut]
+        known.update((w, array("i", ids).tobytes()) for w, ids in fresh.items())
+        made = [None if c is None else b"".join(map(known.__getitem__, c)) for c in cut]
         for word in [w for w in fresh if len(w) > KEPT_LENGTH]:
             del known[word]
         return made
 
-    def decode(self, ids: list[int] | None) -> str | None:
-        """The text of ids; the first space is the added mark. Ids that mean nothing give nothing."""
-        if ids is None:
-            return None
-        of = self.bytes_of
-        text = b"".join(of.get(i, b"") for i in ids).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """The UTF-8 bytes of rows of ids laid end to end; the first space is the added mark.
+
+        Ids that mean nothing give nothing.
+        """
+        ids = np.where((ids >= 0) & (ids < len(self.begins) - 1), ids, 0)
+        sizes = self.begins[ids + 1] - self.begins[ids]
+        ends = np.cumsum(sizes)
+        data = self.spelling[np.repeat(self.begins[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        at = np.concatenate(([0], ends))[starts].tolist()
+        return [data[a + (data[a : a + 1] == b" " and a < b) : b] for a, b in zip(at, at[1:], strict=False)]
+
+
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the collector of reference cycles: it would walk the kept words again and again, and here are no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
 
 
 @lru_cache(maxsize=2)
@@ -217,9 +246,10 @@ def encode(docs: DataFrame, path: str, into: str = "ids", text: str = "text") ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
         for batch in in_pieces(batches, text):
-            made = own.encode(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            sizes = [0 if m is None else len(m) for m in made]
-            flat = np.fromiter(chain.from_iterable(m for m in made if m), np.int32, sum(sizes))
+            with no_collection():
+                made = own.encode(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            sizes = [0 if m is None else len(m) // 4 for m in made]
+            flat = np.frombuffer(b"".join(m for m in made if m), np.int32)
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             missing = pa.array([m is None for m in made])
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=missing)
@@ -239,7 +269,11 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                made = [own.decode(i) for i in part.column(part.schema.get_field_index(ids)).to_pylist()]
+                lists = part.column(part.schema.get_field_index(ids))
+                missing = lists.is_null().to_pylist()
+                starts = np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+                flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                made = [None if x else m.decode("utf-8", "replace") for m, x in zip(own.decode(flat, starts), missing, strict=True)]
                 kept = [part.column(part.schema.get_field_index(c)) for c in columns]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.string())], [*columns, into])
 
