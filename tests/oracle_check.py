@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -60,14 +61,15 @@ def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str:
 
 
 def main() -> int:
-    from pitval.queries import ORACLES, callables
+    from __spark_entry__ import oracle_sql, queries
     from pitval.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    keys = sys.argv[2:] or list(callables())
+    known, sql = queries(), oracle_sql()
+    keys = sys.argv[2:] or list(known)
     spark = build_session(
         "oracle-check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="oracle-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
@@ -75,15 +77,15 @@ def main() -> int:
     for key in keys:
         start = time.time()
         try:
-            df = callables()[key](spark, folder)
-            if key in ORACLES:
-                message = compare(df, con, ORACLES[key])
+            df = known[key](spark, folder)
+            if key in sql:
+                message = compare(df, con, sql[key])
             else:
                 message = "" if df.count() > 0 else "no rows"
         except Exception as error:  # noqa: BLE001
             message = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(message)
-        kind = "F" if key in ORACLES else "R"
+        kind = "F" if key in sql else "R"
         print(f"{'ok  ' if not message else 'FAIL'} {kind} {key:26s} {time.time() - start:6.1f}s {message}", flush=True)
     print(f"{len(keys) - bad} of {len(keys)} ok")
     return bad
