@@ -13,7 +13,7 @@ from pitval.plans import evaluate as ev
 from pitval.plans import forecast
 from pitval.queries.catalogue import query, rounded
 from pitval.queries.points import LAG1_SQL, TOTALS_SQL, lag1_prepared
-from pitval.queries.views import MODEL_COLUMNS, Views
+from pitval.queries.views import MODEL_COLUMNS, MORE_COLUMNS, Views
 from pitval.session import materialize
 
 HOLDOUT = [2000, 2001]
@@ -169,33 +169,33 @@ def _predicted(v: Views, fit: md.Fit) -> DataFrame:
 def ridge_sql(name: str, train: str, columns: list[str], alpha: float = C.RIDGE_ALPHA) -> str:
     """CTEs that solve a ridge regression on ``train``: the normal equations of imputed,
     standardized features, eliminated column by column. ``{name}_fit`` has one row: means
-    ``m``, deviations ``s``, weights ``w`` of the standardized features, and ``y`` the mean outcome."""
+    ``centre``, deviations ``spread``, weights ``weight`` of the standardized features, and ``mean_outcome``."""
     k = len(columns)
     means = ", ".join(f"avg({c})" for c in columns)
-    centred = ", ".join(f"coalesce({c}, m[{i}]) - m[{i}]" for i, c in enumerate(columns, 1))
+    centred = ", ".join(f"coalesce({c}, centre[{i}]) - centre[{i}]" for i, c in enumerate(columns, 1))
     spread = ", ".join(f"stddev_pop(z[{i}])" for i in range(1, k + 1))
     lines = []
     for i in range(1, k + 1):
-        cells = [f"sum(z[{i}] * z[{j}] / s[{i}] / s[{j}])" + (f" + {alpha}" if i == j else "") for j in range(1, k + 1)]
-        lines.append(f"[{', '.join([*cells, f'sum(z[{i}] * d / s[{i}])'])}]")
+        cells = [f"sum(z[{i}] * z[{j}] / spread[{i}] / spread[{j}])" + (f" + {alpha}" if i == j else "") for j in range(1, k + 1)]
+        lines.append(f"[{', '.join([*cells, f'sum(z[{i}] * d / spread[{i}])'])}]")
     at = "p[1][1]::INTEGER"
-    return f"""{name}_mean AS (SELECT [{means}] AS m, avg(outcome) AS y FROM {train}),
-    {name}_row AS (SELECT [{centred}] AS z, outcome - y AS d FROM {train}, {name}_mean),
-    {name}_spread AS (SELECT [{spread}] AS s FROM {name}_row),
+    return f"""{name}_mean AS (SELECT [{means}] AS centre, avg(outcome) AS mean_outcome FROM {train}),
+    {name}_row AS (SELECT [{centred}] AS z, outcome - mean_outcome AS d FROM {train}, {name}_mean),
+    {name}_spread AS (SELECT [{spread}] AS spread FROM {name}_row),
     {name}_system AS (SELECT [{', '.join(lines)}] AS a FROM {name}_row, {name}_spread),
     {name}_fit AS (
-      SELECT m, s, y, list_transform(
+      SELECT centre, spread, mean_outcome, list_transform(
         list_reduce(list_transform(range(1, {k + 1}), lambda i: [[i::DOUBLE]]),
           lambda q, p: list_transform(q, lambda r, i: CASE WHEN i = {at}
             THEN list_transform(r, lambda x: x / r[i])
             ELSE list_transform(r, lambda x, j: x - r[{at}] * q[{at}][j] / q[{at}][{at}]) END),
-          a), lambda r: r[{k + 1}]) AS w
+          a), lambda r: r[{k + 1}]) AS weight
       FROM {name}_system, {name}_mean, {name}_spread)"""
 
 
 def ridge_value(columns: list[str]) -> str:
     """The prediction of a row next to ``{name}_fit``."""
-    return "y + " + " + ".join(f"w[{i}] * (coalesce({c}, m[{i}]) - m[{i}]) / s[{i}]" for i, c in enumerate(columns, 1))
+    return "mean_outcome + " + " + ".join(f"weight[{i}] * (coalesce({c}, centre[{i}]) - centre[{i}]) / spread[{i}]" for i, c in enumerate(columns, 1))
 
 
 PREPARED_SQL = (
@@ -274,7 +274,7 @@ def model_blend(v: Views) -> DataFrame:
     {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
     guesses AS ("""
     + " UNION ALL ".join(
-        f"""SELECT '{role}: naive_mean' AS model, outcome AS actual, y AS predicted FROM {role}_test, {role}_fit
+        f"""SELECT '{role}: naive_mean' AS model, outcome AS actual, mean_outcome AS predicted FROM {role}_test, {role}_fit
       UNION ALL SELECT '{role}: naive_last', outcome, outcome_this_period FROM {role}_test
       UNION ALL SELECT '{role}: model', outcome, {ridge_value(columns)} FROM {role}_test, {role}_fit"""
         for role, columns in ROLE_COLUMNS.items()
@@ -339,6 +339,108 @@ def model_comparison(v: Views) -> DataFrame:
     return _both_roles(v, lambda rows, columns: ev.compare_models(rows, columns, None, HOLDOUT, "target_period"))
 
 
+# ---- reports on the full feature sets ---------------------------------------------
+
+FULL_COLUMNS = [*dict.fromkeys([*MODEL_COLUMNS, "ip", *MORE_COLUMNS])]
+FULL_SQL = (
+    LAG1_SQL
+    + """,
+    full_rows AS (
+      SELECT f.*, outcome_this_period, outcome, target_period,
+             CASE WHEN f.ip <> 0 THEN 9 * f.bb / f.ip END AS bb9, CASE WHEN f.ip <> 0 THEN 9 * f.hr / f.ip END AS hr9
+      FROM features f JOIN lag1 USING (entity_id, period, role)),
+    full_prepared AS (
+      SELECT l.*, CASE WHEN l.role = 'bat' THEN r.def_runs END AS prior_def_runs
+      FROM full_rows l ASOF LEFT JOIN hist r ON l.entity_id = r.entity_id AND l.target_period > r.period)"""
+)
+
+
+def full_prepared(v: Views) -> DataFrame:
+    outcomes = v.outcomes()
+    return materialize(
+        ft.with_prior_fielding(
+            ft.lag1_rows(v.features(), outcomes, FULL_COLUMNS), ft.fielding_history(outcomes), "target_period"
+        ),
+        "full-prepared",
+    )
+
+
+def sets_sql(role: str, sets: dict[str, list[str]]) -> str:
+    """Scores of a ridge regression on each set of features."""
+    fits = ", ".join(ridge_sql(f"set{i}", f"{role}_train", columns) for i, columns in enumerate(sets.values()))
+    guesses = " UNION ALL ".join(
+        f"SELECT '{name}' AS model, outcome AS actual, {ridge_value(columns)} AS predicted FROM {role}_test, set{i}_fit"
+        for i, (name, columns) in enumerate(sets.items())
+    )
+    return f"""{FULL_SQL}, {side_sql('full_prepared', 'target_period')}, {fits}, guesses AS ({guesses})
+    SELECT model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY model"""
+
+
+@query(
+    "fielding_ablation",
+    sets_sql(
+        C.ROLE_BAT,
+        {
+            "without prior_def_runs": [c for c in C.BAT_FEATURES if c != C.PRIOR_FIELDING],
+            "with prior_def_runs": C.BAT_FEATURES,
+        },
+    ),
+)
+def fielding_ablation(v: Views) -> DataFrame:
+    scores = ev.fielding_ablation(full_prepared(v), holdout=HOLDOUT, period="target_period")
+    return rounded(scores, 6, "mae", "rmse", "r2")
+
+
+@query(
+    "extra_features_ablation",
+    sets_sql(
+        C.ROLE_BAT,
+        {
+            "without extra": [c for c in C.BAT_FEATURES if c not in C.EXTRA_BAT_FEATURES],
+            "with extra": C.BAT_FEATURES,
+        },
+    ),
+)
+def extra_features_ablation(v: Views) -> DataFrame:
+    scores = ev.extra_features_ablation(full_prepared(v), holdout=HOLDOUT, period="target_period")
+    return rounded(scores, 6, "mae", "rmse", "r2")
+
+
+@query("pitch_feature_swap", sets_sql(C.ROLE_PITCH, {"current": C.PITCH_FEATURES, "skill": C.SKILL_PITCH_FEATURES}))
+def pitch_feature_swap(v: Views) -> DataFrame:
+    scores = ev.pitch_feature_swap(full_prepared(v), holdout=HOLDOUT, period="target_period")
+    return rounded(scores, 6, "mae", "rmse", "r2")
+
+
+@query(
+    "evaluate_same_period",
+    SAME_SQL
+    + f""",
+    joined AS (
+      SELECT r.*, CASE WHEN r.role = 'bat' THEN h.def_runs END AS prior_def_runs
+      FROM rows r ASOF LEFT JOIN hist h ON r.entity_id = h.entity_id AND r.period > h.period),
+    {side_sql('joined', 'period')},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
+    guesses AS ("""
+    + " UNION ALL ".join(
+        f"""SELECT '{role}: naive_mean' AS model, outcome AS actual, mean_outcome AS predicted FROM {role}_test, {role}_fit
+      UNION ALL SELECT '{role}: naive_last', outcome, prior FROM last_seen WHERE role = '{role}'
+      UNION ALL SELECT '{role}: model', outcome, {ridge_value(columns)} FROM {role}_test, {role}_fit"""
+        for role, columns in ROLE_COLUMNS.items()
+    )
+    + f") SELECT model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY model",
+)
+def evaluate_same_period(v: Views) -> DataFrame:
+    """Model and baselines on features and outcomes of one period."""
+    rows = materialize(
+        ft.with_prior_fielding(same_period_rows(v), ft.fielding_history(v.outcomes())), "same-period"
+    )
+    scores = ev.union_all(
+        [ev.evaluate_role(rows, role, columns, HOLDOUT) for role, columns in ROLE_COLUMNS.items()]
+    )
+    return rounded(scores, 6, "mae", "rmse", "r2")
+
+
 # ---- value and pair quality ------------------------------------------------------
 
 FRAME_SQL = (
@@ -471,6 +573,27 @@ def precision_at_k(v: Views) -> DataFrame:
     return rounded(both, 6, "rate").select("kind", "n", "rate")
 
 
+@query(
+    "surplus_accuracy",
+    FRAME_SQL
+    + """,
+    ranked AS (
+      SELECT rank() OVER (ORDER BY naive_surplus) + (count(*) OVER (PARTITION BY naive_surplus) - 1) / 2.0 AS a,
+             rank() OVER (ORDER BY realized_value) + (count(*) OVER (PARTITION BY realized_value) - 1) / 2.0 AS b,
+             realized_value, row_number() OVER (ORDER BY naive_surplus DESC, entity_id) AS place
+      FROM frame)
+    SELECT 'naive_surplus' AS score, round(corr(a, b), 6) AS rho,
+           round(avg(CASE WHEN realized_value > 0 THEN 1.0 ELSE 0.0 END) FILTER (WHERE place <= 20), 6) AS precision,
+           round(avg(CASE WHEN realized_value > 0 THEN 1.0 ELSE 0.0 END), 6) AS base_rate
+    FROM ranked""",
+)
+def surplus_accuracy(v: Views) -> DataFrame:
+    frame = materialize(naive_frame(v).select("entity_id", "naive_surplus", "realized_value"), "frame")
+    return rounded(ev.surplus_accuracy(frame, ["naive_surplus"]), 6, "rho", "precision", "base_rate").select(
+        "score", "rho", "precision", "base_rate"
+    )
+
+
 PAIR_SQL = (
     FRAME_SQL
     + """,

@@ -19,6 +19,13 @@ CURRENT_PERIOD = 2001
 CURRENT_MONTH = 2001 * 12 + 11
 FEED_DATES = ("2024-01-01", "2024-01-15")
 MODEL_COLUMNS = ["pa", "h", "hr", "bb", "obp", "age"]
+#: The remaining model features: a remainder of a key each.
+MORE_COLUMNS = {
+    "so": ("l_orderkey", 97), "sb": ("l_suppkey", 13), "slg": ("l_orderkey", 11), "r": ("l_partkey", 31),
+    "rbi": ("l_suppkey", 37), "doubles": ("l_orderkey", 19), "triples": ("l_partkey", 7), "cs": ("l_suppkey", 5),
+    "era": ("l_orderkey", 23), "whip": ("l_partkey", 3), "gs": ("l_suppkey", 29), "w": ("l_orderkey", 17),
+    "l": ("l_partkey", 13), "sv": ("l_suppkey", 7), "so9": ("l_orderkey", 14),
+}
 RATE_COLUMNS = ["ip", "bb", "hr"]
 
 
@@ -70,6 +77,7 @@ class Views:
             (F.col("l_extendedprice") / 100000.0).alias("obp"),
             (F.col("l_quantity") % 10).alias("ip"),
             (18 + F.col("l_partkey") % 25).cast("int").alias("age"),
+            *[(F.col(source) % size).cast("double").alias(name) for name, (source, size) in MORE_COLUMNS.items()],
             F.col("l_orderkey"),
             F.col("l_suppkey"),
         )
@@ -243,7 +251,13 @@ raw_features AS (
          CASE WHEN l_linenumber <> 7 THEN CAST(l_linenumber AS DOUBLE) END AS h,
          round(l_discount * 100) AS hr, round(l_tax * 100) AS bb,
          l_extendedprice / 100000.0 AS obp, l_quantity % 10 AS ip,
-         CAST(18 + l_partkey % 25 AS INTEGER) AS age, l_orderkey, l_suppkey
+         CAST(18 + l_partkey % 25 AS INTEGER) AS age,
+         CAST(l_orderkey % 97 AS DOUBLE) AS so, CAST(l_suppkey % 13 AS DOUBLE) AS sb, CAST(l_orderkey % 11 AS DOUBLE) AS slg,
+         CAST(l_partkey % 31 AS DOUBLE) AS r, CAST(l_suppkey % 37 AS DOUBLE) AS rbi, CAST(l_orderkey % 19 AS DOUBLE) AS doubles,
+         CAST(l_partkey % 7 AS DOUBLE) AS triples, CAST(l_suppkey % 5 AS DOUBLE) AS cs, CAST(l_orderkey % 23 AS DOUBLE) AS era,
+         CAST(l_partkey % 3 AS DOUBLE) AS whip, CAST(l_suppkey % 29 AS DOUBLE) AS gs, CAST(l_orderkey % 17 AS DOUBLE) AS w,
+         CAST(l_partkey % 13 AS DOUBLE) AS l, CAST(l_suppkey % 7 AS DOUBLE) AS sv, CAST(l_orderkey % 14 AS DOUBLE) AS so9,
+         l_orderkey, l_suppkey
   FROM lineitem),
 features AS (
   SELECT * FROM raw_features
