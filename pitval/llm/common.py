@@ -22,6 +22,22 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+HASH_RANGE = 1 << 40
+
+
+def hash_order(*keys: str) -> Column:
+    """A place in 0..HASH_RANGE - 1 that only the keys decide."""
+    return F.pmod(F.xxhash64(*keys), F.lit(HASH_RANGE))
+
+
+def share_for(wanted: int, rows: int) -> int:
+    """Places below this hold some four times ``wanted`` of ``rows`` rows, or all rows if there are few.
+
+    Cutting here first leaves a bounded number of rows to rank, however many tasks there are.
+    """
+    return HASH_RANGE if rows <= 4 * wanted else int(HASH_RANGE * 4 * wanted / rows)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column end to end, and where each row starts (one more than rows).
 

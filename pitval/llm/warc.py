@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitval.llm.common import read
+from pitval.llm.common import hash_order, read, share_for
 from pitval.session import materialize, scratch_path
 
 LEAST_REVISIT = 1000
@@ -177,8 +177,9 @@ def with_references(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Archives ``pages`` in ``folder``; (path, records, bytes) of every archive, as a written table."""
-    spark = pages.sparkSession
-    sample = pages.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).orderBy(F.xxhash64("page_id")).limit(SAMPLE_RECORDS)
+    place_of = hash_order("page_id", "url")
+    few = pages.where(place_of < share_for(SAMPLE_RECORDS, pages.count()))
+    sample = few.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).orderBy(place_of, "page_id", "url").limit(SAMPLE_RECORDS)
     samples = [record(r["page_id"], r["url"], (r["html"] or "").encode(), None, False) for r in sample.collect()]
     dictionary = build_dictionary(samples)
 
