@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitval.llm.common import in_pieces, read
+from pitval.llm.common import hash_order, in_pieces, read, share_for
 from pitval.session import materialize
 
 SAMPLE = 600
@@ -116,8 +116,14 @@ def fit(counts: list[tuple[str, str, int]]) -> Model:
 def train(docs: DataFrame) -> Model:
     """Fitted on a bounded sample of the rows that are not held out."""
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = labelled.select("lang", F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("id")).alias("k"))
-    # Only ids are ranked; at most SAMPLE rows of a language leave each task.
+    # Languages are the model's columns: few.
+    cuts = {r["lang"]: share_for(SAMPLE, r["count"]) for r in labelled.groupBy("lang").count().collect()}
+    if not cuts:
+        return fit([])
+    place = hash_order("doc_id")
+    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[F.col("lang")]
+    chosen = labelled.where(place < cut).select("lang", F.struct(place.alias("h"), F.col("doc_id").alias("id")).alias("k"))
+    # Some 4 x SAMPLE rows of each language are left to rank.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
     first = materialize(chosen.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("lang", "k.id"), "language-sample")
     ids = F.broadcast(first.select(F.col("id").alias("sample_id"), F.col("lang").alias("sample_lang")).distinct())
