@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitval.llm.common import in_pieces, read, utf8
+from pitval.llm.common import hash_order, in_pieces, read, share_for, utf8
 
 SAMPLE = 500
 CONTENT_SHARE = 0.5
@@ -239,7 +239,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     judged = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("judged_id"), "quality").distinct()
     chosen = None
     for value in (0, 1):
-        part = judged.where(F.col("quality") == value).orderBy(F.xxhash64("judged_id"), "judged_id").limit(SAMPLE)
+        own = judged.where(F.col("quality") == value)
+        own = own.where(hash_order("judged_id") < share_for(SAMPLE, own.count()))
+        part = own.orderBy(hash_order("judged_id"), "judged_id").limit(SAMPLE)
         chosen = part if chosen is None else chosen.union(part)
     # At most 2 x SAMPLE short rows.
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("judged_id"))
