@@ -41,7 +41,7 @@ from pitval.llm.common import in_pieces, read
 
 MARK = "▁"
 #: Words, pairs of pieces that are kept from one batch to the next, and the longest such word.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 KEPT_PAIRS = 1_000_000
 KEPT_LENGTH = 64
 #: A prefix without a state, and the first id of characters that have no piece.
