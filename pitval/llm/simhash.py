@@ -20,7 +20,7 @@ are not read, so their names cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -82,8 +82,8 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return found
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The ``keys``, which are whole numbers, and the fingerprint as a signed long, of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, "text", 1 << 20):
@@ -91,10 +91,10 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
             counts = np.fromiter(map(len, hashes), np.int64, len(hashes))
             flat = np.fromiter((h for own in hashes for h in own), np.uint64, int(counts.sum()))
             made = majority(flat, counts).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(made)], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(made)], [*keys, "fingerprint"])
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(work, "doc_id bigint, fingerprint bigint")
+    chosen = docs.select(*(F.col(k).cast("long").alias(k) for k in keys), F.col("text").cast("string").alias("text"))
+    return chosen.mapInArrow(work, ", ".join(f"{k} bigint" for k in [*keys, "fingerprint"]))
 
 
 def _asked(value: F.Column, bits: int, radius: int) -> F.Column:
@@ -192,23 +192,24 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(docs: DataFrame, size: int, distance: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fingerprint) of every row, and (fingerprint, component_id).
+def _grouped(docs: DataFrame, size: int, distance: int, keys: Sequence[str] = ("doc_id",)) -> tuple[DataFrame, DataFrame]:
+    """The ``keys`` and fingerprint of every row, and (fingerprint, root, component_id).
 
     Tables that meet on a component or a fingerprint are written first: a join of two plain
     tables can be split where one component or fingerprint holds very many rows, one above an
     aggregation can't.
     """
-    made = materialize(fingerprints(docs, size), "fingerprints")
+    made = materialize(fingerprints(docs, size, keys), "fingerprints")
     nodes = materialize(made.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "nodes")
     roots = components(materialize(links(nodes, distance), "links"))
     linked = materialize(
         roots.join(nodes, F.col("node") == F.col("fingerprint")).select("fingerprint", "root", "least_id"), "linked"
     )
     least = materialize(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "components")
-    found = linked.join(least, "root").select(F.col("fingerprint").alias("node"), "component_id")
+    found = linked.join(least, "root").select(F.col("fingerprint").alias("node"), "root", "component_id")
     ids = nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("component_id", "least_id").alias("component_id")
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"),
+        F.coalesce("component_id", "least_id").alias("component_id"),
     )
     return made, materialize(ids, "component-ids")
 
@@ -221,15 +222,36 @@ def near_copies(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DIST
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group the document with the least id.
+def _row_hash(docs: DataFrame) -> F.Column:
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # The hash passes over nulls, so their places count too.
+    return F.xxhash64(*columns, *(c.isNull() for c in columns))
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """doc_id, a hash of the whole row, and the text of every row."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _row_hash(docs).alias("row_hash"),
+        F.col("text").cast("string").alias("text"),
+    )
+
 
-    Rows that share a kept doc_id are one document; one of them stays.
+def one_of_each(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each root of ``roots`` (doc_id, row_hash, root).
+
+    The row with the least id stays, rows without an id come last, and of those left the least
+    hash decides, so the choice is the same at each run. Equal rows are one row.
     """
-    _, ids = _grouped(docs, SHINGLE_WORDS, DISTANCE)
-    kept = ids.select(F.col("component_id").alias("doc_id")).distinct()
-    rows = docs.alias("d").join(kept.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
+    kept = materialize(roots.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.row_hash").alias("_kept")).distinct(), "kept-rows")
+    rows = docs.withColumn("_row", _row_hash(docs)).join(kept, F.col("_row") == F.col("_kept"), "left_semi")
+    return rows.dropDuplicates(["_row"]).drop("_row")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: one row of each group, as ``one_of_each`` chooses it."""
+    made, ids = _grouped(row_keys(docs), SHINGLE_WORDS, DISTANCE, ("doc_id", "row_hash"))
+    return one_of_each(docs, made.join(ids, "fingerprint").select("doc_id", "row_hash", "root"))
 
 
 def op6(spark, folder):
