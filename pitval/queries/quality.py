@@ -649,3 +649,113 @@ def pair_realized_gap(v: Views) -> DataFrame:
 def pair_gap_median(v: Views) -> DataFrame:
     frame = materialize(naive_frame(v), "frame")
     return rounded(ev.pairing_quality(frame, "naive_surplus"), 2, "median_gap")
+
+
+SCORES = ["predicted_surplus", "naive_surplus"]
+
+
+def surplus_sql(value: str) -> str:
+    """Surplus over three periods from a value, next to ``kept``, ``a`` and costs ``c0`` to ``c2``."""
+    declines = [f"(1 - CASE WHEN a + {n} <= 27 THEN 0.0 ELSE least(0.03 * (a + {n} - 27) - 0.02, 0.40) END)" for n in (1, 2)]
+    return f"""round({value} * 8000000 - c0 + {value} * {declines[0]} * 8000000 / 1.08 - c1
+          + {value} * {declines[0]} * {declines[1]} * 8000000 / power(1.08, 2) - c2, 2)"""
+
+
+MODEL_FRAME_SQL = (
+    PREPARED_SQL
+    + f""",
+    {', '.join(f"{role}_train AS (SELECT * FROM prepared WHERE role = '{role}' AND target_period < 2000)" for role in ROLE_COLUMNS)},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
+    predicted AS (
+      {' UNION ALL '.join(
+        f'''SELECT entity_id, role, age + 1 AS a, outcome, outcome_this_period AS naive, {ridge_value(columns)} AS predicted
+      FROM prepared, {role}_fit WHERE role = '{role}' AND target_period = 2000''' for role, columns in ROLE_COLUMNS.items()
+      )}),
+    period_costs AS (
+      SELECT entity_id, period, max(cost) AS cost FROM outcomes WHERE cost IS NOT NULL GROUP BY ALL),
+    dims AS (
+      SELECT entity_id, first_name || ' ' || last_name AS name, g AS group_code
+      FROM (SELECT entity_id, min(group_code) AS g FROM features WHERE period = 2000 GROUP BY 1)
+      JOIN registry USING (entity_id)),
+    kept AS (
+      SELECT p.*, name, group_code,
+             coalesce(c0.cost, 760000) AS c0, coalesce(c1.cost, 760000) AS c1, coalesce(c2.cost, 760000) AS c2
+      FROM predicted p JOIN dims USING (entity_id)
+      LEFT JOIN period_costs c0 ON c0.entity_id = p.entity_id AND c0.period = 2000
+      LEFT JOIN period_costs c1 ON c1.entity_id = p.entity_id AND c1.period = 2001
+      LEFT JOIN period_costs c2 ON c2.entity_id = p.entity_id AND c2.period = 2002
+      WHERE a IS NOT NULL AND name IS NOT NULL AND group_code IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY p.entity_id ORDER BY predicted DESC, role) = 1),
+    frame AS (
+      SELECT entity_id, group_code, {surplus_sql('predicted')} AS predicted_surplus,
+             {surplus_sql('naive')} AS naive_surplus, round(outcome * 8000000 - c0, 2) AS realized_value
+      FROM kept)"""
+)
+
+
+def ridge_frame(v: Views) -> DataFrame:
+    """The evaluation frame with ridge predictions for both roles, with rounded money columns."""
+    frame = ev.build_evaluation_frame(
+        v.features(), v.outcomes(), v.registry(), 2000, MODEL_COLUMNS,
+        {C.ROLE_BAT: (BAT, md.fit_ridge), C.ROLE_PITCH: (PITCH, md.fit_ridge)},
+    )
+    return materialize(
+        rounded(frame, 2, *SCORES, "realized_value").select("entity_id", "group_code", "name", *SCORES, "realized_value"), "frame"
+    )
+
+
+@query(
+    "surplus_accuracy_model",
+    MODEL_FRAME_SQL
+    + ", "
+    + ", ".join(
+        f"""ranked_{score} AS (
+      SELECT rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS a,
+             rank() OVER (ORDER BY realized_value) + (count(*) OVER (PARTITION BY realized_value) - 1) / 2.0 AS b,
+             realized_value, row_number() OVER (ORDER BY {score} DESC, entity_id) AS place
+      FROM frame)"""
+        for score in SCORES
+    )
+    + " UNION ALL ".join(
+        f""" SELECT '{score}' AS score, round(corr(a, b), 6) AS rho,
+           round(avg(CASE WHEN realized_value > 0 THEN 1.0 ELSE 0.0 END) FILTER (WHERE place <= 20), 6) AS precision,
+           round(avg(CASE WHEN realized_value > 0 THEN 1.0 ELSE 0.0 END), 6) AS base_rate
+    FROM ranked_{score}"""
+        for score in SCORES
+    ),
+)
+def surplus_accuracy_model(v: Views) -> DataFrame:
+    """Rank quality of the model beside the repeat-last baseline."""
+    return rounded(ev.surplus_accuracy(ridge_frame(v), SCORES), 6, "rho", "precision", "base_rate").select(
+        "score", "rho", "precision", "base_rate"
+    )
+
+
+@query(
+    "pair_gap_median_model",
+    MODEL_FRAME_SQL
+    + """,
+    hashed AS (
+      SELECT entity_id, row_number() OVER (ORDER BY md5('0:' || entity_id), entity_id) AS i FROM frame),
+    random AS (
+      SELECT a.entity_id AS x, b.entity_id AS y FROM hashed a JOIN hashed b ON a.i <= 501 AND b.i <= 501 AND b.i > a.i
+      ORDER BY b.i - a.i, a.i LIMIT 500),
+    chosen AS ("""
+    + " UNION ALL ".join(
+        f"""SELECT '{score}' AS score, 'random' AS kind, x, y FROM random
+      UNION ALL (
+      SELECT '{score}', 'closest', l.entity_id, u.entity_id
+      FROM frame l JOIN frame u ON (l.{score}, l.entity_id) < (u.{score}, u.entity_id)
+      WHERE l.group_code <> u.group_code
+      ORDER BY u.{score} - l.{score}, l.{score} DESC, l.entity_id DESC, u.{score}, u.entity_id LIMIT 20)"""
+        for score in SCORES
+    )
+    + """)
+    SELECT score, kind, count(*) AS pairs, round(median(abs(p.realized_value - q.realized_value)), 2) AS median_gap
+    FROM chosen JOIN frame p ON p.entity_id = x JOIN frame q ON q.entity_id = y GROUP BY score, kind""",
+)
+def pair_gap_median_model(v: Views) -> DataFrame:
+    """Pair quality of the model beside the repeat-last baseline."""
+    frame = ridge_frame(v)
+    parts = [ev.pairing_quality(frame, score).withColumn("score", F.lit(score)) for score in SCORES]
+    return rounded(ev.union_all(parts), 2, "median_gap").select("score", "kind", "pairs", "median_gap")
