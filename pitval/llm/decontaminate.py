@@ -19,7 +19,8 @@ joins shuffle. Items with a common window are kept once as a set, however many
 documents hold it.
 
 Defined cases: a null or empty text has no words: nothing is hit, and the list of items is
-empty. Items without words have no window. Repeated rows get equal results; rows that
+empty. Items without words have no window. Items with a null id hit like any other; as in the SQL,
+all of them count as one in n_items and are not in the hashed list of ids. Repeated rows get equal results; rows that
 share a doc_id but not a text are judged apart. Other columns are not read.
 """
 
@@ -84,7 +85,7 @@ class Benchmark:
     """The items' fingerprints, windows and sets of items."""
 
     def __init__(self, items: DataFrame):
-        tokens = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0 and item is not null")
+        tokens = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0")
         tokens = materialize(tokens.withColumn("n", F.least(F.size("w"), F.lit(WINDOW_WORDS))), "items")
         gram = grams(F.col("w"), GRAM_WORDS)
         least = F.when(F.col("n") == WINDOW_WORDS, winnowed(gram)).otherwise(F.array(F.array_min(gram)))
@@ -96,11 +97,11 @@ class Benchmark:
         by_window = (
             tokens.select("item", F.explode(F.array_distinct(window)).alias("window"))
             .groupBy("window")
-            .agg(F.array_sort(F.collect_set("item")).alias("items"))
+            .agg(F.array_sort(F.collect_set("item")).alias("items"), F.max(F.col("item").isNull().cast("int")).alias("nameless"))
         )
-        both = materialize(by_window.withColumn("set_id", F.xxhash64("items")), "item-windows")
+        both = materialize(by_window.withColumn("set_id", F.xxhash64("items", "nameless")), "item-windows")
         self.windows = both.select("window", "set_id")
-        self.sets = both.select("set_id", "items").dropDuplicates(["set_id"])
+        self.sets = both.select("set_id", "items", "nameless").dropDuplicates(["set_id"])
         self.print_rows, self.window_rows = self.prints.count(), both.count()
         #: Lengths of the windows there are; at most 13 values.
         self.lengths = sorted(r["n"] for r in tokens.select("n").distinct().collect())
@@ -195,10 +196,10 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         per_doc.select(*keys, "n_hit", F.explode("sets").alias("set_id"))
         .join(_maybe_broadcast(bench.sets, bench.window_rows), "set_id")
         .groupBy(*keys)
-        .agg(F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        .agg(F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("nameless").alias("nameless"))
         .select(
             F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"), "n_hit",
-            F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+            (F.size("items") + F.col("nameless")).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         )
     )
     same = rows.doc_id.eqNullSafe(F.col("h_id")) & (rows.text_hash == F.col("h_hash"))
