@@ -7,7 +7,9 @@ decoding labels the lines together; the share of words on content lines decides.
 Training. ``labels`` judges documents, not lines. Lines of good documents are content.
 Lines of bad ones start as boilerplate; a first fit then shows which of them look like
 content, and the second fit uses those labels. At most ``SAMPLE`` documents of either
-judgement are taken, in the order of a hash of their ids; no other bound applies.
+judgement are taken, in the order of a hash of their ids. Where their pieces of
+``TRAIN_LINES`` lines are more than ``TRAIN_PIECES``, long texts give every so many of their
+pieces only; each text gives one at least.
 
 Base figures (whole texts, words are runs without space and \\t to \\r): see ``figures``.
 
@@ -38,6 +40,8 @@ WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 #: A training sequence is cut after so many lines; decoding takes whole texts.
 TRAIN_LINES = 24
+#: Above so many sequences each text is thinned, so that a few texts of thousands of lines don't outweigh the rest.
+TRAIN_PIECES = 8 * SAMPLE
 STEPS = 80
 
 FEATURES = ("bias", "symbols", "marks", "capitals", "digits", "separators", "short", "few_words", "repeated", "long_words")
@@ -234,6 +238,17 @@ def fit(features: np.ndarray, present: np.ndarray, labels: np.ndarray, weight: n
     return Field(theta[: 2 * width].reshape(width, 2), theta[2 * width : 2 * width + 2], theta[2 * width + 2 :].reshape(2, 2))
 
 
+def _thinned(lines: list[bytes], most: int | None = None) -> list[list[np.ndarray]]:
+    """Of each text its pieces of TRAIN_LINES lines; where all are more than ``most``, every so many
+    of each text, its first one always."""
+    cut = []
+    for own in lines:
+        own = np.frombuffer(own, "<f4").reshape(-1, len(FEATURES)).astype(float)
+        cut.append([own[k : k + TRAIN_LINES] for k in range(0, len(own), TRAIN_LINES)])
+    every = max(1, -(-sum(map(len, cut)) // (most or TRAIN_PIECES)))
+    return [own[::every] for own in cut]
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     """The field fitted on a sample of judged documents; None without both judgements."""
     judged = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("judged_id"), "quality").distinct()
@@ -259,14 +274,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     if rows.quality.nunique() < 2:
         return None
     pieces, judged_good = [], []
-    for lines, quality in zip(rows.lines, rows.quality, strict=True):
-        own = np.frombuffer(lines, "<f4").reshape(-1, len(FEATURES)).astype(float)
-        for k in range(0, len(own), TRAIN_LINES):
-            pieces.append(own[k : k + TRAIN_LINES])
-            judged_good.append(quality)
-    # Texts of thousands of lines would outweigh the rest: every so many pieces are enough.
-    every = -(-len(pieces) // (8 * SAMPLE))
-    pieces, good = pieces[::every], np.array(judged_good[::every])
+    for own, quality in zip(_thinned(list(rows.lines)), rows.quality, strict=True):
+        pieces += own
+        judged_good += [quality] * len(own)
+    good = np.array(judged_good)
     longest = max(map(len, pieces))
     features, present = np.zeros((len(pieces), longest, len(FEATURES))), np.zeros((len(pieces), longest), bool)
     for i, own in enumerate(pieces):
