@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitval.llm import decontaminate, minhash, pieces, quality_lines, suffixes
+from pitval.llm import decontaminate, pieces, quality_lines, simhash, suffixes
 from pitval.llm.common import read
 from pitval.session import scratch_path
 
@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return minhash.keep_one(docs)
+    """One document of each group of texts whose fingerprints link stays (op6's shingles and distance)."""
+    return simhash.keep_one(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
