@@ -38,6 +38,13 @@ def share_for(wanted: int, rows: int) -> int:
     return HASH_RANGE if rows <= 4 * wanted else int(HASH_RANGE * 4 * wanted / rows)
 
 
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, with underscores before it until no column of ``taken`` has that name."""
+    while wanted.lower() in {t.lower() for t in taken}:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column end to end, and where each row starts (one more than rows).
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitval.llm.common import in_pieces, read
+from pitval.llm.common import free_name, in_pieces, read
 from pitval.session import materialize
 
 SHINGLE_WORDS = 4
@@ -243,9 +243,10 @@ def one_of_each(docs: DataFrame, roots: DataFrame) -> DataFrame:
     hash decides, so the choice is the same at each run. Equal rows are one row.
     """
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
-    kept = materialize(roots.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.row_hash").alias("_kept")).distinct(), "kept-rows")
-    rows = docs.withColumn("_row", _row_hash(docs)).join(kept, F.col("_row") == F.col("_kept"), "left_semi")
-    return rows.dropDuplicates(["_row"]).drop("_row")
+    name = free_name("row_hash", docs.columns)
+    kept = roots.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.row_hash").alias(name)).distinct()
+    rows = docs.withColumn(name, _row_hash(docs)).join(materialize(kept, "kept-rows"), name, "left_semi")
+    return rows.dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

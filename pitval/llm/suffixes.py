@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitval.llm.common import read, text_bytes, utf8
+from pitval.llm.common import free_name, read, text_bytes, utf8
 
 LENGTH = 100
 LEAD = 32
@@ -241,12 +241,6 @@ def chunk_of(table: pa.Table, id_col: str, text_col: str, hash_col: str) -> Chun
     return Chunk(ids[order], hashes[order], data, starts)
 
 
-def free_name(wanted: str, taken: list[str]) -> str:
-    while wanted.lower() in {t.lower() for t in taken}:
-        wanted = f"_{wanted}"
-    return wanted
-
-
 class RepeatFinder:
     """Finds and removes the repeats of the texts of ``docs``."""
 
