@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitval.llm import chunk_dedup, decontaminate, language, merkle, pieces, quality_lines, sharding, simhash, suffixes, token_counts, url_filter, warc
+from pitval.llm import chunk_dedup, decontaminate, language, merkle, phrases, pieces, quality_lines, sharding, simhash, suffixes, token_counts, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": decontaminate.op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": url_filter.op8,
     "op9_sentencepiece": pieces.op9,
     "op10_token_counts": token_counts.op10,
+    "op11_phrase_mining": phrases.op11,
     "op12_exact_dedup": chunk_dedup.op12,
     "op13_merkle_manifest": merkle.op13,
 }
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": decontaminate.SQL,
     "op5_warc": warc.SQL,
+    "op11_phrase_mining": phrases.SQL,
     "op12_exact_dedup": chunk_dedup.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }
