@@ -1,20 +1,21 @@
-"""Per-role regressions on ``pyspark.ml``: fit on one frame, predict another.
+"""Per-role regressions: fit on one frame, predict another.
 
-Fitting is distributed: imputation and scaling are one aggregation, the linear solver
-sums its Gram matrix over partitions, trees share histograms. Only coefficients and
-summaries of ``features`` size reach the driver.
+Linear models are solved on moments: the sums and cross products of all features and the
+label, from two aggregations whatever the number of fits. A fit on some of the features is a
+sub-matrix of the same moments, a fit per role is a group of the same aggregation. Trees
+share histograms. Only coefficients and summaries of ``features`` size reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +29,12 @@ class FittedModel:
 
     features: list[str]
     pipeline: PipelineModel
-    averaged_with: FittedModel | None = None
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """``df`` with the prediction added; helper columns are dropped."""
         inputs = {f"_x_{c}": finite(F.col(c).cast("double")) for c in self.features}
         made = self.pipeline.transform(df.withColumns(inputs)).withColumn(out, F.col("_prediction"))
-        made = made.select(*[c for c in df.columns if c != out], out)
-        if self.averaged_with is None:
-            return made
-        other = self.averaged_with.predict(made, "_other")
-        return other.withColumn(out, (F.col(out) + F.col("_other")) / 2).drop("_other")
+        return made.select(*[c for c in df.columns if c != out], out)
 
 
 @dataclass
@@ -59,8 +55,9 @@ class LinearModel:
         return df.withColumn(out, made)
 
 
-def _numeric(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+def _numeric(train: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
     return train.select(
+        *keep,
         *[finite(F.col(c).cast("double")).alias(f"_x_{c}") for c in features],
         F.col(label).cast("double").alias("_y"),
     ).filter("_y is not null")
@@ -113,27 +110,95 @@ def _fit(train: DataFrame, features: Sequence[str], label: str, make) -> FittedM
     return FittedModel(summary.features, Pipeline(stages=stages).fit(rows))
 
 
-def _linear(**settings) -> LinearRegression:
-    return LinearRegression(
-        featuresCol="_vector", labelCol="_y", predictionCol="_prediction",
-        standardization=True, **settings,
-    )
+@dataclass
+class Moments:
+    """Centred cross products of the features and, last, the label.
 
+    Features are centred on the mean of their known values and a missing one counts as the
+    mean, so it adds nothing. Features without any value are left out.
+    """
 
-def fit_ridge(
-    train: DataFrame, features: Sequence[str], label: str = "outcome", alpha: float = C.RIDGE_ALPHA
-) -> FittedModel:
-    """Ridge on mean-imputed, standardized features.
+    features: list[str]
+    rows: int
+    means: np.ndarray
+    products: np.ndarray
+
+    def subset(self, features: Sequence[str]) -> Moments:
+        """The moments of some of the features."""
+        names = [c for c in features if c in self.features]
+        at = [*(self.features.index(c) for c in names), len(self.features)]
+        return Moments(names, self.rows, self.means[at], self.products[np.ix_(at, at)])
+
+    def ridge(self, alpha: float = C.RIDGE_ALPHA) -> LinearModel:
+        """Least squares on standardized features, with ``alpha`` times the squared weights."""
+        spreads = np.sqrt(np.diag(self.products)[:-1] / self.rows)
+        spreads[spreads == 0] = 1.0
+        gram = self.products[:-1, :-1] / np.outer(spreads, spreads)
+        solved = np.linalg.solve(gram + alpha * np.eye(len(gram)), self.products[:-1, -1] / spreads)
+        weights = solved / spreads
+        return LinearModel(self.features, self.means[:-1].tolist(), weights.tolist(), float(self.means[-1]), alpha)
+
+
+def moments_by(
+    train: DataFrame, features: Sequence[str], label: str = "outcome", by: str | None = None
+) -> dict[object, Moments]:
+    """Moments for each value of ``by`` (one, under None, without it): one aggregation for the
+    means, one for the centred products. Groups without a labelled row are not there."""
+    names = list(dict.fromkeys(features))
+    group = F.lit(None).cast("string") if by is None else F.col(by)
+    rows = _numeric(train.withColumn("_group", group), names, label, keep=["_group"])
+    inputs = [f"_x_{c}" for c in names] + ["_y"]
+    first = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(inputs)]).collect()
+    if not first:
+        return {}
+    centre = F.coalesce(*[
+        F.when(F.col("_group").eqNullSafe(F.lit(r["_group"])), F.array(*[F.lit(r[f"m{i}"]).cast("double") for i in range(len(inputs))]))
+        for r in first
+    ])
+    centred = rows.withColumn("_centre", centre).select(
+        "_group", *[F.coalesce(F.col(c) - F.col("_centre")[i], F.lit(0.0)).alias(f"z{i}") for i, c in enumerate(inputs)]
+    )
+    pairs = [(i, j) for i in range(len(inputs)) for j in range(i, len(inputs))]
+    sums = centred.groupBy("_group").agg(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i, j in pairs])
+    products = {r["_group"]: r for r in sums.collect()}
+    made = {}
+    for row in first:
+        whole = np.zeros((len(inputs), len(inputs)))
+        for i, j in pairs:
+            whole[i, j] = whole[j, i] = products[row["_group"]][f"p{i}_{j}"]
+        known = [i for i in range(len(inputs)) if row[f"m{i}"] is not None]
+        means = np.array([row[f"m{i}"] for i in known])
+        made[row["_group"]] = Moments([names[i] for i in known[:-1]], row["n"], means, whole[np.ix_(known, known)])
+    return made
+
+
+def fit_ridge_sets(
+    train: DataFrame,
+    feature_sets: Mapping[str, Sequence[str]],
+    label: str = "outcome",
+    alpha: float = C.RIDGE_ALPHA,
+    by: str | None = None,
+) -> dict[str, LinearModel]:
+    """A ridge regression for each set of features, all from the same moments.
 
-    The solver divides its penalty by the label's standard deviation, so ``alpha / n`` is
-    multiplied by it to mean the usual ridge penalty.
+    With ``by``, the name of a set is the value of that column whose rows train it.
     """
+    every = [c for columns in feature_sets.values() for c in columns]
+    found = moments_by(train, every, label, by)
+    models = {}
+    for name, columns in feature_sets.items():
+        moments = found.get(name if by else None)
+        if moments is None:
+            raise ValueError("no training rows with a label")
+        models[name] = moments.subset(columns).ridge(alpha)
+    return models
 
-    def make(summary: _Summary, rows: DataFrame) -> LinearRegression:
-        strength = alpha / summary.rows * summary.label_std
-        return _linear(solver="normal", elasticNetParam=0.0, regParam=strength)
 
-    return _fit(train, features, label, make)
+def fit_ridge(
+    train: DataFrame, features: Sequence[str], label: str = "outcome", alpha: float = C.RIDGE_ALPHA
+) -> LinearModel:
+    """Ridge on mean-imputed, standardized features."""
+    return fit_ridge_sets(train, {"all": features}, label, alpha)["all"]
 
 
 def fit_boosted_trees(
@@ -276,16 +341,40 @@ def _total(parts: Sequence[_Moments]) -> _Moments:
     return _Moments(sum(p.n for p in parts), sum(p.sums for p in parts), sum(p.products for p in parts))
 
 
-def fit_blend(
-    train: DataFrame, features: Sequence[str], label: str = "outcome", **boosted
-) -> FittedModel:
+@dataclass
+class BlendModel:
+    """The mean of the predictions of several models."""
+
+    parts: list
+
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        names = [f"_part{i}" for i in range(len(self.parts))]
+        made = df
+        for name, part in zip(names, self.parts, strict=True):
+            made = part.predict(made, name)
+        mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
+        return made.withColumn(out, mean).drop(*names)
+
+
+def fit_blend(train: DataFrame, features: Sequence[str], label: str = "outcome", **boosted) -> BlendModel:
     """The mean of the ridge and the boosted-tree prediction."""
-    first = fit_ridge(train, features, label)
-    second = fit_boosted_trees(train, features, label, **boosted)
-    return FittedModel(first.features, first.pipeline, averaged_with=second)
+    return BlendModel([fit_ridge(train, features, label), fit_boosted_trees(train, features, label, **boosted)])
+
+
+Model = FittedModel | LinearModel | BlendModel
+Fit = Callable[[DataFrame, Sequence[str], str], Model]
 
 
-Fit = Callable[[DataFrame, Sequence[str], str], FittedModel | LinearModel]
+def fit_models(
+    train: DataFrame, models: Mapping[str, tuple[Sequence[str], Fit]], label: str = "outcome", by: str = "role"
+) -> dict[str, Model]:
+    """A model for each value of ``by``: (features, fit). All ridge models come from the same moments."""
+    linear = {name: columns for name, (columns, fit) in models.items() if fit is fit_ridge}
+    made: dict[str, Model] = dict(fit_ridge_sets(train, linear, label, by=by)) if linear else {}
+    for name, (columns, fit) in models.items():
+        if name not in made:
+            made[name] = fit(train.filter(F.col(by) == name), columns, label)
+    return made
 
 
 def fit_predict(

@@ -16,7 +16,7 @@ from pitval.operators import metrics as mt
 from pitval.operators.costs import with_surplus
 from pitval.operators.dedupe import first_per_key
 from pitval.operators.models import (
-    Fit, fit_blend, fit_boosted_trees, fit_elastic_net, fit_forest, fit_ridge,
+    BlendModel, Fit, Model, fit_boosted_trees, fit_elastic_net, fit_forest, fit_models, fit_ridge, fit_ridge_sets, moments_by,
 )
 from pitval.operators.pairs import closest_pairs
 from pitval.plans.forecast import ROLE_MODELS
@@ -73,6 +73,18 @@ def evaluate_role(
     return score_models(parts)
 
 
+def score_side_by_side(test: DataFrame, models: Mapping[str, Model]) -> DataFrame:
+    """Metrics per model on the same rows: one pass makes all predictions, and a row goes on
+    once per model with its actual and its predicted outcome only."""
+    made, columns = test, {}
+    for i, (name, model) in enumerate(models.items()):
+        columns[name] = f"_predicted{i}"
+        made = model.predict(made, columns[name])
+    each = F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("predicted")) for n, c in columns.items()])
+    rows = made.select(F.col("outcome").cast("double").alias("actual"), F.explode(each).alias("m"))
+    return mt.regression_metrics(rows.select("actual", "m.*"), "actual", "predicted", ["model"])
+
+
 def ablate(
     rows: DataFrame,
     feature_sets: Mapping[str, Sequence[str]],
@@ -80,11 +92,31 @@ def ablate(
     period: str = "period",
     fit: Fit = fit_ridge,
 ) -> DataFrame:
-    """The same split and model with different feature sets."""
+    """The same split and model with different feature sets; ridge models share their moments."""
     train, test = ft.temporal_split(rows, period, holdout)
-    return score_models(
-        [scored(fit(train, cols, "outcome").predict(test), name) for name, cols in feature_sets.items()]
-    )
+    if fit is fit_ridge:
+        models = fit_ridge_sets(train, feature_sets)
+    else:
+        models = {name: fit(train, columns, "outcome") for name, columns in feature_sets.items()}
+    return score_side_by_side(test, models)
+
+
+def ablate_by_role(
+    rows: DataFrame,
+    feature_sets: Mapping[str, Mapping[str, Sequence[str]]],
+    holdout: Sequence[int] = C.HOLDOUT_PERIODS,
+    period: str = "period",
+) -> DataFrame:
+    """Ridge scores of the feature sets of each role, with the role; the moments of all roles
+    and sets are two aggregations."""
+    train, test = ft.temporal_split(rows, period, holdout)
+    every = [c for sets in feature_sets.values() for columns in sets.values() for c in columns]
+    found = moments_by(train, every, by="role")
+    parts = []
+    for role, sets in feature_sets.items():
+        models = {name: found[role].subset(columns).ridge() for name, columns in sets.items()}
+        parts.append(score_side_by_side(test.filter(F.col("role") == role), models).withColumn("role", F.lit(role)))
+    return union_all(parts)
 
 
 def fielding_ablation(prepared: DataFrame, **split) -> DataFrame:
@@ -108,31 +140,31 @@ def pitch_feature_swap(prepared: DataFrame, **split) -> DataFrame:
     )
 
 
-def candidate_models(boosted: dict | None = None, forest: dict | None = None) -> dict[str, Fit]:
-    """The five models compared; sizes of the tree models can be set."""
+def candidate_models(boosted: dict | None = None, forest: dict | None = None) -> dict[str, Fit | tuple[str, ...]]:
+    """The five models compared; sizes of the tree models can be set. A tuple averages models before it."""
     boosted, forest = boosted or {}, forest or {}
     return {
         "ridge": fit_ridge,
         "elastic_net": fit_elastic_net,
         "forest": partial(fit_forest, **forest),
         "boosted": partial(fit_boosted_trees, **boosted),
-        "blend": partial(fit_blend, **boosted),
+        "blend": ("ridge", "boosted"),
     }
 
 
 def compare_models(
     rows: DataFrame,
     columns: Sequence[str],
-    models: Mapping[str, Fit] | None = None,
+    models: Mapping[str, Fit | tuple[str, ...]] | None = None,
     holdout: Sequence[int] = C.HOLDOUT_PERIODS,
     period: str = "period",
 ) -> DataFrame:
     """The same features and split with different models."""
     train, test = ft.temporal_split(rows, period, holdout)
-    fits = models or candidate_models()
-    return score_models(
-        [scored(fit(train, columns, "outcome").predict(test), name) for name, fit in fits.items()]
-    )
+    made: dict[str, Model] = {}
+    for name, fit in (models or candidate_models()).items():
+        made[name] = BlendModel([made[n] for n in fit]) if isinstance(fit, tuple) else fit(train, columns, "outcome")
+    return score_side_by_side(test, made)
 
 
 # ---- value and pair quality ------------------------------------------------------
@@ -212,10 +244,9 @@ def build_evaluation_frame(
         ),
         "lag1",
     )
-    parts = []
-    for role, (cols, fit) in models.items():
-        train, test = ft.split_at_target(prepared.filter(F.col("role") == role), target)
-        parts.append(fit(train, cols, "outcome").predict(test, "predicted_outcome"))
+    train, test = ft.split_at_target(prepared, target)
+    fitted = fit_models(train, models)
+    parts = [fitted[role].predict(test.filter(F.col("role") == role), "predicted_outcome") for role in models]
     return value_frame(
         union_all(parts),
         outcomes,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pitval import constants as C
 from pitval.functions.numeric import clean_nonfinite
 from pitval.operators import features as ft
-from pitval.operators.models import Fit, fit_boosted_trees, fit_ridge
+from pitval.operators.models import Fit, fit_boosted_trees, fit_models, fit_ridge
 from pitval.session import materialize
+from pitval.sources.feeds import union_all
 from pitval.sources.store import Store
 
 ROLE_MODELS: dict[str, tuple[list[str], Fit]] = {
@@ -45,14 +46,8 @@ def train_and_predict(
         ft.with_prior_fielding(clean_nonfinite(training), history, anchor), "training"
     )
     ready = ft.with_prior_fielding(inputs, history, anchor)
-    parts = []
-    for role, (columns, fit) in models.items():
-        fitted = fit(prepared.filter(F.col("role") == role), columns, "outcome")
-        parts.append(fitted.predict(ready.filter(F.col("role") == role), out))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    fitted = fit_models(prepared, models)
+    return union_all([fitted[role].predict(ready.filter(F.col("role") == role), out) for role in models])
 
 
 def forecast(

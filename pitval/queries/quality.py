@@ -328,10 +328,8 @@ SETS = [
     + f") SELECT role, model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY role, model",
 )
 def feature_ablation(v: Views) -> DataFrame:
-    def report(rows: DataFrame, columns: list[str]) -> DataFrame:
-        return ev.ablate(rows, feature_sets(columns), HOLDOUT, "target_period")
-
-    return _both_roles(v, report)
+    sets = {role: feature_sets(columns) for role, columns in ROLE_COLUMNS.items()}
+    return rounded(ev.ablate_by_role(prepared(v), sets, HOLDOUT, "target_period"), 6, "mae", "rmse", "r2")
 
 
 @query("model_comparison")
