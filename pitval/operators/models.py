@@ -15,12 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
 from pitval.functions.numeric import finite
+from pitval.operators.trees import BoostedModel, fit_boosted_sets
 
 
 @dataclass
@@ -202,22 +203,10 @@ def fit_ridge(
 
 
 def fit_boosted_trees(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str = "outcome",
-    trees: int = C.BOOSTED_TREES["trees"],
-    depth: int = C.BOOSTED_TREES["depth"],
-    rate: float = C.BOOSTED_TREES["rate"],
-) -> FittedModel:
+    train: DataFrame, features: Sequence[str], label: str = "outcome", **settings
+) -> BoostedModel:
     """Shallow boosted trees with a low learning rate, on imputed features."""
-
-    def make(summary: _Summary, rows: DataFrame) -> GBTRegressor:
-        return GBTRegressor(
-            featuresCol="_vector", labelCol="_y", predictionCol="_prediction",
-            maxIter=trees, maxDepth=depth, stepSize=rate, seed=0,
-        )
-
-    return _fit(train, features, label, make)
+    return fit_boosted_sets(train, {None: features}, label, **settings)[None]
 
 
 def fit_forest(
@@ -361,16 +350,24 @@ def fit_blend(train: DataFrame, features: Sequence[str], label: str = "outcome",
     return BlendModel([fit_ridge(train, features, label), fit_boosted_trees(train, features, label, **boosted)])
 
 
-Model = FittedModel | LinearModel | BlendModel
+Model = FittedModel | LinearModel | BoostedModel | BlendModel
 Fit = Callable[[DataFrame, Sequence[str], str], Model]
 
 
 def fit_models(
     train: DataFrame, models: Mapping[str, tuple[Sequence[str], Fit]], label: str = "outcome", by: str = "role"
 ) -> dict[str, Model]:
-    """A model for each value of ``by``: (features, fit). All ridge models come from the same moments."""
-    linear = {name: columns for name, (columns, fit) in models.items() if fit is fit_ridge}
-    made: dict[str, Model] = dict(fit_ridge_sets(train, linear, label, by=by)) if linear else {}
+    """A model for each value of ``by``: (features, fit). All ridge models come from the same
+    moments, all boosted ones from the same passes."""
+
+    def sets(kind: Fit) -> dict[str, Sequence[str]]:
+        return {name: columns for name, (columns, fit) in models.items() if fit is kind}
+
+    made: dict[str, Model] = {}
+    if linear := sets(fit_ridge):
+        made |= fit_ridge_sets(train, linear, label, by=by)
+    if boosted := sets(fit_boosted_trees):
+        made |= fit_boosted_sets(train, boosted, label, by=by)
     for name, (columns, fit) in models.items():
         if name not in made:
             made[name] = fit(train.filter(F.col(by) == name), columns, label)

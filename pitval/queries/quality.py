@@ -158,11 +158,12 @@ def prepared(v: Views) -> DataFrame:
 
 def _predicted(v: Views, fit: md.Fit) -> DataFrame:
     """Held-out predictions of both roles."""
-    rows = prepared(v)
-    parts = []
-    for role, columns in ROLE_COLUMNS.items():
-        train, test = ft.temporal_split(rows.filter(F.col("role") == role), "target_period", HOLDOUT)
-        parts.append(md.fit_predict(train, test, columns, fit).select("entity_id", "period", "role", "prediction"))
+    train, test = ft.temporal_split(prepared(v), "target_period", HOLDOUT)
+    fitted = md.fit_models(train, {role: (columns, fit) for role, columns in ROLE_COLUMNS.items()})
+    parts = [
+        fitted[role].predict(test.filter(F.col("role") == role)).select("entity_id", "period", "role", "prediction")
+        for role in ROLE_COLUMNS
+    ]
     return rounded(ev.union_all(parts), 6, "prediction")
 
 
@@ -246,7 +247,79 @@ def ridge_by_role(v: Views) -> DataFrame:
     )
 
 
-@query("gbt_predict")
+def boosted_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.BOOSTED_TREES) -> str:
+    """CTEs, the whole of boosting with one tree a step: ``boosted`` has every row of ``test`` (role,
+    features, ...) with ``boosted`` predicted. The WITH must be recursive."""
+    bins, penalty, rate, depth = (settings[k] for k in ("bins", "penalty", "rate", "depth"))
+
+    def per_role(make) -> str:
+        return "CASE role " + " ".join(f"WHEN '{role}' THEN {make(columns)}" for role, columns in role_columns.items()) + " END"
+
+    listed = per_role(lambda columns: "[" + ", ".join(f"{c}::DOUBLE" for c in columns) + "]")
+    means = per_role(lambda columns: "[" + ", ".join(f"avg({c})" for c in columns) + "]")
+
+    def level(k: int) -> str:
+        # A node that can't be split any further goes on as its negative.
+        return f"""cell{k} AS (
+        SELECT role, node, f, bin, sum(g) AS g, count(*) AS n
+        FROM (SELECT role, node, g, unnest(range(1, len(bins) + 1)) AS f, unnest(bins) AS bin FROM level{k} WHERE train AND node > 0)
+        GROUP BY role, node, f, bin),
+      side{k} AS (
+        SELECT role, node, f, bin, sum(g) OVER upto AS lg, sum(n) OVER upto AS ln, sum(g) OVER every AS wg, sum(n) OVER every AS wn
+        FROM cell{k} WINDOW upto AS (PARTITION BY role, node, f ORDER BY bin), every AS (PARTITION BY role, node, f)),
+      gain{k} AS (
+        SELECT role, node, f, bin, wg::DOUBLE * wg::DOUBLE / (wn + {penalty}::DOUBLE) AS whole,
+          lg::DOUBLE * lg::DOUBLE / (ln + {penalty}::DOUBLE) + (wg - lg)::DOUBLE * (wg - lg)::DOUBLE / ((wn - ln) + {penalty}::DOUBLE) AS score
+        FROM side{k} WHERE wn > ln),
+      split{k} AS (
+        SELECT role, node, f, bin FROM gain{k} JOIN boost_base USING (role) WHERE score - whole > 0.000001::DOUBLE * scale * scale
+        QUALIFY row_number() OVER (PARTITION BY role, node ORDER BY score DESC, f, bin) = 1),
+      level{k + 1} AS (
+        SELECT l.id, l.role, l.train, l.bins, l.margin, l.g,
+               CASE WHEN l.node < 0 THEN l.node WHEN s.f IS NULL THEN -l.node WHEN l.bins[s.f] <= s.bin THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
+        FROM level{k} l LEFT JOIN split{k} s USING (role, node))"""
+
+    return f"""boost_means AS (SELECT role, {means} AS m FROM {train} WHERE outcome IS NOT NULL GROUP BY role),
+    boost_rows AS (
+      SELECT row_number() OVER () AS id, role, train, outcome, entity_id, period,
+             list_transform(x, lambda v, i: coalesce(v, m[i])) AS x
+      FROM (SELECT true AS train, role, outcome, entity_id, period, {listed} AS x FROM {train} WHERE outcome IS NOT NULL
+            UNION ALL SELECT false, role, NULL, entity_id, period, {listed} FROM {test}) JOIN boost_means USING (role)),
+    boost_values AS (
+      SELECT role, f, list(v ORDER BY v) AS ordered FROM (
+        SELECT role, unnest(range(1, len(x) + 1)) AS f, unnest(x) AS v FROM boost_rows WHERE train) GROUP BY role, f),
+    boost_cuts AS (
+      SELECT role, list(list_sort(list_distinct(list_transform(range(1, {bins}), lambda j: ordered[(j * len(ordered) + {bins - 1}) // {bins}]))) ORDER BY f) AS cuts
+      FROM boost_values GROUP BY role),
+    boost_scale AS (SELECT role, power(2.0, 28 - ceil(log2(max(abs(outcome))))) AS scale FROM boost_rows WHERE train GROUP BY role),
+    boost_bins AS MATERIALIZED (
+      SELECT id, role, train, entity_id, period, CAST(floor(outcome * scale + 0.5) AS BIGINT) AS y,
+             list_transform(x, lambda v, i: len(list_filter(cuts[i], lambda c: c < v))) AS bins
+      FROM boost_rows JOIN boost_cuts USING (role) JOIN boost_scale USING (role)),
+    boost_base AS MATERIALIZED (
+      SELECT role, scale, CAST(floor(sum(y)::DOUBLE / count(*) + 0.5) AS BIGINT) AS base FROM boost_bins JOIN boost_scale USING (role) WHERE train GROUP BY role, scale),
+    boost(step, id, margin) AS (
+      SELECT 0, id, base FROM boost_bins JOIN boost_base USING (role)
+      UNION ALL
+      (WITH level0 AS (
+        SELECT id, role, train, bins, margin, margin - y AS g, 1 AS node FROM boost JOIN boost_bins USING (id) WHERE step < {settings['trees']}),
+      {', '.join(level(k) for k in range(depth))},
+      leaf AS (
+        SELECT role, node, CAST(floor(-sum(g)::DOUBLE / (count(*) + {penalty}::DOUBLE) * {rate}::DOUBLE + 0.5) AS BIGINT) AS leaf
+        FROM level{depth} WHERE train GROUP BY role, node)
+      SELECT (SELECT max(step) + 1 FROM boost), id, margin + leaf FROM level{depth} JOIN leaf USING (role, node))),
+    boosted AS (
+      SELECT entity_id, period, role, margin / scale AS boosted
+      FROM boost JOIN boost_bins USING (id) JOIN boost_base USING (role) WHERE step = {settings['trees']} AND NOT train)"""
+
+
+BOOSTED_SQL = f"""{PREPARED_SQL},
+    held_train AS (SELECT * FROM prepared WHERE target_period NOT IN (2000, 2001)),
+    held_test AS (SELECT * FROM prepared WHERE target_period IN (2000, 2001)),
+    {boosted_sql('held_train', 'held_test', ROLE_COLUMNS)}"""
+
+
+@query("gbt_predict", f"{BOOSTED_SQL} SELECT entity_id, period, role, round(boosted, 6) AS prediction FROM boosted")
 def gbt_predict(v: Views) -> DataFrame:
     return _predicted(v, md.fit_boosted_trees)
 

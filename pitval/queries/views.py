@@ -230,7 +230,7 @@ def _role() -> Column:
 
 
 PRELUDE = """
-WITH registry AS (
+WITH RECURSIVE registry AS (
   SELECT p_partkey AS entity_id, p_name AS first_name,
          lower(p_type) || ' ' || p_size AS last_name, p_brand AS group_code,
          p_type AS primary_pos, replace(p_name, ' ', ',') AS other_pos,
