@@ -9,8 +9,9 @@ also in the first tree, which starts from the mean of the labels.
 
 Labels, gradients and leaves are whole numbers of a fixed fraction of a unit, so sums are exact
 and a model does not depend on how rows are placed. Several groups of rows, each with features
-of its own, are fitted in the same passes. Every ``WRITTEN_TREES`` trees the state of the rows
-is written, so that a lost executor costs the trees since then and plans stay short.
+of its own, are fitted in the same passes. The state of the rows is cached from tree to tree, and
+written every ``WRITTEN_TREES`` trees, so that a lost executor costs the trees since then and
+plans stay short.
 """
 
 from __future__ import annotations
@@ -133,26 +134,26 @@ def _binned(rows: DataFrame, groups: Sequence[str | None], models: Mapping[str |
     return rows.mapInArrow(work, "grp int, bins array<int>, y long, margin long")
 
 
-def _lookup(lists: Sequence[Sequence[int]], node: Column, kind: str = "int") -> Column:
-    """An entry of the group's list. The lists are one literal, so the generated code is the same for every tree."""
-    width = len(lists[0])
-    flat = F.array(*[F.lit(v) for own in lists for v in own]).cast(f"array<{kind}>")
-    return F.element_at(flat, F.col("grp") * width + node + 1)
+def _lookup(lists: Sequence[Sequence[int]], node: str, kind: str = "INT") -> str:
+    """An entry of the group's list. The lists are one literal of the plan, not of the generated
+    code, so that all trees run the same compiled code."""
+    flat = ", ".join(str(v) for own in lists for v in own)
+    return f"CAST(array({flat}) AS ARRAY<{kind}>)[grp * {len(lists[0])} + {node}]"
 
 
-def _node(trees: Sequence[Tree], levels: int) -> Column:
+def _node(trees: Sequence[Tree], levels: int) -> str:
     """The heap number that a row reaches after ``levels`` splits of its group's tree."""
-    node = F.lit(1)
+    node = "1"
     for _ in range(levels):
-        bin_ = F.element_at("bins", _lookup([t.features for t in trees], node) + 1)
-        node = 2 * node + (bin_ > _lookup([t.bins for t in trees], node)).cast("int")
+        feature, bin_ = (_lookup(lists, node) for lists in ([t.features for t in trees], [t.bins for t in trees]))
+        node = f"2 * ({node}) + CAST(bins[{feature}] > {bin_} AS INT)"
     return node
 
 
 def _added(state: DataFrame, trees: Sequence[Tree], depth: int) -> DataFrame:
     """``state`` with the leaves of a tree of each group added to the margins."""
-    leaf = _lookup([t.leaves for t in trees], _node(trees, depth) - (1 << depth), "long")
-    return state.withColumn("margin", F.col("margin") + leaf)
+    leaf = _lookup([t.leaves for t in trees], f"{_node(trees, depth)} - {1 << depth}", "BIGINT")
+    return state.selectExpr("grp", "bins", "y", f"margin + {leaf} AS margin")
 
 
 def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dict[tuple[int, int], tuple]:
@@ -189,7 +190,7 @@ def _grown(state: DataFrame, groups: int, depth: int, rate: float, penalty: floa
     sums: list[dict[int, tuple[int, int]]] = [{} for _ in range(groups)]
     open_ = {(g, 1) for g in range(groups)}
     for level in range(depth):
-        rows = state.select("grp", _node(trees, level).alias("node"), (F.col("margin") - F.col("y")).alias("g"), F.posexplode("bins").alias("feature", "bin"))
+        rows = state.selectExpr("grp", f"{_node(trees, level)} AS node", "margin - y AS g", "posexplode(bins) AS (feature, bin)")
         cells = rows.groupBy("grp", "node", "feature", "bin").agg(F.sum("g").alias("total"), F.count(F.lit(1)).alias("rows")).toArrow()
         if not level:
             # Any feature has the sums of all rows.
@@ -254,12 +255,24 @@ def fit_boosted_sets(
         models[g].base = int(np.floor(totals[number]["y"] / totals[number]["n"] + 0.5))
     bases = F.element_at(F.array(*[F.lit(models[g].base).cast("long") for g in groups]), F.col("grp") + 1)
     current = state.withColumn("margin", bases)
+    kept: list[DataFrame] = []
     least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
     for k in range(trees):
         made = _grown(current, len(groups), depth, rate, penalty, least)
         for g, tree in zip(groups, made, strict=True):
             models[g].trees.append(tree)
-        current = _added(current, made, depth)
-        if k % WRITTEN_TREES == WRITTEN_TREES - 1 and k + 1 < trees:
+        if k + 1 == trees:
+            break
+        older, current = current, _added(current, made, depth)
+        if k % WRITTEN_TREES == WRITTEN_TREES - 1:
             current = materialize(current, "tree-state")
+            kept.append(older)
+            for frame in kept:
+                frame.unpersist()
+            kept = []
+        else:
+            current = current.persist()
+            kept.append(older)
+    for frame in [*kept, current]:
+        frame.unpersist()
     return models

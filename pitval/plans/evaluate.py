@@ -147,24 +147,42 @@ def candidate_models(boosted: dict | None = None, forest: dict | None = None) ->
         "ridge": fit_ridge,
         "elastic_net": fit_elastic_net,
         "forest": partial(fit_forest, **forest),
-        "boosted": partial(fit_boosted_trees, **boosted),
+        "boosted": partial(fit_boosted_trees, **boosted) if boosted else fit_boosted_trees,
         "blend": ("ridge", "boosted"),
     }
 
 
-def compare_models(
+def compare_models_by_role(
     rows: DataFrame,
-    columns: Sequence[str],
+    role_columns: Mapping[str, Sequence[str]],
     models: Mapping[str, Fit | tuple[str, ...]] | None = None,
     holdout: Sequence[int] = C.HOLDOUT_PERIODS,
     period: str = "period",
 ) -> DataFrame:
-    """The same features and split with different models."""
+    """The same features and split with different models, for each role. A kind of model that
+    can train several roles in the same passes does."""
     train, test = ft.temporal_split(rows, period, holdout)
-    made: dict[str, Model] = {}
+    made: dict[str, dict[str, Model]] = {role: {} for role in role_columns}
     for name, fit in (models or candidate_models()).items():
-        made[name] = BlendModel([made[n] for n in fit]) if isinstance(fit, tuple) else fit(train, columns, "outcome")
-    return score_side_by_side(test, made)
+        fitted = {} if isinstance(fit, tuple) else fit_models(train, {role: (columns, fit) for role, columns in role_columns.items()})
+        for role, own in made.items():
+            own[name] = BlendModel([own[n] for n in fit]) if isinstance(fit, tuple) else fitted[role]
+    parts = [
+        score_side_by_side(test.filter(F.col("role") == role), own).withColumn("role", F.lit(role)) for role, own in made.items()
+    ]
+    return union_all(parts)
+
+
+def compare_models(
+    rows: DataFrame,
+    columns: Sequence[str],
+    models: Mapping[str, Fit | tuple[str, ...]] | None = None,
+    holdout: Sequence[int] = C.HOLDOUT_PERIODS,
+    period: str = "period",
+) -> DataFrame:
+    """The same features and split with different models, on the rows of one role."""
+    one = rows.withColumn("role", F.lit("all"))
+    return compare_models_by_role(one, {"all": columns}, models, holdout, period).drop("role")
 
 
 # ---- value and pair quality ------------------------------------------------------

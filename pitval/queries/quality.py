@@ -334,7 +334,15 @@ def elasticnet_cv(v: Views) -> DataFrame:
     return _predicted(v, md.fit_elastic_net)
 
 
-@query("model_blend")
+@query(
+    "model_blend",
+    f"""{BOOSTED_SQL}, {side_sql('prepared', 'target_period')},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
+    linear AS ({' UNION ALL '.join(
+        f"SELECT entity_id, period, role, {ridge_value(columns)} AS linear FROM {role}_test, {role}_fit" for role, columns in ROLE_COLUMNS.items()
+    )})
+    SELECT entity_id, period, role, round((linear + boosted) / 2, 6) AS prediction FROM linear JOIN boosted USING (entity_id, period, role)""",
+)
 def model_blend(v: Views) -> DataFrame:
     return _predicted(v, md.fit_blend)
 
@@ -365,16 +373,6 @@ def evaluate_models(v: Views) -> DataFrame:
     return rounded(scores, 6, "mae", "rmse", "r2")
 
 
-def _both_roles(v: Views, report) -> DataFrame:
-    """A report on the rows of either role, with the role."""
-    rows = prepared(v)
-    parts = [
-        report(rows.filter(F.col("role") == role), columns).withColumn("role", F.lit(role))
-        for role, columns in ROLE_COLUMNS.items()
-    ]
-    return rounded(ev.union_all(parts), 6, "mae", "rmse", "r2")
-
-
 def feature_sets(columns: list[str]) -> dict[str, list[str]]:
     """All columns, and all but one."""
     return {"all": columns} | {f"without {c}": [x for x in columns if x != c] for c in columns}
@@ -407,7 +405,7 @@ def feature_ablation(v: Views) -> DataFrame:
 
 @query("model_comparison")
 def model_comparison(v: Views) -> DataFrame:
-    return _both_roles(v, lambda rows, columns: ev.compare_models(rows, columns, None, HOLDOUT, "target_period"))
+    return rounded(ev.compare_models_by_role(prepared(v), ROLE_COLUMNS, None, HOLDOUT, "target_period"), 6, "mae", "rmse", "r2")
 
 
 # ---- reports on the full feature sets ---------------------------------------------
@@ -590,7 +588,67 @@ def evaluation_frame(v: Views) -> DataFrame:
     )
 
 
-@query("evaluation_frame_model")
+SCORES = ["predicted_surplus", "naive_surplus"]
+
+
+def surplus_sql(value: str) -> str:
+    """Surplus over three periods from a value, next to ``kept``, ``a`` and costs ``c0`` to ``c2``."""
+    declines = [f"(1 - CASE WHEN a + {n} <= 27 THEN 0.0 ELSE least(0.03 * (a + {n} - 27) - 0.02, 0.40) END)" for n in (1, 2)]
+    return f"""round({value} * 8000000 - c0 + {value} * {declines[0]} * 8000000 / 1.08 - c1
+          + {value} * {declines[0]} * {declines[1]} * 8000000 / power(1.08, 2) - c2, 2)"""
+
+
+def model_frame_sql(roles: list[str], more: str = "") -> str:
+    """The evaluation frame with ridge predictions for ``roles``; ``more`` adds those of others."""
+    linear = {role: ROLE_COLUMNS[role] for role in roles}
+    return f"""{PREPARED_SQL},
+    {', '.join(f"{role}_train AS (SELECT * FROM prepared WHERE role = '{role}' AND target_period < 2000)" for role in ROLE_COLUMNS)},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in linear.items())},
+    predicted AS (
+      {' UNION ALL '.join(
+        f'''SELECT entity_id, role, age + 1 AS a, outcome, outcome_this_period AS naive, {ridge_value(columns)} AS predicted
+      FROM prepared, {role}_fit WHERE role = '{role}' AND target_period = 2000''' for role, columns in linear.items()
+      )}{more}),
+    period_costs AS (
+      SELECT entity_id, period, max(cost) AS cost FROM outcomes WHERE cost IS NOT NULL GROUP BY ALL),
+    dims AS (
+      SELECT entity_id, first_name || ' ' || last_name AS name, g AS group_code
+      FROM (SELECT entity_id, min(group_code) AS g FROM features WHERE period = 2000 GROUP BY 1)
+      JOIN registry USING (entity_id)),
+    kept AS (
+      SELECT p.*, name, group_code,
+             coalesce(c0.cost, 760000) AS c0, coalesce(c1.cost, 760000) AS c1, coalesce(c2.cost, 760000) AS c2
+      FROM predicted p JOIN dims USING (entity_id)
+      LEFT JOIN period_costs c0 ON c0.entity_id = p.entity_id AND c0.period = 2000
+      LEFT JOIN period_costs c1 ON c1.entity_id = p.entity_id AND c1.period = 2001
+      LEFT JOIN period_costs c2 ON c2.entity_id = p.entity_id AND c2.period = 2002
+      WHERE a IS NOT NULL AND name IS NOT NULL AND group_code IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY p.entity_id ORDER BY predicted DESC, role) = 1),
+    frame AS (
+      SELECT entity_id, role, name, group_code, {surplus_sql('predicted')} AS predicted_surplus,
+             {surplus_sql('naive')} AS naive_surplus, round(outcome * 8000000 - c0, 2) AS realized_value
+      FROM kept)"""
+
+MODEL_FRAME_SQL = model_frame_sql(list(ROLE_COLUMNS))
+
+
+BOOSTED_FRAME_SQL = model_frame_sql(
+    [C.ROLE_BAT],
+    """ UNION ALL SELECT entity_id, role, age + 1, outcome, outcome_this_period, boosted
+      FROM boosted JOIN pitch_test USING (entity_id, period, role)""",
+).replace(
+    "predicted AS (",
+    f"""pitch_test AS (SELECT * FROM prepared WHERE role = 'pitch' AND target_period = 2000),
+    {boosted_sql('pitch_train', 'pitch_test', {C.ROLE_PITCH: PITCH})},
+    predicted AS (""",
+    1,
+)
+
+
+@query(
+    "evaluation_frame_model",
+    BOOSTED_FRAME_SQL + " SELECT entity_id, role, name, predicted_surplus, naive_surplus, realized_value FROM frame",
+)
 def evaluation_frame_model(v: Views) -> DataFrame:
     """The frame with model predictions: ridge for one role, boosted trees for the other."""
     frame = ev.build_evaluation_frame(
@@ -722,48 +780,6 @@ def pair_gap_median(v: Views) -> DataFrame:
     return rounded(ev.pairing_quality(frame, "naive_surplus"), 2, "median_gap")
 
 
-SCORES = ["predicted_surplus", "naive_surplus"]
-
-
-def surplus_sql(value: str) -> str:
-    """Surplus over three periods from a value, next to ``kept``, ``a`` and costs ``c0`` to ``c2``."""
-    declines = [f"(1 - CASE WHEN a + {n} <= 27 THEN 0.0 ELSE least(0.03 * (a + {n} - 27) - 0.02, 0.40) END)" for n in (1, 2)]
-    return f"""round({value} * 8000000 - c0 + {value} * {declines[0]} * 8000000 / 1.08 - c1
-          + {value} * {declines[0]} * {declines[1]} * 8000000 / power(1.08, 2) - c2, 2)"""
-
-
-MODEL_FRAME_SQL = (
-    PREPARED_SQL
-    + f""",
-    {', '.join(f"{role}_train AS (SELECT * FROM prepared WHERE role = '{role}' AND target_period < 2000)" for role in ROLE_COLUMNS)},
-    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
-    predicted AS (
-      {' UNION ALL '.join(
-        f'''SELECT entity_id, role, age + 1 AS a, outcome, outcome_this_period AS naive, {ridge_value(columns)} AS predicted
-      FROM prepared, {role}_fit WHERE role = '{role}' AND target_period = 2000''' for role, columns in ROLE_COLUMNS.items()
-      )}),
-    period_costs AS (
-      SELECT entity_id, period, max(cost) AS cost FROM outcomes WHERE cost IS NOT NULL GROUP BY ALL),
-    dims AS (
-      SELECT entity_id, first_name || ' ' || last_name AS name, g AS group_code
-      FROM (SELECT entity_id, min(group_code) AS g FROM features WHERE period = 2000 GROUP BY 1)
-      JOIN registry USING (entity_id)),
-    kept AS (
-      SELECT p.*, name, group_code,
-             coalesce(c0.cost, 760000) AS c0, coalesce(c1.cost, 760000) AS c1, coalesce(c2.cost, 760000) AS c2
-      FROM predicted p JOIN dims USING (entity_id)
-      LEFT JOIN period_costs c0 ON c0.entity_id = p.entity_id AND c0.period = 2000
-      LEFT JOIN period_costs c1 ON c1.entity_id = p.entity_id AND c1.period = 2001
-      LEFT JOIN period_costs c2 ON c2.entity_id = p.entity_id AND c2.period = 2002
-      WHERE a IS NOT NULL AND name IS NOT NULL AND group_code IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY p.entity_id ORDER BY predicted DESC, role) = 1),
-    frame AS (
-      SELECT entity_id, group_code, {surplus_sql('predicted')} AS predicted_surplus,
-             {surplus_sql('naive')} AS naive_surplus, round(outcome * 8000000 - c0, 2) AS realized_value
-      FROM kept)"""
-)
-
-
 def ridge_frame(v: Views) -> DataFrame:
     """The evaluation frame with ridge predictions for both roles, with rounded money columns."""
     frame = ev.build_evaluation_frame(
