@@ -14,7 +14,9 @@ batches. Callers narrow the pairs with built-in expressions first.
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import types as T
@@ -66,3 +68,51 @@ def token_set_score(left: str | None, right: str | None) -> float:
 def token_set_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """``token_set_score`` over Arrow batches."""
     return pd.Series([token_set_score(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+def best_scores(left: Sequence[str], right: Sequence[str]) -> list[float]:
+    """The best score of each left name over all right ones (0 without any), exact.
+
+    Only the comparison of the words that one side has needs the pair itself, and its edits are
+    at least the differences of the character counts, which shared words don't change. All
+    else follows from the lengths. Pairs are scored in the order of that bound, until it falls
+    to the best score so far.
+    """
+    sets_l, sets_r = ([set(n.split()) for n in names] for names in (left, right))
+    holders: dict[str, list[int]] = {}
+    for k, own in enumerate(sets_r):
+        for word in own:
+            holders.setdefault(word, []).append(k)
+    number = {c: i for i, c in enumerate(sorted({" ", *(c for n in [*left, *right] for c in n)}))}
+
+    def counts(sets: list[set[str]]) -> np.ndarray:
+        made = np.zeros((len(sets), len(number)), np.int32)
+        for row, own in enumerate(sets):
+            for char in " ".join(own):
+                made[row, number[char]] += 1
+        return made
+
+    counts_l, counts_r = counts(sets_l), counts(sets_r)
+    length_r = counts_r.sum(axis=1)
+    found = []
+    for name, own, count in zip(left, sets_l, counts_l, strict=True):
+        if not own or not right:
+            found.append(0.0)
+            continue
+        length = int(count.sum())
+        shared = np.zeros(len(right), np.int64)  # with a blank after each word
+        for word in own:
+            shared[holders.get(word, [])] += len(word) + 1
+        bounds = 100.0 - 100.0 * np.abs(counts_r - count).sum(axis=1) / np.maximum(length + length_r, 1)
+        some = shared > 0
+        for whole in (np.full(len(right), length), length_r):
+            rest = whole - shared  # -1 if a side has nothing else
+            part = np.where(rest < 0, 100.0, 100.0 - 100.0 * (1 + rest) / np.maximum(2 * shared - 1 + rest, 1))
+            bounds = np.where(some, np.maximum(bounds, part), bounds)
+        best = 0.0
+        for k in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[k] <= best:
+                break
+            best = max(best, token_set_score(name, right[k]))
+        found.append(best)
+    return found

@@ -8,38 +8,51 @@ part that may be missing is therefore shared for certain, and the rarest such wo
 only one looked up. A side with no such word is looked up by its rare words, as many as
 outweigh the part that may be missing. Both directions are searched.
 
-*Few edits.* Pad every word with two blanks and cut it into trigrams; a name of length
-``l`` and ``w`` words has ``l + w + 1`` of them. Every inserted or deleted character
-spoils at most two trigrams of the longest common subsequence, so two names of total
-length ``L`` within ``d`` edits share at least ``L/2 + 2 - 5d/2``. With the rare trigrams
-first, the leading ``(l + w + 1) - needed + 1`` trigrams of both names must meet.
+*Few edits.* An inserted or deleted character changes the count of one character by one,
+whatever the order of the words. Cut the alphabet into ``m`` groups: two names within
+``m - 1`` edits have equal counts of all characters of one group. ``m`` is that of the pair
+of lengths (an even difference of lengths takes an even number of edits), so a name is
+looked up once for every length a partner can have, by the characters that fall in each group.
 
 Before a pair leaves its join, fixed-width signatures reject it in generated code. Words
 hash to bits, so the bits one side lacks bound the number of words it misses. Bigrams flip
 bits, and an edit changes at most three bigrams, so two names within ``d`` edits differ in
 at most ``3d`` bits. Both tests only ever let too much through.
 
-"Rare first" needs frequencies only of common words and trigrams. Those holding at least
+"Rare first" needs frequencies only of common words. Those holding at least
 ``HOT_SHARE`` of all entries are counted; there can be at most ``1 / HOT_SHARE`` of them,
 which bounds the one table that is broadcast here. The same counts spread a common entry
 over salts, so no task receives a whole common word. Equal names are scored once: both
 sides are reduced to distinct names first.
+
+Both indexes hold for any threshold, but the lower it is the less they save. The best score of a
+name that has none at the threshold is found with falling thresholds, and for what is left
+then by a search of blocks against blocks, in which a bound of the score, from the counts of
+characters, decides which pairs are scored at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
-from pitval.functions.similarity import token_set_ratio
+from pitval.functions.similarity import best_scores, token_set_ratio
 from pitval.functions.text import name_tokens
 from pitval.operators.skew import shuffle_width
 from pitval.session import materialize
 
 HOT_SHARE = 1e-3
 LANES = 4  # 64-bit words of the bigram signature
-LOWEST_THRESHOLD = 80  # below it the trigram bound is no longer positive for every length
+#: Characters in the order in which they are dealt to groups; any others follow by code point.
+ALPHABET = " eaoirnlstdhcmugpybkvwfzjxq0123456789"
+#: Thresholds tried for names without a match, before blocks are searched.
+FALLING = (76.0, 64.0)
+BLOCK_NAMES = 2048
+SEARCHED_PAIRS = 1 << 28
 _SLACK = 1e-6
 
 
@@ -48,25 +61,19 @@ def max_edits(total: Column, threshold: float) -> Column:
     return F.floor(total * (1 - threshold / 100.0) + _SLACK)
 
 
-def shortest_partner(length: Column, threshold: float) -> Column:
-    """Smallest length a name within the edit limit can have."""
-    return F.ceil(length * threshold / (200.0 - threshold) - _SLACK)
+def partner_lengths(length: Column, threshold: float) -> Column:
+    """The lengths, as an array, that a name within the edit limit can have."""
+    low = F.ceil(length * threshold / (200.0 - threshold) - _SLACK)
+    high = F.floor(length * (200.0 - threshold) / threshold + _SLACK)
+    return F.sequence(F.greatest(low, F.lit(1)).cast("int"), high.cast("int"))
 
 
-def needed_trigrams(total: Column, threshold: float) -> Column:
-    """Trigram overlap that names of this total length must reach, counting repeats."""
-    return F.ceil(total / 2 + 2 - 2.5 * max_edits(total, threshold) - _SLACK)
+def groups_needed(left: Column, right: Column, threshold: float) -> Column:
+    """Groups of characters for names of these lengths: one more than the edits they may be apart.
 
-
-def least_needed(length: Column, threshold: float) -> Column:
-    """Lower bound of ``needed_trigrams`` over all partners of a name of this length.
-
-    The bound rises by a half per character but falls by 5/2 when one more edit is
-    allowed, so it is taken on the line below the steps, at the shortest partner.
-    """
-    total = length + shortest_partner(length, threshold)
-    slope = 0.5 - 2.5 * (1 - threshold / 100.0)
-    return F.greatest(F.ceil(total * slope + 2 - _SLACK), F.lit(1))
+    Each edit changes the length by one, so the edits are even if the difference is."""
+    most = max_edits(left + right, threshold)
+    return (most - F.pmod(most - F.abs(left - right), F.lit(2)) + 1).cast("int")
 
 
 def padded_grams(words: Column, size: int) -> Column:
@@ -94,6 +101,13 @@ def _parity(grams: Column, lane: int) -> Column:
     return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(_bit(h)))
 
 
+def _letters(text: Column) -> Column:
+    """The characters of a text as places in the alphabet, sorted."""
+    place = lambda c: F.call_function("instr", F.lit(ALPHABET), c)
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.array_sort(F.transform(characters, lambda c: F.when(place(c) > 0, place(c)).otherwise(F.ascii(c) + len(ALPHABET))))
+
+
 def with_signatures(names: DataFrame) -> DataFrame:
     """Distinct names with their words, joined length, word bits and bigram bits.
 
@@ -107,6 +121,7 @@ def with_signatures(names: DataFrame) -> DataFrame:
     return words.withColumns(
         {
             "len": F.length(F.concat_ws(" ", "words")),
+            "letters": _letters(F.concat_ws(" ", "words")),
             "bits": word_bits,
             **{f"sig{i}": _parity(bigrams, i) for i in range(LANES)},
         }
@@ -217,35 +232,37 @@ def _word_candidates(queries: DataFrame, names: DataFrame, threshold: float) ->
 
 
 def _edit_candidates(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose leading trigrams meet and whose lengths and bigram bits allow the threshold."""
-
-    def entries(side: DataFrame) -> DataFrame:
-        return side.select(
-            "norm", *SIGNATURES, F.size("words").alias("n_words"),
-            F.explode(F.array_distinct(padded_grams(F.col("words"), 3))).alias("entry"),
-        )
-
-    grams = {"left": entries(queries), "right": entries(names)}
-    hot = hot_entries(grams["left"].select("entry").unionByName(grams["right"].select("entry")))
-    all_grams = F.col("len") + F.col("n_words") + 1
-    run = F.greatest(all_grams - least_needed(F.col("len"), threshold) + 1, F.lit(1)).cast("int")
+    """Pairs with equal counts of the characters of a group, whose bigram bits allow the threshold."""
     sigs = [f"sig{i}" for i in range(LANES)]
     # Each side's share of the allowed edits, so that a pair needs one addition.
     part = F.col("len") * (1 - threshold / 100.0) + _SLACK
 
-    def postings(name: str) -> DataFrame:
-        ordered = _rare_first(grams[name], hot, [*SIGNATURES, "n_words"])
-        lead = F.explode(F.slice("ordered", F.lit(1), run)).alias("entry")
-        rows = ordered.select("norm", "len", part.alias("edits"), *sigs, lead)
-        return _side(rows, name, "len", "edits", *sigs)
+    def postings(df: DataFrame, name: str, length: Column) -> DataFrame:
+        """``length``: that of the known name of the pair, which is part of the entry."""
+        numbers = F.sequence(F.lit(0), F.col("m") - 1)
+        entry = F.transform(
+            numbers, lambda i: F.xxhash64("m", i, length, F.filter("letters", lambda k: F.pmod(k, F.col("m")) == i))
+        )
+        rows = df.select("norm", part.alias("edits"), *sigs, F.explode(entry).alias("entry"))
+        return _side(rows, name, "edits", *sigs)
+
+    allowed = F.abs(F.col("len") - F.col("other")) <= max_edits(F.col("len") + F.col("other"), threshold)
+    reached = {}
+    for name, df in (("left", queries), ("right", names)):
+        partners = df.where("len > 0").withColumn("other", F.explode(partner_lengths(F.col("len"), threshold))).where(allowed)
+        reached[name] = partners.withColumn("m", groups_needed(F.col("len"), F.col("other"), threshold))
+    left = postings(reached["left"], "left", F.col("other"))
+    # All partners of a known name that take the same groups share its entries.
+    shared = reached["right"].groupBy("norm", "len", "letters", *sigs, "m").agg(F.count(F.lit(1)).alias("_partners"))
+    right = postings(shared, "right", F.col("len"))
+    hot = hot_entries(left.select("entry").unionByName(right.select("entry")))
 
     edits = F.floor(F.col("left_edits") + F.col("right_edits"))
     flipped, close = F.lit(0), F.lit(True)
     for sig in sigs:
         flipped = flipped + F.bit_count(F.col(f"left_{sig}").bitwiseXOR(F.col(f"right_{sig}")))
         close = close & (flipped <= 3 * edits)
-    close = close & (F.abs(F.col("left_len") - F.col("right_len")) <= edits)
-    return _meet(postings("left"), postings("right"), hot, close)
+    return _meet(left, right, hot, close)
 
 
 def fuzzy_pairs(
@@ -255,8 +272,8 @@ def fuzzy_pairs(
 
     Both inputs have one column ``norm`` with distinct, non-blank normalized names.
     """
-    if threshold < LOWEST_THRESHOLD:
-        raise ValueError(f"the edit index is exact only from a threshold of {LOWEST_THRESHOLD}")
+    if not 0 < threshold <= 100:
+        raise ValueError("the threshold must be above 0 and at most 100")
     # Both name tables are read several times below, by both indexes and for the counts.
     queries = materialize(with_signatures(queries), "query-names")
     names = materialize(with_signatures(names), "known-names")
@@ -289,3 +306,53 @@ def best_fuzzy(
         .agg(best.alias("_best"))
         .select("norm", "_best.entity_id", "_best.score")
     )
+
+
+def nearest_names(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """(left_norm, score): the best score of each query over all names, however low.
+
+    Both inputs have one column ``norm`` with distinct, non-blank normalized names. Blocks of
+    queries meet blocks of names; each block of names answers with one row a query.
+    """
+
+    def blocked(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        kept = materialize(df.select("norm"), f"{name}-names")
+        blocks = 1 + kept.count() // BLOCK_NAMES
+        return kept.withColumn(f"{name}_block", F.pmod(F.xxhash64("norm"), F.lit(blocks)).cast("int")), blocks
+
+    (asked, asked_blocks), (known, known_blocks) = blocked(queries, "asked"), blocked(names, "known")
+    keys = ["asked_block", "known_block"]
+    left = asked.withColumn("known_block", F.explode(F.sequence(F.lit(0), F.lit(known_blocks - 1))))
+    right = known.withColumn("asked_block", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
+
+    def best(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        scores = best_scores(own["norm"].tolist(), other["norm"].tolist())
+        return pd.DataFrame({"left_norm": own["norm"], "score": scores})
+
+    made = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, "left_norm string, score double")
+    return made.groupBy("left_norm").agg(F.max("score").alias("score"))
+
+
+def best_below(
+    queries: DataFrame, names: DataFrame, threshold: float = C.FUZZY_THRESHOLD, falling: Sequence[float] = FALLING
+) -> DataFrame:
+    """(left_norm, score): the best score of queries that have none at ``threshold``.
+
+    Lower thresholds are tried first, as their indexes rule most pairs out unseen: a query with a
+    score at one of them has its best one there.
+    """
+    open_, found = materialize(queries.select("norm"), "open-names"), []
+    known = names.count()
+    for lower in falling:
+        # Few pairs are searched sooner than indexed; the scores are the same.
+        if lower >= threshold or open_.count() * known <= SEARCHED_PAIRS:
+            continue
+        scored = fuzzy_pairs(open_, names, lower).groupBy("left_norm").agg(F.max("score").alias("score"))
+        scored = materialize(scored, "scored-names")
+        found.append(scored)
+        open_ = materialize(open_.join(scored, F.col("norm") == F.col("left_norm"), "left_anti"), "open-names")
+    found.append(nearest_names(open_, names))
+    made = found[0]
+    for part in found[1:]:
+        made = made.unionByName(part)
+    return made

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pitval import constants as C
 from pitval.functions.text import full_name, group_key, normalize_name, requested_by
 from pitval.operators.dedupe import first_per_key
-from pitval.operators.fuzzy import best_fuzzy
+from pitval.operators.fuzzy import best_below, best_fuzzy
 from pitval.operators.skew import salted_join
 from pitval.session import materialize
 
@@ -185,27 +185,30 @@ def fuzzy_verdicts(
 
     The check looks at the single best entity: one with known groups, none of them
     accepted for the wanted group, is refused and no second-best is tried. A refused match
-    keeps its score; a name with nothing at the threshold has a null score.
+    keeps its score; a name with nothing at the threshold has the best score below it.
     """
     recent = recent_appearances(outcomes, current_period, lookback)
     active = registry_names(registry).join(active_pool(recent), "entity_id", "left_semi")
-    best = best_fuzzy(keys, active, threshold)
+    best = materialize(best_fuzzy(keys, active, threshold), "best-names")
+    asked = keys.filter("norm <> ''").select("norm").distinct()
+    known = active.filter("norm <> ''").select("norm").distinct()
+    low = best_below(asked.join(best, "norm", "left_anti"), known, threshold)
     accepted = accepted_requests(recent).withColumn("_seen_with", F.lit(True))
     grouped = recent.filter("group_code is not null").select("entity_id").distinct()
     checked = (
         keys.join(best, "norm", "left")
+        .join(low.select(F.col("left_norm").alias("norm"), F.col("score").alias("_low")), "norm", "left")
         .join(grouped.withColumn("_has_group", F.lit(True)), "entity_id", "left")
         .join(accepted, ["entity_id", "wanted"], "left")
     )
     refused = F.col("wanted").isNotNull() & F.col("_has_group") & F.col("_seen_with").isNull()
     taken = F.col("entity_id").isNotNull() & ~F.coalesce(refused, F.lit(False))
-    nobody_active = F.coalesce(active.select(F.count(F.lit(1))).scalar(), F.lit(0)) == 0
     return checked.select(
         "norm",
         "grp",
         F.when(taken, "fuzzy").otherwise("unresolved").alias("method"),
         F.when(taken, F.col("entity_id")).alias("entity_id"),
-        F.when(nobody_active, F.lit(0.0)).otherwise(F.col("score")).alias("score"),
+        F.coalesce("score", "_low", F.lit(0.0)).alias("score"),
         F.when(taken, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("candidate_count"),
     )
 

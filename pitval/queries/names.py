@@ -210,24 +210,24 @@ def lcs_sql(a: str, b: str) -> str:
     )
 
 
-def score_sql(pairs: str, floor: float | None = None) -> str:
-    """CTEs that score ``pairs`` (left_norm, right_norm, ...). With ``floor`` the character
+def score_sql(pairs: str, floor: float | None = None, name: str = "") -> str:
+    """CTEs that score ``pairs`` (left_norm, right_norm, ...) in ``{name}rated``. With ``floor`` the character
     comparison is skipped where the edit distance already rules the floor out."""
     guard = (
         f"WHEN levenshtein(a, b) > {1 - floor / 100.0} * total + 0.000001 THEN 0.0" if floor else ""
     )
-    return f"""worded AS (
+    return f"""{name}worded AS (
       SELECT *, list_sort(list_distinct(list_filter(string_split(left_norm, ' '), lambda w: w <> ''))) AS lw,
              list_sort(list_distinct(list_filter(string_split(right_norm, ' '), lambda w: w <> ''))) AS rw
       FROM {pairs}),
-    parts AS (
+    {name}parts AS (
       SELECT *, array_to_string(list_filter(lw, lambda w: list_contains(rw, w)), ' ') AS s,
              array_to_string(list_filter(lw, lambda w: NOT list_contains(rw, w)), ' ') AS a,
              array_to_string(list_filter(rw, lambda w: NOT list_contains(lw, w)), ' ') AS b
-      FROM worded),
-    sized AS (
-      SELECT *, 2 * len(s) + len(a) + len(b) + CASE WHEN s <> '' THEN 2 ELSE 0 END AS total FROM parts),
-    rated AS (
+      FROM {name}worded),
+    {name}sized AS (
+      SELECT *, 2 * len(s) + len(a) + len(b) + CASE WHEN s <> '' THEN 2 ELSE 0 END AS total FROM {name}parts),
+    {name}rated AS (
       SELECT *, CASE WHEN left_norm = '' OR right_norm = '' THEN 0.0
         WHEN s <> '' AND (a = '' OR b = '') THEN 100.0
         ELSE greatest(
@@ -237,7 +237,7 @@ def score_sql(pairs: str, floor: float | None = None) -> str:
           CASE WHEN s <> '' THEN 100.0::DOUBLE - 100.0::DOUBLE * (len(a) + 1) / (2 * len(s) + 1 + len(a)) ELSE 0.0 END,
           CASE WHEN s <> '' THEN 100.0::DOUBLE - 100.0::DOUBLE * (len(b) + 1) / (2 * len(s) + 1 + len(b)) ELSE 0.0 END)
         END AS score
-      FROM sized)"""
+      FROM {name}sized)"""
 
 
 @query(
@@ -306,13 +306,17 @@ def resolve_fuzzy(v: Views) -> DataFrame:
 
 
 WATERFALL_SQL = f"""{FUZZY_SQL},
+    lonely AS (SELECT left_norm, right_norm FROM asked CROSS JOIN known WHERE left_norm NOT IN (SELECT norm FROM best)),
+    {score_sql('lonely', name='lonely_')},
+    low AS (SELECT left_norm AS norm, max(score) AS low_score FROM lonely_rated GROUP BY left_norm),
     checked AS (
-      SELECT v.*, b.fuzzy_id, b.fuzzy_score,
+      SELECT v.*, b.fuzzy_id, coalesce(b.fuzzy_score, low_score, 0) AS fuzzy_score,
              b.fuzzy_id IS NOT NULL AND (v.wanted IS NULL
                OR b.fuzzy_id NOT IN (SELECT entity_id FROM recent WHERE group_code IS NOT NULL)
                OR EXISTS (SELECT 1 FROM wanted w WHERE w.entity_id = b.fuzzy_id AND w.wanted = v.wanted)
              ) AS taken
-      FROM verdicts v LEFT JOIN best b ON v.method = 'needs_fuzzy' AND b.norm = v.norm),
+      FROM verdicts v LEFT JOIN best b ON v.method = 'needs_fuzzy' AND b.norm = v.norm
+      LEFT JOIN low ON v.method = 'needs_fuzzy' AND low.norm = v.norm),
     waterfall AS (
     SELECT feed_id,
            CASE WHEN method <> 'needs_fuzzy' THEN entity_id WHEN taken THEN fuzzy_id END AS entity_id,
