@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitval.operators.dedupe import first_per_key
+from pitval.operators.skew import place_in_order
 
 FAR_FUTURE = dt.date(9999, 12, 31)
 
@@ -66,8 +67,9 @@ def asof_prior(
     """Backward as-of join, exact matches excluded; every left row is kept.
 
     ``history`` holds one row per (key, period). Left rows are first collapsed to their
-    distinct (key, period) probes, so the window of a key is as long as its number of
-    distinct periods and does not grow with the rows that share one. The answers are then
+    distinct (key, period) probes. Probes and history are range-partitioned by key and
+    period, so one key may span many tasks; what a key knows at the end of a partition is
+    carried to the next ones through a table of one row per partition. The answers are then
     joined back on (key, period), a join whose right side is unique and whose hot left
     partitions adaptive execution can split.
     """
@@ -80,14 +82,22 @@ def asof_prior(
         F.lit(1).alias("_h"),
         F.struct(F.col(value).alias("v")).alias("_v"),
     )
-    before = (
-        Window.partitionBy("_k").orderBy("_p", "_h").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    both = probes.unionByName(known, allowMissingColumns=True)
+    placed = place_in_order(both, ["_k", "_p", "_h"], "asof").withColumn("_part", F.shiftright("_slot", 33))
+    # The last key of each partition, and the last value known of it there.
+    known_at = F.when(F.col("_v").isNotNull(), F.col("_slot"))
+    ends = placed.groupBy("_part", "_k").agg(F.max("_slot").alias("_end"), F.max_by("_v", known_at).alias("_v"))
+    tails = ends.groupBy("_part").agg(F.max_by(F.struct("_k", "_v"), F.col("_end")).alias("t"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    told = F.when(F.col("t._v").isNotNull(), F.col("t"))
+    carried = tails.select("_part", F.last(told, ignorenulls=True).over(earlier).alias("_carried"))
+    before = Window.partitionBy("_part", "_k").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    from_before = F.when(F.col("_carried._k") == F.col("_k"), F.col("_carried._v"))
     answers = (
-        probes.unionByName(known, allowMissingColumns=True)
-        .withColumn("_a", F.last("_v", ignorenulls=True).over(before))
+        placed.withColumn("_a", F.last("_v", ignorenulls=True).over(before))
         .filter("_h = 0")
-        .select("_k", "_p", F.col("_a.v").alias(out))
+        .join(F.broadcast(carried), "_part")
+        .select("_k", "_p", F.coalesce("_a", from_before)["v"].alias(out))
     )
     return left.join(
         answers, (left[key] == answers["_k"]) & (left[left_period] == answers["_p"]), "left"

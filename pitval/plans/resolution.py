@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pitval import constants as C
 from pitval.operators.metrics import frequency_table
 from pitval.operators.resolve import resolve_mentions
+from pitval.session import materialize
 from pitval.sources.store import Store
 
 
@@ -24,15 +25,18 @@ def resolve_all(
 ) -> DataFrame:
     """Resolve feeds and return all resolutions.
 
-    By default the feed dates that have none yet, so that a later override or registry
-    leaves earlier resolutions, and every answer replayed from them, as they were. ``dates``
-    names those to resolve, also again. Each date uses what was known on it.
+    By default the rows of any feed date that have no verdict yet: a date that is ingested
+    again may bring new ones. Verdicts that stand are kept, so that a later override or
+    registry leaves earlier resolutions, and every answer replayed from them, as they were;
+    those of rows that left the feed go. ``dates`` names dates to resolve as a whole, also
+    again. Each date uses what was known on it.
     """
-    if dates is None:
-        dates = sorted(set(store.dates("feed")) - set(store.dates("resolutions")))
-    for day in dates:
+    whole = dates is not None
+    for day in dates if whole else _open_dates(store):
+        feed = store.snapshot("feed", day).filter(F.col("as_of_date") == F.lit(day))
+        old = store.read("resolutions").filter(F.col("as_of_date") == F.lit(day))
         resolved = resolve_mentions(
-            store.snapshot("feed", day).filter(F.col("as_of_date") == F.lit(day)),
+            feed if whole else feed.join(old, "feed_id", "left_anti"),
             store.snapshot("registry", day),
             store.snapshot("outcomes", day),
             overrides,
@@ -40,10 +44,23 @@ def resolve_all(
             threshold=threshold,
             resolved_at=today,
         )
+        if not whole:
+            kept = old.join(feed, "feed_id", "left_semi").select(resolved.columns)
+            # The date is read before it is replaced.
+            resolved = materialize(kept.unionByName(resolved), "resolutions")
         store.replace_for_date("resolutions", resolved, day)
     return store.read("resolutions")
 
 
+def _open_dates(store: Store) -> list[dt.date]:
+    """Feed dates with rows that have no verdict, or with verdicts of rows that are gone."""
+    keys = ["as_of_date", "feed_id"]
+    feed, done = (store.read(table).select(keys) for table in ("feed", "resolutions"))
+    gone = done.join(feed, keys, "left_anti").join(feed.select("as_of_date").distinct(), "as_of_date", "left_semi")
+    found = feed.join(done, keys, "left_anti").union(gone).select("as_of_date").distinct()
+    return sorted(r["as_of_date"] for r in found.collect())
+
+
 def method_summary(resolutions: DataFrame) -> DataFrame:
     """Rows and percent per method."""
     return frequency_table(resolutions, "method")

@@ -13,6 +13,8 @@ from pitval.operators import fuzzy, resolve
 from pitval.plans import resolution
 from pitval.queries.catalogue import query
 from pitval.queries.views import CURRENT_MONTH, Views
+from pitval.session import scratch_path
+from pitval.sources.store import Store
 
 RESOLVED_ON = dt.date(2024, 1, 20)
 
@@ -370,3 +372,23 @@ def unresolved_sample(v: Views) -> DataFrame:
 )
 def weakest_fuzzy(v: Views) -> DataFrame:
     return resolution.weakest_fuzzy(resolve_waterfall(v), v.mentions())
+
+
+@query(
+    "resolve_again",
+    f"""WITH {WATERFALL_SQL}
+    SELECT feed_id, entity_id, method, score, candidate_count,
+           CASE WHEN feed_id % 3 <> 0 THEN DATE '2024-01-20' ELSE DATE '2024-01-25' END AS resolved_at
+    FROM waterfall WHERE feed_id % 4 <> 0""",
+)
+def resolve_again(v: Views) -> DataFrame:
+    """A date that is ingested and resolved twice: verdicts that stand are kept, those of rows that
+    left go, and rows that came are resolved."""
+    store = Store(v.spark, scratch_path(v.spark, "store"))
+    store.replace_for_date("registry", v.registry(), RESOLVED_ON)
+    store.replace_for_date("outcomes", v.appearances(), RESOLVED_ON)
+    for rule, today in (("feed_id % 3 <> 0", RESOLVED_ON), ("feed_id % 4 <> 0", RESOLVED_ON + dt.timedelta(5))):
+        store.replace_for_date("feed", v.mentions().filter(rule), RESOLVED_ON)
+        resolution.resolve_all(store, v.overrides(), CURRENT_MONTH, today=today)
+    made = store.snapshot("resolutions").withColumn("score", F.round("score", 6))
+    return made.select("feed_id", "entity_id", "method", "score", "candidate_count", "resolved_at")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitval.functions.text import eligible_set
 from pitval.functions.value import decline_rate, value_path
-from pitval.operators import asof
+from pitval.operators import asof, quantiles
 from pitval.operators import features as ft
 from pitval.operators.costs import cost_precedence, with_surplus
 from pitval.operators.pairs import closest_pairs
@@ -424,3 +424,21 @@ def fair_pairs_for_group(v: Views) -> DataFrame:
 @query("backtest_pairs", _pairs_sql("pit", 15, before=_as_of_cte("2024-01-10") + ","))
 def backtest_pairs(v: Views) -> DataFrame:
     return closest_pairs(pit_values(v, "2024-01-10"), 15)
+
+
+@query(
+    "fact_median",
+    """
+    SELECT 'price' AS fact, role, round(median(outcome), 6) AS median FROM outcomes GROUP BY role
+    UNION ALL SELECT 'cost', role, round(median(cost), 6) FROM outcomes WHERE cost IS NOT NULL GROUP BY role
+    UNION ALL SELECT 'all costs', NULL, round(median(cost), 6) FROM outcomes""",
+)
+def fact_median(v: Views) -> DataFrame:
+    """Medians over whole fact columns, which no task holds."""
+    outcomes = v.outcomes()
+    parts = [
+        quantiles.exact_median(outcomes, "outcome", ["role"]).select(F.lit("price").alias("fact"), "role", "median"),
+        quantiles.exact_median(outcomes, "cost", ["role"]).select(F.lit("cost").alias("fact"), "role", "median"),
+        quantiles.exact_median(outcomes, "cost").select(F.lit("all costs").alias("fact"), F.lit(None).cast("string").alias("role"), "median"),
+    ]
+    return rounded(union_all(parts), 6, "median")

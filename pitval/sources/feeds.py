@@ -11,7 +11,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -217,6 +217,26 @@ def union_outcomes(bat: DataFrame, pitch: DataFrame, as_of: dt.date | None = Non
 
 # ---- season features ------------------------------------------------------------
 
+#: Columns without which a season file says nothing.
+SEASON_NEEDS = ("Lev", "mlbID")
+
+
+def read_whole_csv(spark: SparkSession, path: str, needed: Sequence[str]) -> DataFrame:
+    """``read_csv``, but judged at once: raises ValueError if a needed column is not there or a
+    record has more or fewer fields than the header."""
+    found = read_csv(spark, path)
+    missing = [c for c in needed if c not in found.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    broken = "_broken_record"
+    schema = T.StructType([*found.schema.fields, T.StructField(broken, T.StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+    rows = reader.option("columnNameOfCorruptRecord", broken).csv(path)
+    bad = rows.filter(F.col(broken).isNotNull()).select(*found.columns, broken).first()
+    if bad is not None:
+        raise ValueError(f"{path} has a broken record: {bad[broken][:200]}")
+    return found
+
 
 def clean_season(raw: DataFrame, columns: Mapping[str, str], volume: str, role: str) -> DataFrame:
     """Top-level rows of one role, one per entity and ``period``.
@@ -245,14 +265,15 @@ def union_seasons(frames: Sequence[DataFrame], as_of: dt.date) -> DataFrame:
 def load_seasons(
     spark: SparkSession, paths: Mapping[tuple[int, str], str], as_of: dt.date
 ) -> DataFrame | None:
-    """CSV files per (period, role). A missing file is logged, and the pitch half of a
-    period is read only if its bat half was there. Files of one role are cleaned together."""
+    """CSV files per (period, role). A file that is missing, lacks a column that rows are chosen by,
+    or holds a record that can't be parsed is logged and left out, and the pitch half of a period
+    is read only if its bat half was good. Files of one role are cleaned together."""
     raw: dict[str, list[DataFrame]] = {C.ROLE_BAT: [], C.ROLE_PITCH: []}
     for period in sorted({p for p, _ in paths}):
         for role in raw:
             try:
-                found = read_csv(spark, paths[period, role])
-            except (AnalysisException, KeyError) as error:
+                found = read_whole_csv(spark, paths[period, role], SEASON_NEEDS)
+            except (PySparkException, KeyError, ValueError) as error:
                 log.error("giving up on %s %s: %s", period, role, error)
                 break
             raw[role].append(found.withColumn("period", F.lit(period)))

@@ -19,7 +19,7 @@ from pitval import schemas
 from pitval.operators.dedupe import best_prediction
 from pitval.sources.feeds import fit_schema
 
-_DATE = re.compile(r"/as_of_date=(\d{4}-\d\d-\d\d)/")
+_DATE = re.compile(r"as_of_date=(\d{4}-\d\d-\d\d)")
 
 TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "registry": (schemas.REGISTRY, ["as_of_date"]),
@@ -57,6 +57,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path`` on any file system that Spark reads; none if it is not there."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(folder):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(folder) if status.isDirectory()]
+
+
 class Store:
     """The tables of one warehouse folder."""
 
@@ -81,18 +91,23 @@ class Store:
         replace_partitions(fit_schema(stamped, schema, fill=True), self.path(table), by, spread=False)
 
     def dates(self, table: str) -> list[dt.date]:
-        """The dates a table has snapshots of, from its folders; no file is opened."""
-        found = {m[1] for f in self.read(table).inputFiles() if (m := _DATE.search(f))}
-        return sorted(dt.date.fromisoformat(d) for d in found)
+        """The dates a table has snapshots of: one listing of the table's own folder, whatever
+        the number of files below it."""
+        found = (_DATE.fullmatch(name) for name in folder_names(self.spark, self.path(table)))
+        return sorted(dt.date.fromisoformat(m[1]) for m in found if m)
 
     def snapshot(self, table: str, cutoff: dt.date | str | None = None) -> DataFrame:
-        """The newest snapshot not after the cutoff. The date is a literal in the plan, so
-        files of other dates are neither opened nor listed by tasks."""
+        """The newest snapshot not after the cutoff. Only the folder of its date is read; the
+        folders of other dates are not even listed."""
         if isinstance(cutoff, str):
             cutoff = dt.date.fromisoformat(cutoff)
+        schema, _ = TABLES[table]
         known = [d for d in self.dates(table) if cutoff is None or d <= cutoff]
-        rows = self.read(table)
-        return rows.filter(F.col("as_of_date") == F.lit(known[-1])) if known else rows.filter("false")
+        if not known:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        rows = reader.parquet(f"{self.path(table)}/as_of_date={known[-1]}")
+        return rows.filter(F.col("as_of_date") == F.lit(known[-1]))
 
     def replace_predictions(self, df: DataFrame) -> None:
         """Replace the (period, system) partitions in ``df``; of several predictions for

@@ -247,6 +247,53 @@ def test_season_files_skip_a_failed_half(spark, tmp_path):
     assert rows(got, "period", "role", "entity_id") == [(2020, "bat", 5), (2022, "bat", 5), (2022, "pitch", 6)]
 
 
+def test_broken_periods_are_left_out(spark, tmp_path):
+    good = "Lev,mlbID,PA\nMaj-AL,5,10\n"
+    paths = {(y, "bat"): write(tmp_path / f"b{y}.csv", text) for y, text in {
+        2019: good, 2020: "Lev,mlbID,PA\nMaj-AL,5,10,11,12\n", 2021: "Lev,PA\nMaj-AL,10\n", 2022: good, 2023: "Lev,mlbID,PA\nMaj-AL\n",
+    }.items()}
+    paths |= {(y, "pitch"): write(tmp_path / f"p{y}.csv", "Lev,mlbID,IP\nMaj-AL,6,50\n") for y in range(2019, 2024)}
+    paths[2022, "pitch"] = write(tmp_path / "p2022.csv", "Lev,mlbID,IP\nMaj-AL,6,50,7\n")
+    got = feeds.load_seasons(spark, paths, D1)
+    assert rows(got, "period", "role", "entity_id") == [(2019, "bat", 5), (2019, "pitch", 6), (2022, "bat", 5)]
+
+
+def test_rows_that_arrive_later_are_resolved(spark, store):
+    store.replace_for_date("registry", spark.createDataFrame([(1, "Ada", "Quill"), (2, "Ida", "Stone")], NAMES), D1)
+    store.replace_for_date("outcomes", spark.createDataFrame([(1, 2026, "OAK")], "entity_id long, period int, group_code string"), D1)
+    overrides = spark.createDataFrame([], "player_name string, group_code string, entity_id long, seq int")
+    later = spark.createDataFrame([("Ada Quill", "OAK", 77, 1)], "player_name string, group_code string, entity_id long, seq int")
+
+    def ingest(*feed):
+        rows_ = [(i, 2026, "bat", name, "OAK", "C") for i, name in feed]
+        store.replace_for_date("feed", spark.createDataFrame(rows_, FEED_ROWS), D1)
+
+    ingest((7, "Ada Quill"), (8, "Gone Soon"))
+    first = dt.date(2026, 1, 1)
+    resolution.resolve_all(store, overrides, 2026, today=first)
+    resolution.resolve_all(store, later, 2026, today=dt.date(2026, 2, 2))
+    assert rows(store.snapshot("resolutions"), "feed_id", "entity_id", "resolved_at") == [(7, 1, first), (8, None, first)]
+    ingest((7, "Ada Quill"), (9, "Ida Stone"), (10, "Ada  Quill"))
+    second = dt.date(2026, 3, 3)
+    resolution.resolve_all(store, later, 2026, today=second)
+    # The verdict of row 7 stands, though an override would now give another one.
+    assert rows(store.snapshot("resolutions"), "feed_id", "entity_id", "resolved_at") == [(10, 77, second), (7, 1, first), (9, 2, second)]
+
+
+def test_many_files_of_a_date(spark, store):
+    """Dates come from folder names, and only the folder asked for is read."""
+    for day, value in ((D1, 1.0), (D2, 2.0)):
+        frame = spark.range(40).selectExpr("id as entity_id", f"{value} as surplus_value").repartition(20)
+        store.replace_for_date("valuations", frame, day)
+    assert store.dates("valuations") == [D1, D2]
+    for cutoff, want in ((D1, [(D1, 1.0)]), (None, [(D2, 2.0)]), (D1 - dt.timedelta(1), [])):
+        got = store.snapshot("valuations", cutoff)
+        assert sorted({(r["as_of_date"], r["surplus_value"]) for r in got.collect()}) == want
+    assert store.snapshot("valuations", D1).count() == 40
+    assert all(str(D1) in f for f in store.snapshot("valuations", D1).inputFiles())
+    assert len(store.snapshot("valuations", D1).inputFiles()) < len(store.read("valuations").inputFiles())
+
+
 def test_the_whole_chain(spark, store, tmp_path):
     """Ingest, resolve, forecast, value and recommend, twice for the same date."""
     common = "mlb_ID long, year_ID int, stint_ID int, name_common string, player_ID string, team_ID string, lg_ID string, G int, salary double, WAR double, WAR_rep double, WAA double"

@@ -71,6 +71,21 @@ def test_both_asof_joins_match_brute_force(spark):
         assert sorted((r.i, r.prior) for r in got.collect()) == sorted(expected), join.__name__
 
 
+def test_a_key_that_owns_all_rows_spans_tasks(spark):
+    """Long gaps without history, null values, and a key before and after the hot one."""
+    rng = random.Random(4)
+    history = [(5, p, None if p % 11 == 0 else float(p)) for p in rng.sample(range(3000), 40)] + [(4, 7, 1.0), (6, 9, 2.0)]
+    left = [(5, p, p) for p in range(3000)] + [(4, 3, 9001), (4, 8, 9002), (6, 9, 9003), (6, 10, 9004), (7, 1, 9005), (None, 1, 9006)]
+    expected = []
+    for k, p, i in left:
+        earlier = [(q, v) for key, q, v in history if key == k and q < p]
+        expected.append((i, max(earlier, key=lambda e: e[0])[1] if earlier else None))
+    ldf = spark.createDataFrame(left, "k long, p int, i int")
+    rdf = spark.createDataFrame(history, "k long, p int, v double")
+    got = asof.asof_prior(ldf, rdf, "k", "p", "p", "v", "prior").collect()
+    assert sorted((r.i, r.prior) for r in got) == sorted(expected)
+
+
 OUTCOMES = "entity_id long, period int, stint int, role string, outcome double, def_runs double, cost double"
 
 
