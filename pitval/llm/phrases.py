@@ -49,6 +49,8 @@ LONGEST, LEAST_COUNT, COVERED, TOP = 3, 10, 50, 2000
 BLOCK_WORDS = 2_000_000
 #: About so many entries of blocks are counted in one bucket.
 BUCKET_ENTRIES = 1_000_000
+#: Phrases of a heap, as a multiple of those that are wanted of it.
+RANKED = 16
 _SEGMENT_BYTES = 4 << 20
 
 #: No byte of UTF-8 text, so it can stand for the end of a piece.
@@ -434,10 +436,29 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST_COU
     return whole.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
 
 
+def first_per_lang(found: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` phrases of each language, with their rank.
+
+    Phrases are dealt to heaps of some ``RANKED`` firsts first, and only the first ones of each
+    heap go on, until one heap a language is left: no task sorts a language that is everywhere.
+    """
+    order = (F.desc("score"), F.desc("a"), "phrase")
+
+    def ranked(df: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("rank", place).where(F.col("rank") <= most)
+
+    heaps = found.count() // (RANKED * most)
+    while heaps > 1:
+        dealt = found.withColumn("heap", F.pmod(F.xxhash64("phrase"), F.lit(heaps)))
+        found = materialize(ranked(dealt, "lang", "heap").drop("heap", "rank"), "first-phrases")
+        heaps //= RANKED
+    return ranked(found, "lang")
+
+
 def op11(spark, folder):
-    found = collocations(read(spark, folder, "documents"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
+    found = materialize(collocations(read(spark, folder, "documents")), "collocations")
+    ranked = first_per_lang(found, TOP)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

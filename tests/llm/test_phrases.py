@@ -80,6 +80,18 @@ def test_ranks(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, phrases.op11(spark, str(tmp_path)).collect())) == sorted(want)
 
 
+def test_heaps_do_not_show(spark, monkeypatch):
+    rng = random.Random(63)
+    rows = [(rng.choice("aaab"), f"p {k}", rng.randint(1, 9), 1, 1, 1, rng.randint(1, 20)) for k in range(900)]
+    found = spark.createDataFrame(rows, "lang string, phrase string, a long, l long, r long, n long, score long")
+    whole = sorted(map(tuple, phrases.first_per_lang(found, 5).collect()))
+    monkeypatch.setattr(phrases, "RANKED", 2)
+    assert sorted(map(tuple, phrases.first_per_lang(found, 5).collect())) == whole and len(whole) == 10
+    for lang in "ab":
+        own = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1]))[:5]
+        assert [r[:7] for r in sorted(whole, key=lambda r: r[7]) if r[0] == lang] == own
+
+
 def test_products_beyond_64_bits(spark):
     rows = [(1, "en", "a b", "b", 3_000_000_000, [4_000_000_000, 3_000_000_000], [5_000_000_000, 3_000_000_000])]
     made = spark.createDataFrame(rows, "id long, lang string, phrase string, last string, a long, heads array<long>, tails array<long>")
