@@ -21,9 +21,14 @@ from pyspark.sql import functions as F
 
 from pitval import constants as C
 from pitval.functions.numeric import finite
+from pitval.operators.skew import with_position
 from pitval.operators.trees import BoostedModel, fit_boosted_sets
 
 
+#: Coordinate descent ends when no weight changes by more, relative to the greatest one.
+SOLVED = 1e-12
+
+
 @dataclass
 class FittedModel:
     """A fitted pipeline and the numeric input columns it needs."""
@@ -234,15 +239,18 @@ def fit_elastic_net(
     folds: int = C.ELASTIC_FOLDS,
     strengths: int = C.ELASTIC_STRENGTHS,
     mix: float = C.ELASTIC_MIX,
+    order: Sequence[str] = ("entity_id", "period"),
 ) -> LinearModel:
     """Elastic net whose strength is chosen by cross-validation on the training rows.
 
     Features are imputed and standardized once. One aggregation then gives the moments of
     every fold; the path of strengths, from the smallest one that zeroes every coefficient
-    down by three decades, is solved on those moments, whatever the number of rows. Folds
-    are dealt by a hash of the row.
+    down by three decades, is solved on those moments, whatever the number of rows. Folds are
+    contiguous in the order of those of the columns ``order`` that there are, the first ones
+    longer by a row if need be; rows alike in them are ordered by a hash of what they hold.
     """
-    rows = _numeric(train, features, label)
+    order = [c for c in order if c in train.columns]
+    rows = _numeric(train.withColumns({f"_o{i}": F.col(c) for i, c in enumerate(order)}), features, label, [f"_o{i}" for i in range(len(order))])
     summary = _summary(rows, list(features))
     if summary.rows == 0:
         raise ValueError("no training rows with a label")
@@ -258,7 +266,10 @@ def fit_elastic_net(
         ((F.coalesce(F.col(f"_x_{c}"), F.lit(float(m))) - F.lit(float(m))) / F.lit(float(s))).alias(f"z{i}")
         for i, (c, m, s) in enumerate(zip(names, means, spreads, strict=True))
     ]
-    fold = F.pmod(F.xxhash64(*rows.columns), F.lit(folds)).alias("fold")
+    rows = with_position(rows.withColumn("_hash", F.xxhash64(*rows.columns)), [*(f"_o{i}" for i in range(len(order))), "_hash"], "_place")
+    size, longer = divmod(summary.rows, folds)
+    place, edge = F.col("_place"), longer * (size + 1)
+    fold = F.when(place < edge, F.floor(place / (size + 1))).otherwise(longer + F.floor((place - edge) / max(size, 1))).alias("fold")
     columns = [*(f"z{i}" for i in range(len(names))), "y"]
     made = rows.select(*scaled, (F.col("_y") - F.lit(float(first["y"]))).alias("y"), fold)
     pairs = [(a, b) for a in range(len(columns)) for b in range(a, len(columns))]
@@ -315,7 +326,7 @@ class _Moments:
                     new = np.sign(pull) * max(abs(pull) - strength * mix, 0.0) / (gram[j, j] + strength * (1 - mix))
                     change = max(change, abs(new - weights[j]))
                     weights[j] = new
-                if change <= 1e-9 * max(1.0, np.abs(weights).max(initial=0.0)):
+                if change <= SOLVED * max(1.0, np.abs(weights).max(initial=0.0)):
                     break
             found.append((weights.copy(), float(means[-1] - means[:-1] @ weights)))
         return found

@@ -329,7 +329,77 @@ def rf_predict(v: Views) -> DataFrame:
     return _predicted(v, md.fit_forest)
 
 
-@query("elasticnet_cv")
+def elastic_sql(train: str, test: str, role_columns: dict[str, list[str]], folds: int = C.ELASTIC_FOLDS, strengths: int = C.ELASTIC_STRENGTHS, mix: float = C.ELASTIC_MIX) -> str:
+    """CTEs, cross-validated elastic nets by coordinate descent, a cycle a step for all folds and
+    roles at once: ``elastic`` has every row of ``test`` with ``elastic`` predicted. The WITH must be recursive."""
+
+    def per_role(make) -> str:
+        return "CASE role " + " ".join(f"WHEN '{role}' THEN {make(columns)}" for role, columns in role_columns.items()) + " END"
+
+    listed = per_role(lambda columns: "[" + ", ".join(f"{c}::DOUBLE" for c in columns) + "]")
+    means = per_role(lambda columns: "[" + ", ".join(f"avg({c})" for c in columns) + "]")
+    spreads = per_role(lambda columns: "[" + ", ".join(f"stddev_pop(f[{i}])" for i in range(1, len(columns) + 1)) + "]")
+    pull = "t[j[1]::INTEGER] - list_dot_product(g[j[1]::INTEGER], q) + g[j[1]::INTEGER][j[1]::INTEGER] * q[j[1]::INTEGER]"
+    curve = "g[j[1]::INTEGER][j[1]::INTEGER]"
+    cell = f"""CASE WHEN i <> j[1] OR {curve} <= 0 THEN v
+        ELSE sign({pull}) * greatest(abs({pull}) - strength * {mix}, 0) / ({curve} + strength * (1 - {mix})) END"""
+    return f"""net_mean AS (SELECT role, {means} AS m, avg(outcome) AS my FROM {train} GROUP BY role),
+    net_filled AS (
+      SELECT role, outcome - my AS y, m, my, list_transform({listed}, lambda v, i: coalesce(v, m[i])) AS f,
+             row_number() OVER (PARTITION BY role ORDER BY entity_id, period) - 1 AS place, count(*) OVER (PARTITION BY role) AS n
+      FROM {train} JOIN net_mean USING (role)),
+    net_scale AS (SELECT role, m, my, list_transform({spreads}, lambda v: CASE WHEN v = 0 THEN 1 ELSE v END) AS s FROM net_filled GROUP BY role, m, my),
+    net_rows AS (
+      SELECT role, list_append(list_transform(f, lambda v, i: (v - f1.m[i]) / s[i]), y) AS z,
+             CASE WHEN place < (n % {folds}) * (n // {folds} + 1) THEN place // (n // {folds} + 1)
+                  ELSE n % {folds} + (place - (n % {folds}) * (n // {folds} + 1)) // (n // {folds}) END AS fold
+      FROM net_filled f1 JOIN net_scale USING (role)),
+    net_cells AS (
+      SELECT role, fold, i, j, sum(z[i] * z[j]) AS p, sum(z[i]) AS a, count(*) AS n
+      FROM (SELECT role, fold, z, i, unnest(range(1, len(z) + 1)) AS j FROM (SELECT role, fold, z, unnest(range(1, len(z) + 1)) AS i FROM net_rows))
+      GROUP BY role, fold, i, j),
+    net_part AS (  -- held: the fold left out of it, -1 for none; own: the held fold itself
+      SELECT role, held, own, i, j, sum(p) AS p, sum(a) AS a, sum(n) AS n
+      FROM net_cells, (SELECT unnest(range(-1, {folds})) AS held), (VALUES (true), (false)) AS o(own)
+      WHERE CASE WHEN own THEN fold = held ELSE fold <> held END GROUP BY role, held, own, i, j),
+    net_line AS (
+      SELECT role, held, own, i, any_value(a) AS a, any_value(n) AS n, list(p ORDER BY j) AS p FROM net_part GROUP BY role, held, own, i),
+    net_moment AS MATERIALIZED (
+      SELECT role, held, own, any_value(n) AS n, list(a ORDER BY i) AS a, list(p ORDER BY i) AS p, count(*) - 1 AS k FROM net_line GROUP BY role, held, own),
+    net_problem AS MATERIALIZED (
+      SELECT role, held, k, list_transform(a, lambda v: v / n) AS mean,
+             list_transform(range(1, k + 1), lambda i: list_transform(range(1, k + 1), lambda j: p[i][j] / n - a[i] / n * (a[j] / n))) AS g,
+             list_transform(range(1, k + 1), lambda i: p[i][k + 1] / n - a[i] / n * (a[k + 1] / n)) AS t
+      FROM net_moment WHERE NOT own),
+    net_top AS (SELECT role, greatest(list_max(list_transform(t, lambda v: abs(v))), 1e-9) / {mix} AS top FROM net_problem WHERE held = -1),
+    net(role, held, stage, w, cycles, solved) AS (
+      SELECT role, held, 0, list_transform(range(k), lambda i: 0.0::DOUBLE), 0, -1 FROM net_problem
+      UNION ALL
+      SELECT role, held, CASE WHEN ended THEN stage + 1 ELSE stage END, next, CASE WHEN ended THEN 0 ELSE cycles + 1 END, CASE WHEN ended THEN stage ELSE -1 END
+      FROM (
+        SELECT *, list_max(list_transform(next, lambda v, i: abs(v - w[i]))) <= {md.SOLVED} * greatest(1, list_max(list_transform(next, lambda v: abs(v)))) OR cycles >= 999 AS ended
+        FROM (
+          SELECT role, held, stage, w, cycles,
+                 list_reduce(list_transform(range(1, k + 1), lambda i: [i::DOUBLE]), lambda q, j: list_transform(q, lambda v, i: {cell}), w) AS next
+          FROM (SELECT *, top * power(10.0, -3.0 * stage / {strengths - 1}) AS strength FROM net JOIN net_problem USING (role, held) JOIN net_top USING (role) WHERE stage < {strengths})))),
+    net_solved AS (SELECT role, held, solved, w, mean[k + 1] - list_dot_product(mean[1:k], w) AS base, k FROM net JOIN net_problem USING (role, held) WHERE solved >= 0),
+    net_error AS (
+      SELECT role, solved, sum((list_dot_product(v, list_transform(p, lambda r: list_dot_product(r, v))) - 2 * base * list_dot_product(v, a) + n * base * base) / n) AS error
+      FROM (SELECT s.*, list_append(list_transform(w, lambda x: -x), 1.0::DOUBLE) AS v, a, p, n FROM net_solved s JOIN net_moment m ON m.role = s.role AND m.held = s.held AND m.own)
+      GROUP BY role, solved),
+    net_best AS (SELECT role, solved FROM net_error QUALIFY row_number() OVER (PARTITION BY role ORDER BY error, solved) = 1),
+    elastic AS (
+      SELECT entity_id, period, role, my + base + list_sum(list_transform({listed}, lambda v, i: w[i] / s[i] * (coalesce(v, m[i]) - m[i]))) AS elastic
+      FROM {test} JOIN net_scale USING (role) JOIN net_solved USING (role) JOIN net_best USING (role, solved) WHERE held = -1)"""
+
+
+ELASTIC_SQL = f"""{PREPARED_SQL},
+    held_train AS (SELECT * FROM prepared WHERE target_period NOT IN (2000, 2001)),
+    held_test AS (SELECT * FROM prepared WHERE target_period IN (2000, 2001)),
+    {elastic_sql('held_train', 'held_test', ROLE_COLUMNS)}"""
+
+
+@query("elasticnet_cv", f"{ELASTIC_SQL} SELECT entity_id, period, role, round(elastic, 6) AS prediction FROM elastic")
 def elasticnet_cv(v: Views) -> DataFrame:
     return _predicted(v, md.fit_elastic_net)
 
