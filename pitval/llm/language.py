@@ -9,9 +9,11 @@ It is fitted on at most ``SAMPLE`` labelled documents of each language, taken in
 of a hash of their ids; rows held out by ``held_out`` are never among them. Only text and
 language are looked at in fitting, and only the text in predicting.
 
-Defined cases: ``und`` with score 0 for a null text, a text without a letter, or where no
-row has a language; ties go to the language first in the alphabet. Repeated rows and
-other columns change nothing.
+Words are runs of letters (``str.isalpha``) in lower case; numbers, also ½ or ①, and combining
+marks part them. Defined cases: ``und`` with score 0 for a null text, a text without a letter, or
+where no row has a language; ties go to the language first in the alphabet. Rows without an id
+are predicted but not fitted on. Of rows that share an id and a language one is fitted on,
+that whose text has the least hash. Other columns change nothing.
 """
 
 from __future__ import annotations
@@ -42,6 +44,16 @@ _WORD = re.compile(r"[^\W\d_]+")
 KEPT_WORDS = 400_000
 
 
+def words_of(text: str) -> Counter:
+    """The words of a text and how often each occurs."""
+    counts = Counter(_WORD.findall(text.lower()))
+    for odd in [w for w in counts if not w.isalpha()]:
+        times = counts.pop(odd)
+        for part in "".join(c if c.isalpha() else " " for c in odd).split():
+            counts[part] += times
+    return counts
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -70,7 +82,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages:
             return UNKNOWN, 0.0
-        counts = Counter(_WORD.findall(text.lower()))
+        counts = words_of(text)
         if not counts:
             return UNKNOWN, 0.0
         seen = self.seen
@@ -115,25 +127,26 @@ def fit(counts: list[tuple[str, str, int]]) -> Model:
 
 def train(docs: DataFrame) -> Model:
     """Fitted on a bounded sample of the rows that are not held out."""
-    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    # Languages are the model's columns: few.
-    cuts = {r["lang"]: share_for(SAMPLE, r["count"]) for r in labelled.groupBy("lang").count().collect()}
-    if not cuts:
+    fit_on = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    labelled = docs.select("doc_id", "text", "lang").where(fit_on)
+    # Languages are the model's columns: few. An estimate will do, as some 4 x SAMPLE ids are ranked.
+    ids = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).collect()
+    if not ids:
         return fit([])
     place = hash_order("doc_id")
-    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[F.col("lang")]
-    chosen = labelled.where(place < cut).select("lang", F.struct(place.alias("h"), F.col("doc_id").alias("id")).alias("k"))
-    # Some 4 x SAMPLE rows of each language are left to rank.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
-    first = materialize(chosen.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("lang", "k.id"), "language-sample")
-    ids = F.broadcast(first.select(F.col("id").alias("sample_id"), F.col("lang").alias("sample_lang")).distinct())
-    texts = labelled.join(ids, (F.col("doc_id") == F.col("sample_id")) & (F.col("lang") == F.col("sample_lang")))
+    cut = F.create_map(*[F.lit(x) for r in ids for x in (r["lang"], share_for(SAMPLE, r["ids"]))])[F.col("lang")]
+    near = labelled.where(place < cut).groupBy("lang", "doc_id").agg(F.min(F.xxhash64("text")).alias("text_hash"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id"))
+    first = materialize(near.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).drop("rank"), "language-sample")
+    # At most SAMPLE rows a language.
+    hashed = labelled.withColumn("text_hash", F.xxhash64("text"))
+    texts = hashed.join(F.broadcast(first), ["lang", "doc_id", "text_hash"]).dropDuplicates(["lang", "doc_id"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, "text"):
             found: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+                found.setdefault(lang, Counter()).update(words_of(text))
             rows = [(lang, word, n) for lang, own in found.items() for word, n in own.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from pitval.llm.common import read, text_bytes
 from pitval.session import materialize, scratch_path
+from pitval.sources.store import folder_names
 
 SHARDS = 16
 SLOTS = 4096
@@ -78,7 +79,10 @@ def rebalanced(shard_of: np.ndarray, sizes: np.ndarray, shards: int) -> np.ndarr
 
 
 class SlotMaps:
-    """Versions of a slot map in one folder; a version is written once and never changed."""
+    """Versions of a slot map in one folder; a version is written once and never changed.
+
+    A rebalance edits the newest version and writes the next one.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -87,6 +91,23 @@ class SlotMaps:
         table = pa.table({"slot": pa.array(np.arange(len(shard_of)), pa.int32()), "shard": pa.array(shard_of, pa.int32())})
         self.spark.createDataFrame(table).coalesce(1).write.mode("error").parquet(f"{self.path}/version={version}")
 
+    def versions(self) -> list[int]:
+        names = folder_names(self.spark, self.path)
+        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+    def edited(self, sizes: np.ndarray, shards: int) -> np.ndarray:
+        """The newest map, edited for these sizes; stored as the next version if it had to change."""
+        if not self.versions():
+            self.save(0, first_map(len(sizes), shards))
+        newest = self.versions()[-1]
+        before = self.load(newest)
+        if len(before) != len(sizes):
+            raise ValueError(f"the stored map has {len(before)} slots, not {len(sizes)}")
+        after = rebalanced(before, sizes, shards)
+        if (after != before).any():
+            self.save(newest + 1, after)
+        return after
+
     def load(self, version: int) -> np.ndarray:
         table = self.spark.read.parquet(f"{self.path}/version={version}").toArrow().sort_by("slot")
         return table.column("shard").to_numpy()
@@ -105,7 +126,11 @@ def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
 
 
 def place(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: SlotMaps | None = None) -> DataFrame:
-    """Every row with its shard by the rebalanced map, and its place there (``slot``)."""
+    """Every row with its shard by the rebalanced map, and its place there (``slot``).
+
+    ``maps`` holds the map from call to call: the newest version is edited, so that rows move only
+    where sizes or the number of shards have changed.
+    """
     spark = docs.sparkSession
     rows = materialize(records(docs, slots), "shard-records")
     # At most slots x PARTS rows.
@@ -114,9 +139,7 @@ def place(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: SlotM
     sizes = np.zeros(slots, np.int64)
     np.add.at(sizes, own, parts.column("bytes").to_numpy())
     maps = maps or SlotMaps(spark, scratch_path(spark, "slot-map"))
-    maps.save(0, first_map(slots, shards))
-    maps.save(1, rebalanced(maps.load(0), sizes, shards))
-    shard_of = maps.load(1)
+    shard_of = maps.edited(sizes, shards)
     shard, counts = shard_of[own], parts.column("rows").to_numpy()
     order = np.argsort(shard, kind="stable")
     before = np.cumsum(counts[order]) - counts[order]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 from pitval.llm import language, url_filter, warc
 from tests.llm.conftest import sentence
@@ -104,3 +106,65 @@ def test_warc_round_trip(spark, tmp_path, monkeypatch):
     assert payloads and set(payloads) <= {(h or "").encode() for _, _, h in rows}
     empty = warc.write_archives(pages.limit(0), str(tmp_path / "none"))
     assert empty.count() == 0 and warc.read_archives(empty).count() == 0
+
+
+def plain_language(train, text):
+    """Scores of the languages of one text, word by word, from (language, text) rows."""
+    def words(t):
+        return "".join(c if c.isalpha() else " " for c in t.lower()).split()
+
+    languages = sorted({lang for lang, _ in train})
+    tables = []
+    for pieces_of in (lambda w: [w], lambda w: [f"<{w}>"[k : k + n] for n in range(1, 6) for k in range(len(w) + 3 - n)]):
+        counts = {lang: Counter(p for own, t in train if own == lang for w in words(t) for p in pieces_of(w)) for lang in languages}
+        every = Counter()
+        for own in counts.values():
+            every.update(own)
+        known = {p for p, n in every.items() if n >= 3}
+        tables.append({p: [math.log(counts[x][p] + 1) - math.log(sum(counts[x].values()) + len(known) + 1) for x in languages] for p in known})
+    found, total = words(text or ""), [0.0] * len(languages)
+    if not found:
+        return "und", 0.0
+    for w in found:
+        rows = [tables[0][w]] if w in tables[0] else []
+        for n in range(min(5, len(w) + 2), 0, -1):
+            if not rows:
+                rows = [tables[1][g] for k in range(len(w) + 3 - n) if (g := f"<{w}>"[k : k + n]) in tables[1]]
+        for i in range(len(languages)):
+            total[i] += sum(r[i] for r in rows) / max(1, len(rows))
+    mean = [t / len(found) for t in total]
+    chances = [math.exp((m - max(mean)) * min(len(found), 20)) for m in mean]
+    best = mean.index(max(mean))
+    return languages[best], chances[best] / sum(chances)
+
+
+def test_language_against_a_plain_version(spark):
+    rng = random.Random(81)
+    stems = {"aa": ["kat", "hond", "vis", "öre"], "bb": ["chat", "chien", "poisson", "ére"], "cc": ["katze", "hund", "fisch", "ähre"]}
+    rows = []
+    for k in range(400):
+        lang = rng.choice(list(stems))
+        words = [rng.choice(stems[lang] if rng.random() < 0.8 else stems[rng.choice(list(stems))]) + rng.choice(["", "en", "s", "x"]) for _ in range(rng.randint(1, 12))]
+        rows.append((k, rng.choice([" ", "-", "½", "², "]).join(words), lang))
+    rows += [(900, "½ ² ①", "aa"), (901, None, "aa"), (902, "", None), (903, "12 34", None), (904, "zzqq", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language.predict(docs, language.train(docs)).collect()}
+    train = [(lang, t) for i, t, lang in rows if lang and t is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    for i, text, _ in rows:
+        lang, score = plain_language(train, text)
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-4, i
+    assert got[900]["lang_pred"] == got[901]["lang_pred"] == "und"
+
+
+def test_ids_that_are_null_or_repeated(spark, monkeypatch):
+    """Neither fills the sample: the model still knows every language."""
+    monkeypatch.setattr(language, "SAMPLE", 40)
+    rows = [(None, f"{lang} wort eins", lang) for lang in ("aa", "bb") for _ in range(700)]
+    rows += [(7, f"hot {k % 3}", "aa") for k in range(900)]
+    rows += [(1000 + k, f"{'kat hond' if k % 2 else 'chat chien'} nr", "aa" if k % 2 else "bb") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language.train(docs)
+    assert model.languages == ["aa", "bb"]
+    assert [model.predict(t)[0] for t in ("kat hond", "chat chien")] == ["aa", "bb"]
+    assert "wort" not in model.words
+    assert language.predict(docs, model).count() == len(rows)

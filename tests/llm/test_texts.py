@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 import re
 from collections import Counter
 
@@ -301,3 +302,36 @@ def test_empty_tables(spark, make_docs):
         assert made.count() == 0
     some = make_docs([(1, "a b c")])
     assert decontaminate.hits(some, bench).first()["contaminated"] is False
+
+
+def test_a_stored_map_is_edited(spark, tmp_path, make_docs):
+    """Bytes are near equal, and later calls move slots of the newest map only where they must."""
+    rng = random.Random(71)
+    rows = [(i, sentence(rng, rng.randint(1, 60))) for i in range(600)] + [(None, "no id"), (900, None), (901, "x" * 40_000)]
+    maps = sharding.SlotMaps(spark, str(tmp_path / "own"))
+
+    def placed(rows, shards):
+        got = sharding.place(make_docs(rows), shards, slots=256, maps=maps).collect()
+        assert sorted((r["doc_id"], r["size"], r["text_crc32"], r["law"]) for r in got if r["doc_id"] is not None) == sorted(
+            (i, len((t or "").encode()) + 1, None if t is None else zlib.crc32(t.encode()), "bytes") for i, t in rows if i is not None
+        )
+        load = np.zeros(shards, int)
+        for r in got:
+            load[r["shard"]] += r["size"]
+        for shard in range(shards):
+            own = sorted(r["slot"] for r in got if r["shard"] == shard)
+            assert own == list(range(len(own)))
+        return load, {r["virtual_slot"]: r["shard"] for r in got}
+
+    load, first = placed(rows[:-1], 4)
+    assert load.max() - load.min() <= 0.01 * load.mean() and maps.versions() == [0, 1]
+    assert placed(rows[:-1], 4)[1] == first and maps.versions() == [0, 1]
+    load, more = placed(rows[:-1], 5)
+    assert load.max() - load.min() <= 0.02 * load.mean() and maps.versions() == [0, 1, 2]
+    # Some fifth of the slots goes to the new shard; few others move.
+    assert sum(first[s] == more[s] for s in first) > 0.6 * len(first)
+    load, _ = placed(rows, 5)
+    # One record is more than a shard's share: its shard holds little else.
+    assert load.max() < 40_001 + 2_000
+    with pytest.raises(ValueError, match="slots"):
+        sharding.place(make_docs(rows), 5, slots=128, maps=maps)
