@@ -13,36 +13,19 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
 from pitval.functions.numeric import finite
 from pitval.operators.skew import with_position
-from pitval.operators.trees import BoostedModel, fit_boosted_sets
+from pitval.operators.trees import BoostedModel, ForestModel, fit_boosted_sets, fit_forest_sets
 
 
 #: Coordinate descent ends when no weight changes by more, relative to the greatest one.
 SOLVED = 1e-12
 
 
-@dataclass
-class FittedModel:
-    """A fitted pipeline and the numeric input columns it needs."""
-
-    features: list[str]
-    pipeline: PipelineModel
-
-    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        """``df`` with the prediction added; helper columns are dropped."""
-        inputs = {f"_x_{c}": finite(F.col(c).cast("double")) for c in self.features}
-        made = self.pipeline.transform(df.withColumns(inputs)).withColumn(out, F.col("_prediction"))
-        return made.select(*[c for c in df.columns if c != out], out)
-
-
 @dataclass
 class LinearModel:
     """Weights of raw features; a missing value counts as the training mean."""
@@ -96,26 +79,6 @@ def _summary(rows: DataFrame, features: Sequence[str]) -> _Summary:
     )
 
 
-def _prepare_stages(features: Sequence[str]) -> list:
-    """Mean imputation with means of the training rows, then one vector column."""
-    names = [f"_x_{c}" for c in features]
-    filled = [f"_f_{c}" for c in features]
-    return [
-        Imputer(strategy="mean", inputCols=names, outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="_vector"),
-    ]
-
-
-def _fit(train: DataFrame, features: Sequence[str], label: str, make) -> FittedModel:
-    rows = _numeric(train, features, label)
-    summary = _summary(rows, list(features))
-    if summary.rows == 0:
-        raise ValueError("no training rows with a label")
-    estimator = make(summary, rows)
-    stages = [*_prepare_stages(summary.features), estimator]
-    return FittedModel(summary.features, Pipeline(stages=stages).fit(rows))
-
-
 @dataclass
 class Moments:
     """Centred cross products of the features and, last, the label.
@@ -214,22 +177,9 @@ def fit_boosted_trees(
     return fit_boosted_sets(train, {None: features}, label, **settings)[None]
 
 
-def fit_forest(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str = "outcome",
-    trees: int = C.FOREST["trees"],
-    depth: int = C.FOREST["depth"],
-) -> FittedModel:
+def fit_forest(train: DataFrame, features: Sequence[str], label: str = "outcome", **settings) -> ForestModel:
     """Random forest that may split on any feature, on imputed features."""
-
-    def make(summary: _Summary, rows: DataFrame) -> RandomForestRegressor:
-        return RandomForestRegressor(
-            featuresCol="_vector", labelCol="_y", predictionCol="_prediction",
-            numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=0,
-        )
-
-    return _fit(train, features, label, make)
+    return fit_forest_sets(train, {None: features}, label, **settings)[None]
 
 
 def fit_elastic_net(
@@ -361,7 +311,7 @@ def fit_blend(train: DataFrame, features: Sequence[str], label: str = "outcome",
     return BlendModel([fit_ridge(train, features, label), fit_boosted_trees(train, features, label, **boosted)])
 
 
-Model = FittedModel | LinearModel | BoostedModel | BlendModel
+Model = LinearModel | BoostedModel | ForestModel | BlendModel
 Fit = Callable[[DataFrame, Sequence[str], str], Model]
 
 
@@ -369,7 +319,7 @@ def fit_models(
     train: DataFrame, models: Mapping[str, tuple[Sequence[str], Fit]], label: str = "outcome", by: str = "role"
 ) -> dict[str, Model]:
     """A model for each value of ``by``: (features, fit). All ridge models come from the same
-    moments, all boosted ones from the same passes."""
+    moments, all boosted ones and all forests from the same passes."""
 
     def sets(kind: Fit) -> dict[str, Sequence[str]]:
         return {name: columns for name, (columns, fit) in models.items() if fit is kind}
@@ -379,6 +329,8 @@ def fit_models(
         made |= fit_ridge_sets(train, linear, label, by=by)
     if boosted := sets(fit_boosted_trees):
         made |= fit_boosted_sets(train, boosted, label, by=by)
+    if forests := sets(fit_forest):
+        made |= fit_forest_sets(train, forests, label, by=by)
     for name, (columns, fit) in models.items():
         if name not in made:
             made[name] = fit(train.filter(F.col(by) == name), columns, label)

@@ -16,17 +16,24 @@ plans stay short.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from pitval import constants as C
 from pitval.functions.numeric import finite
 from pitval.operators.quantiles import values_at_ranks
+from pitval.operators.skew import with_position
 from pitval.session import materialize
 
 WRITTEN_TREES = 10
@@ -76,11 +83,17 @@ class BoostedModel:
         return F.when(values[number] <= F.lit(self.cuts[number][bin_]), left).otherwise(self._walk(tree, values, 2 * node + 1))
 
 
-def _prepared(train: DataFrame, names: Sequence[str], label: str, by: str | None) -> DataFrame:
+def _prepared(train: DataFrame, names: Sequence[str], label: str, by: str | None, order: Sequence[str]) -> DataFrame:
+    """(grp, x, y, place): ``place`` numbers the rows by group and ``order``, if there is one."""
     group = F.lit(None).cast("string") if by is None else F.col(by).cast("string")
     values = F.array(*[finite(F.col(c).cast("double")) for c in names])
-    rows = train.select(group.alias("grp"), values.alias("x"), F.col(label).cast("double").alias("y"))
-    return materialize(rows.filter("y is not null"), "tree-rows")
+    kept = {f"_o{i}": F.col(c) for i, c in enumerate(order)}
+    rows = train.select(group.alias("grp"), values.alias("x"), F.col(label).cast("double").alias("y"), *[c.alias(n) for n, c in kept.items()])
+    rows = rows.filter("y is not null")
+    if not order:
+        return materialize(rows.withColumn("place", F.lit(0).cast("long")), "tree-rows")
+    hashed = rows.withColumn("_hash", F.xxhash64("x", "y"))
+    return materialize(with_position(hashed, ["grp", *kept, "_hash"], "place").select("grp", "x", "y", "place"), "tree-rows")
 
 
 def _cuts(rows: DataFrame, means: Mapping[str | None, list], bins: int) -> dict[tuple[str | None, int], list[float]]:
@@ -102,9 +115,9 @@ def _cuts(rows: DataFrame, means: Mapping[str | None, list], bins: int) -> dict[
 
 
 def _binned(rows: DataFrame, groups: Sequence[str | None], models: Mapping[str | None, BoostedModel], names: Sequence[str]) -> DataFrame:
-    """(grp as a number, bins, label and margin as whole numbers) of every row."""
+    """(grp as a number, bins, label as a whole number, place) of every row."""
     plans = {
-        g: (number, [names.index(c) for c in m.features], [(mean, np.array(cut)) for mean, cut in zip(m.means, m.cuts, strict=True)], m.scale, m.base)
+        g: (number, [names.index(c) for c in m.features], [(mean, np.array(cut)) for mean, cut in zip(m.means, m.cuts, strict=True)], m.scale)
         for number, (g, m) in enumerate((g, models[g]) for g in groups)
     }
 
@@ -113,7 +126,7 @@ def _binned(rows: DataFrame, groups: Sequence[str | None], models: Mapping[str |
             own = np.array(batch.column("grp").to_pylist(), object)
             values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(names))
             labels = batch.column("y").to_numpy(zero_copy_only=False)
-            for group, (number, places, features, scale, base) in plans.items():
+            for group, (number, places, features, scale) in plans.items():
                 at = np.flatnonzero(np.array([g == group for g in own], bool))
                 if not len(at):
                     continue
@@ -126,12 +139,12 @@ def _binned(rows: DataFrame, groups: Sequence[str | None], models: Mapping[str |
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(at), number, np.int32)), pa.ListArray.from_arrays(pa.array(starts), pa.array(bins.reshape(-1))),
-                        pa.array(np.floor(labels[at] * scale + 0.5).astype(np.int64)), pa.array(np.full(len(at), base, np.int64)),
+                        pa.array(np.floor(labels[at] * scale + 0.5).astype(np.int64)), batch.column("place").take(pa.array(at)),
                     ],
-                    ["grp", "bins", "y", "margin"],
+                    ["grp", "bins", "y", "place"],
                 )
 
-    return rows.mapInArrow(work, "grp int, bins array<int>, y long, margin long")
+    return rows.mapInArrow(work, "grp int, bins array<int>, y long, place long")
 
 
 def _lookup(lists: Sequence[Sequence[int]], node: str, kind: str = "INT") -> str:
@@ -173,7 +186,8 @@ def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dic
         g = g.astype(np.float64)
         return g * g / (n + penalty)
 
-    score = gain(left_g, left_n) + gain(whole_g - left_g, whole_n - left_n)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        score = gain(left_g, left_n) + gain(whole_g - left_g, whole_n - left_n)
     allowed = (whole_n > left_n) & (score - gain(whole_g, whole_n) > np.array(least)[group])
     best: dict[tuple[int, int], tuple] = {}
     for k in np.flatnonzero(allowed)[np.lexsort((bin_[allowed], feature[allowed], -score[allowed]))].tolist():
@@ -220,20 +234,13 @@ def _grown(state: DataFrame, groups: int, depth: int, rate: float, penalty: floa
     return trees
 
 
-def fit_boosted_sets(
-    train: DataFrame,
-    feature_sets: Mapping[str | None, Sequence[str]],
-    label: str = "outcome",
-    by: str | None = None,
-    trees: int = C.BOOSTED_TREES["trees"],
-    depth: int = C.BOOSTED_TREES["depth"],
-    rate: float = C.BOOSTED_TREES["rate"],
-    penalty: float = C.BOOSTED_TREES["penalty"],
-    bins: int = C.BOOSTED_TREES["bins"],
-) -> dict[str | None, BoostedModel]:
-    """A model for each value of ``by`` (under None, without it), each on features of its own."""
+def _started(
+    train: DataFrame, feature_sets: Mapping[str | None, Sequence[str]], label: str, by: str | None, bins: int, kind: type,
+    order: Sequence[str] = (),
+) -> tuple[dict, DataFrame]:
+    """Models without a tree, and the rows of their groups as bins. ``order`` also numbers the rows."""
     names = list(dict.fromkeys(c for columns in feature_sets.values() for c in columns))
-    rows = _prepared(train, names, label, by)
+    rows = _prepared(train, names, label, by, order)
     wanted = rows.filter(F.col("grp").isin([g for g in feature_sets if g is not None])) if by else rows
     first = wanted.groupBy("grp").agg(
         F.max(F.abs("y")).alias("most"), *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(names))]
@@ -248,13 +255,30 @@ def fit_boosted_sets(
     for g in groups:
         known = [i for i, c in enumerate(names) if c in feature_sets[g] and means[g][i] is not None]
         scale = 2.0 ** (LABEL_BITS - int(np.ceil(np.log2(facts[g]["most"]))) if facts[g]["most"] else 0)
-        models[g] = BoostedModel([names[i] for i in known], [means[g][i] for i in known], [cuts[g, i] for i in known], scale, 0)
+        models[g] = kind([names[i] for i in known], [means[g][i] for i in known], [cuts[g, i] for i in known], scale, 0)
     state = materialize(_binned(wanted, groups, models, names), "tree-state")
     totals = {r["grp"]: r for r in state.groupBy("grp").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).collect()}
     for number, g in enumerate(groups):
         models[g].base = int(np.floor(totals[number]["y"] / totals[number]["n"] + 0.5))
+    return models, state
+
+
+def fit_boosted_sets(
+    train: DataFrame,
+    feature_sets: Mapping[str | None, Sequence[str]],
+    label: str = "outcome",
+    by: str | None = None,
+    trees: int = C.BOOSTED_TREES["trees"],
+    depth: int = C.BOOSTED_TREES["depth"],
+    rate: float = C.BOOSTED_TREES["rate"],
+    penalty: float = C.BOOSTED_TREES["penalty"],
+    bins: int = C.BOOSTED_TREES["bins"],
+) -> dict[str | None, BoostedModel]:
+    """A model for each value of ``by`` (under None, without it), each on features of its own."""
+    models, state = _started(train, feature_sets, label, by, bins, BoostedModel)
+    groups = list(models)
     bases = F.element_at(F.array(*[F.lit(models[g].base).cast("long") for g in groups]), F.col("grp") + 1)
-    current = state.withColumn("margin", bases)
+    current = state.select("grp", "bins", "y", bases.alias("margin"))
     kept: list[DataFrame] = []
     least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
     for k in range(trees):
@@ -276,3 +300,164 @@ def fit_boosted_sets(
     for frame in [*kept, current]:
         frame.unpersist()
     return models
+
+
+# ---- forest -------------------------------------------------------------------------
+
+#: A row's number and a tree's number give the draws of the row, by quadratic steps modulo a prime.
+_PRIME = (1 << 31) - 1
+#: Of a bootstrap sample of many rows, a row is drawn 0, 1, 2, ... times with these chances.
+DRAWS = [int(sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) * _PRIME) for n in range(9)]
+
+
+def draws(place: np.ndarray, tree: int) -> np.ndarray:
+    """How often a tree's bootstrap sample holds each row."""
+    p = place % _PRIME
+    x = ((p + 1) * 40692 + (tree + 1) * 69621) % _PRIME
+    x = x * x % _PRIME
+    x = (x + p + 7 * tree + 1) % _PRIME
+    x = x * x % _PRIME
+    return np.searchsorted(np.array(DRAWS), x * 48271 % _PRIME, side="right")
+
+
+def _reached(bins: np.ndarray, tree: Tree, levels: int) -> np.ndarray:
+    """The heap number of each row after ``levels`` splits."""
+    node = np.ones(len(bins), np.int64)
+    features, limits, rows = np.array(tree.features), np.array(tree.bins), np.arange(len(bins))
+    for _ in range(levels):
+        right = bins[rows, features[node]] > limits[node] if bins.shape[1] else np.zeros(len(bins), bool)
+        node = 2 * node + right
+    return node
+
+
+@dataclass
+class ForestModel:
+    """The mean of trees over imputed features, in fractions ``1 / scale`` of a unit."""
+
+    features: list[str]
+    means: list[float]
+    cuts: list[list[float]]
+    scale: float
+    base: int
+    trees: list[Tree] = field(default_factory=list)
+
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        cuts, trees, depth = [np.array(c) for c in self.cuts], self.trees, len(self.trees[0].features).bit_length() - 1
+
+        @pandas_udf(T.LongType())
+        def total(values: pd.Series) -> pd.Series:
+            x = np.array(values.tolist(), float).reshape(len(values), len(cuts))
+            bins = np.stack([np.searchsorted(c, x[:, i], side="left") for i, c in enumerate(cuts)], axis=1) if cuts else np.zeros((len(x), 0), int)
+            made = np.zeros(len(x), np.int64)
+            for tree in trees:
+                made += np.array(tree.leaves)[_reached(bins, tree, depth) - (1 << depth)]
+            return pd.Series(made)
+
+        values = [F.coalesce(finite(F.col(c).cast("double")), F.lit(m)) for c, m in zip(self.features, self.means, strict=True)]
+        sum_ = total(F.array(*values).cast("array<double>"))
+        return df.withColumn(out, sum_ / F.lit(len(trees) * self.scale))
+
+
+def fit_forest_sets(
+    train: DataFrame,
+    feature_sets: Mapping[str | None, Sequence[str]],
+    label: str = "outcome",
+    by: str | None = None,
+    trees: int = C.FOREST["trees"],
+    depth: int = C.FOREST["depth"],
+    bins: int = C.FOREST["bins"],
+    order: Sequence[str] = ("entity_id", "period"),
+) -> dict[str | None, ForestModel]:
+    """A forest for each value of ``by``, any feature at any split; all trees grow a level in one pass.
+
+    How often a tree draws a row is a function of the row's place in ``order`` (of the columns
+    there are) and the tree's number, so the forest does not depend on how rows are placed. A task
+    sends one compressed table of sums for each tree; the sums of a tree meet in one place, and
+    come back as its splits.
+    """
+    order = [c for c in order if c in train.columns]
+    models, state = _started(train, feature_sets, label, by, bins, ForestModel, order or [label])
+    groups = list(models)
+    widths = [len(models[g].features) for g in groups]
+    bases = [models[g].base for g in groups]
+    least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
+    inner = 1 << depth
+    grown = [[Tree([0] * inner, [_NEVER] * inner, [0] * inner) for _ in range(trees)] for _ in groups]
+    sums: dict[tuple[int, int, int], tuple[int, int]] = {}
+    open_ = {(g, t, 1) for g in range(len(groups)) for t in range(trees)}
+
+    for level in range(depth):
+
+        def send(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            parts = [b for b in batches if b.num_rows]
+            if not parts:
+                return
+            table = pa.Table.from_batches(parts)
+            of = table.column("grp").to_numpy()
+            for g, width in enumerate(widths):
+                own = table.take(np.flatnonzero(of == g))
+                if not own.num_rows:
+                    continue
+                matrix = own.column("bins").combine_chunks().flatten().to_numpy().reshape(own.num_rows, width).astype(np.int64)
+                value, place = own.column("y").to_numpy() - bases[g], own.column("place").to_numpy()
+                for t in range(trees):
+                    drawn = draws(place, t)
+                    at = np.flatnonzero(drawn)
+                    node = _reached(matrix[at], grown[g][t], level)
+                    cell = ((node[:, None] * width + np.arange(width)) * bins + matrix[at]).reshape(-1)
+                    found, where = np.unique(cell, return_inverse=True)
+                    total, count = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+                    np.add.at(total, where.reshape(-1), np.repeat(value[at] * drawn[at], width))
+                    np.add.at(count, where.reshape(-1), np.repeat(drawn[at], width))
+                    blob = zstandard.compress(np.stack([found, total, count]).tobytes(), 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([g], pa.int32()), pa.array([t], pa.int32()), pa.array([blob], pa.binary())], ["grp", "tree", "sums"]
+                    )
+
+        def split(key: tuple, table: pa.Table) -> pa.Table:
+            g, t = (k.as_py() for k in key)
+            parts = [np.frombuffer(zstandard.decompress(b), np.int64).reshape(3, -1) for b in table.column("sums").to_pylist()]
+            cell, total, count = np.concatenate(parts, axis=1)
+            found, where = np.unique(cell, return_inverse=True)
+            totals, counts = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+            np.add.at(totals, where.reshape(-1), total)
+            np.add.at(counts, where.reshape(-1), count)
+            width = widths[g]
+            cells = pa.table({
+                "grp": np.full(len(found), g), "node": found // bins // width, "feature": found // bins % width, "bin": found % bins,
+                "total": totals, "rows": counts,
+            })
+            rows = [(node, f, b, *left, *right) for (_, node), (f, b, left, right) in _best_splits(cells, 0.0, least).items()]
+            first = cells.filter(pa.compute.equal(cells.column("feature"), 0))
+            rows += [(0, 0, 0, int(np.sum(first.column("total"))), int(np.sum(first.column("rows"))), 0, 0)]
+            made = pa.array([[int(v) for v in row] for row in rows], pa.list_(pa.int64()))
+            return pa.table({"grp": pa.array([g] * len(rows), pa.int32()), "tree": pa.array([t] * len(rows), pa.int32()), "made": made})
+
+        sent = state.mapInArrow(send, "grp int, tree int, sums binary")
+        # At most a split for every node of the level and tree.
+        rows = sent.groupBy("grp", "tree").applyInArrow(split, "grp int, tree int, made array<long>").collect()
+        best = {}
+        for row in rows:
+            node, feature, bin_, *sides = row["made"]
+            if node:
+                best[row["grp"], row["tree"], node] = (feature, bin_, tuple(sides[:2]), tuple(sides[2:]))
+            elif not level:
+                sums[row["grp"], row["tree"], 1] = tuple(sides[:2])
+        reached = set()
+        for g, t, node in open_:
+            if (g, t, node) in best:
+                feature, bin_, left, right = best[g, t, node]
+                grown[g][t].features[node], grown[g][t].bins[node] = feature, bin_
+                sums[g, t, 2 * node], sums[g, t, 2 * node + 1] = left, right
+                reached |= {(g, t, 2 * node), (g, t, 2 * node + 1)}
+            else:
+                for below in range(depth - level):
+                    sums[g, t, node << (below + 1)] = sums.get((g, t, node), (0, 0))
+        open_ = reached
+    for g, name in enumerate(groups):
+        for t, tree in enumerate(grown[g]):
+            for k in range(inner):
+                total, count = sums.get((g, t, inner + k), (0, 0))
+                tree.leaves[k] = bases[g] + (int(np.floor(float(total) / count + 0.5)) if count else 0)
+        models[name].trees = grown[g]
+    return models

@@ -146,7 +146,7 @@ def candidate_models(boosted: dict | None = None, forest: dict | None = None) ->
     return {
         "ridge": fit_ridge,
         "elastic_net": fit_elastic_net,
-        "forest": partial(fit_forest, **forest),
+        "forest": partial(fit_forest, **forest) if forest else fit_forest,
         "boosted": partial(fit_boosted_trees, **boosted) if boosted else fit_boosted_trees,
         "blend": ("ridge", "boosted"),
     }

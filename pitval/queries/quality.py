@@ -9,6 +9,7 @@ from pitval import constants as C
 from pitval.operators import features as ft
 from pitval.operators import metrics as mt
 from pitval.operators import models as md
+from pitval.operators import trees
 from pitval.plans import evaluate as ev
 from pitval.plans import forecast
 from pitval.queries.catalogue import query, rounded
@@ -247,10 +248,9 @@ def ridge_by_role(v: Views) -> DataFrame:
     )
 
 
-def boosted_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.BOOSTED_TREES) -> str:
-    """CTEs, the whole of boosting with one tree a step: ``boosted`` has every row of ``test`` (role,
-    features, ...) with ``boosted`` predicted. The WITH must be recursive."""
-    bins, penalty, rate, depth = (settings[k] for k in ("bins", "penalty", "rate", "depth"))
+def binned_sql(train: str, test: str, role_columns: dict[str, list[str]], bins: int) -> str:
+    """CTEs that cut the features at quantiles of ``train``: ``boost_bins`` has a row's numbers of bins,
+    its label as a whole number and its place in its role, ``boost_base`` the mean label of a role."""
 
     def per_role(make) -> str:
         return "CASE role " + " ".join(f"WHEN '{role}' THEN {make(columns)}" for role, columns in role_columns.items()) + " END"
@@ -258,6 +258,32 @@ def boosted_sql(train: str, test: str, role_columns: dict[str, list[str]], setti
     listed = per_role(lambda columns: "[" + ", ".join(f"{c}::DOUBLE" for c in columns) + "]")
     means = per_role(lambda columns: "[" + ", ".join(f"avg({c})" for c in columns) + "]")
 
+    return f"""boost_means AS (SELECT role, {means} AS m FROM {train} WHERE outcome IS NOT NULL GROUP BY role),
+    boost_rows AS (
+      SELECT row_number() OVER (ORDER BY NOT train, role, entity_id, period) AS id, role, train, outcome, entity_id, period,
+             list_transform(x, lambda v, i: coalesce(v, m[i])) AS x
+      FROM (SELECT true AS train, role, outcome, entity_id, period, {listed} AS x FROM {train} WHERE outcome IS NOT NULL
+            UNION ALL SELECT false, role, NULL, entity_id, period, {listed} FROM {test}) JOIN boost_means USING (role)),
+    boost_values AS (
+      SELECT role, f, list(v ORDER BY v) AS ordered FROM (
+        SELECT role, unnest(range(1, len(x) + 1)) AS f, unnest(x) AS v FROM boost_rows WHERE train) GROUP BY role, f),
+    boost_cuts AS (
+      SELECT role, list(list_sort(list_distinct(list_transform(range(1, {bins}), lambda j: ordered[(j * len(ordered) + {bins - 1}) // {bins}]))) ORDER BY f) AS cuts
+      FROM boost_values GROUP BY role),
+    boost_scale AS (SELECT role, power(2.0, 28 - ceil(log2(max(abs(outcome))))) AS scale FROM boost_rows WHERE train GROUP BY role),
+    boost_bins AS MATERIALIZED (
+      SELECT id, role, train, entity_id, period, CAST(floor(outcome * scale + 0.5) AS BIGINT) AS y,
+             list_transform(x, lambda v, i: len(list_filter(cuts[i], lambda c: c < v))) AS bins
+      FROM boost_rows JOIN boost_cuts USING (role) JOIN boost_scale USING (role)),
+    boost_base AS MATERIALIZED (
+      SELECT role, scale, CAST(floor(sum(y)::DOUBLE / count(*) + 0.5) AS BIGINT) AS base FROM boost_bins JOIN boost_scale USING (role) WHERE train GROUP BY role, scale)"""
+
+
+def boosted_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.BOOSTED_TREES) -> str:
+    """CTEs, the whole of boosting with one tree a step: ``boosted`` has every row of ``test`` (role,
+    features, ...) with ``boosted`` predicted. The WITH must be recursive."""
+    bins, penalty, rate, depth = (settings[k] for k in ("bins", "penalty", "rate", "depth"))
+
     def level(k: int) -> str:
         # A node that can't be split any further goes on as its negative.
         return f"""cell{k} AS (
@@ -279,25 +305,7 @@ def boosted_sql(train: str, test: str, role_columns: dict[str, list[str]], setti
                CASE WHEN l.node < 0 THEN l.node WHEN s.f IS NULL THEN -l.node WHEN l.bins[s.f] <= s.bin THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
         FROM level{k} l LEFT JOIN split{k} s USING (role, node))"""
 
-    return f"""boost_means AS (SELECT role, {means} AS m FROM {train} WHERE outcome IS NOT NULL GROUP BY role),
-    boost_rows AS (
-      SELECT row_number() OVER () AS id, role, train, outcome, entity_id, period,
-             list_transform(x, lambda v, i: coalesce(v, m[i])) AS x
-      FROM (SELECT true AS train, role, outcome, entity_id, period, {listed} AS x FROM {train} WHERE outcome IS NOT NULL
-            UNION ALL SELECT false, role, NULL, entity_id, period, {listed} FROM {test}) JOIN boost_means USING (role)),
-    boost_values AS (
-      SELECT role, f, list(v ORDER BY v) AS ordered FROM (
-        SELECT role, unnest(range(1, len(x) + 1)) AS f, unnest(x) AS v FROM boost_rows WHERE train) GROUP BY role, f),
-    boost_cuts AS (
-      SELECT role, list(list_sort(list_distinct(list_transform(range(1, {bins}), lambda j: ordered[(j * len(ordered) + {bins - 1}) // {bins}]))) ORDER BY f) AS cuts
-      FROM boost_values GROUP BY role),
-    boost_scale AS (SELECT role, power(2.0, 28 - ceil(log2(max(abs(outcome))))) AS scale FROM boost_rows WHERE train GROUP BY role),
-    boost_bins AS MATERIALIZED (
-      SELECT id, role, train, entity_id, period, CAST(floor(outcome * scale + 0.5) AS BIGINT) AS y,
-             list_transform(x, lambda v, i: len(list_filter(cuts[i], lambda c: c < v))) AS bins
-      FROM boost_rows JOIN boost_cuts USING (role) JOIN boost_scale USING (role)),
-    boost_base AS MATERIALIZED (
-      SELECT role, scale, CAST(floor(sum(y)::DOUBLE / count(*) + 0.5) AS BIGINT) AS base FROM boost_bins JOIN boost_scale USING (role) WHERE train GROUP BY role, scale),
+    return f"""{binned_sql(train, test, role_columns, bins)},
     boost(step, id, margin) AS (
       SELECT 0, id, base FROM boost_bins JOIN boost_base USING (role)
       UNION ALL
@@ -324,7 +332,58 @@ def gbt_predict(v: Views) -> DataFrame:
     return _predicted(v, md.fit_boosted_trees)
 
 
-@query("rf_predict")
+def forest_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.FOREST) -> str:
+    """CTEs, all trees a level at a time: ``forest`` has every row of ``test`` with ``forest`` predicted."""
+    bins, depth, count = (settings[k] for k in ("bins", "depth", "trees"))
+    prime = 2**31 - 1
+    steps = " + ".join(f"CASE WHEN u >= {limit} THEN 1 ELSE 0 END" for limit in trees.DRAWS)
+
+    def level(k: int) -> str:
+        return f"""wood_cell{k} AS (
+      SELECT role, t, node, f, bin, sum(w * g) AS g, sum(w) AS n
+      FROM (SELECT l.role, t, node, w, y - base AS g, unnest(range(1, len(bins) + 1)) AS f, unnest(bins) AS bin
+            FROM wood{k} l JOIN boost_bins USING (id) JOIN boost_base b ON b.role = l.role WHERE train AND node > 0)
+      GROUP BY role, t, node, f, bin),
+    wood_side{k} AS (
+      SELECT role, t, node, f, bin, sum(g) OVER upto AS lg, sum(n) OVER upto AS ln, sum(g) OVER every AS wg, sum(n) OVER every AS wn
+      FROM wood_cell{k} WINDOW upto AS (PARTITION BY role, t, node, f ORDER BY bin), every AS (PARTITION BY role, t, node, f)),
+    wood_gain{k} AS (
+      SELECT role, t, node, f, bin, wg::DOUBLE * wg::DOUBLE / wn AS whole,
+        lg::DOUBLE * lg::DOUBLE / ln + (wg - lg)::DOUBLE * (wg - lg)::DOUBLE / (wn - ln) AS score
+      FROM wood_side{k} WHERE wn > ln),
+    wood_split{k} AS (
+      SELECT role, t, node, f, bin FROM wood_gain{k} JOIN boost_base USING (role) WHERE score - whole > 0.000001::DOUBLE * scale * scale
+      QUALIFY row_number() OVER (PARTITION BY role, t, node ORDER BY score DESC, f, bin) = 1),
+    wood{k + 1} AS MATERIALIZED (
+      SELECT id, l.role, l.t, w, CASE WHEN l.node < 0 THEN l.node WHEN s.f IS NULL THEN -l.node WHEN bins[s.f] <= s.bin THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
+      FROM wood{k} l JOIN boost_bins USING (id) LEFT JOIN wood_split{k} s ON s.role = l.role AND s.t = l.t AND s.node = l.node)"""
+
+    return f"""{binned_sql(train, test, role_columns, bins)},
+    wood_drawn AS (
+      SELECT id, role, t, train, place, (x2 * 48271) % {prime} AS u FROM (
+        SELECT *, (x1 * x1) % {prime} AS x2 FROM (
+          SELECT *, ((x0 * x0) % {prime} + place + 7 * t + 1) % {prime} AS x1 FROM (
+            SELECT id, role, train, t, (id - 1)::BIGINT AS place, (id * 40692::BIGINT + (t + 1) * 69621::BIGINT) % {prime} AS x0
+            FROM boost_bins, (SELECT unnest(range({count})) AS t))))),
+    wood0 AS MATERIALIZED (
+      SELECT id, role, t, CASE WHEN train THEN {steps} ELSE 0 END AS w, 1 AS node FROM wood_drawn WHERE NOT train OR u >= {trees.DRAWS[0]}),
+    {', '.join(level(k) for k in range(depth))},
+    wood_leaf AS (
+      SELECT l.role, t, node, CAST(any_value(base) + floor(sum(w * (y - base))::DOUBLE / sum(w) + 0.5) AS BIGINT) AS leaf
+      FROM wood{depth} l JOIN boost_bins USING (id) JOIN boost_base b ON b.role = l.role WHERE train GROUP BY l.role, t, node),
+    forest AS (
+      SELECT entity_id, period, l.role, sum(leaf)::DOUBLE / ({count} * any_value(scale)) AS forest
+      FROM wood{depth} l JOIN boost_bins USING (id) JOIN wood_leaf f ON f.role = l.role AND f.t = l.t AND f.node = l.node
+      JOIN boost_base b ON b.role = l.role WHERE NOT train GROUP BY id, entity_id, period, l.role)"""
+
+
+FOREST_SQL = f"""{PREPARED_SQL},
+    held_train AS (SELECT * FROM prepared WHERE target_period NOT IN (2000, 2001)),
+    held_test AS (SELECT * FROM prepared WHERE target_period IN (2000, 2001)),
+    {forest_sql('held_train', 'held_test', ROLE_COLUMNS)}"""
+
+
+@query("rf_predict", f"{FOREST_SQL} SELECT entity_id, period, role, round(forest, 6) AS prediction FROM forest")
 def rf_predict(v: Views) -> DataFrame:
     return _predicted(v, md.fit_forest)
 

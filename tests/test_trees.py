@@ -130,3 +130,61 @@ def test_medians(spark):
     assert quantiles.exact_median(df, "v").collect()[0][0] == 4.0
     none = df.filter("g = 'c'")
     assert quantiles.exact_median(none, "v").collect()[0][0] is None and quantiles.exact_median(none, "v", ["g"]).collect() == []
+
+
+def plain_forest(rows, features, count, depth, bins=256):
+    """Predictions of ``rows`` after ``count`` trees on samples drawn by place and tree."""
+    means = [np.mean([r[0][i] for r in rows if r[0][i] is not None]) for i in range(features)]
+    x = [[means[i] if r[0][i] is None else r[0][i] for i in range(features)] for r in rows]
+    n = len(x)
+    cuts = []
+    for i in range(features):
+        ordered = sorted(v[i] for v in x)
+        cuts.append(sorted({ordered[math.ceil(j * n / bins) - 1] for j in range(1, bins)}))
+    scale = 2.0 ** (28 - math.ceil(math.log2(max(abs(r[1]) for r in rows))))
+    y = [math.floor(r[1] * scale + 0.5) for r in rows]
+    base = math.floor(sum(y) / n + 0.5)
+    total = [0] * n
+
+    for t in range(count):
+        w = trees.draws(np.arange(n), t).tolist()
+
+        def leaf(at, everyone, level, w=w):
+            g, c = sum(w[k] * (y[k] - base) for k in at), sum(w[k] for k in at)
+            best = None
+            if level < depth:
+                for i in range(features):
+                    for cut in cuts[i]:
+                        left = [k for k in at if x[k][i] <= cut]
+                        gl, cl = sum(w[k] * (y[k] - base) for k in left), sum(w[k] for k in left)
+                        if not cl or cl == c:
+                            continue
+                        score = float(gl) * gl / cl + float(g - gl) * (g - gl) / (c - cl)
+                        if score - float(g) * g / c > 1e-6 * scale * scale and (best is None or score > best[0]):
+                            best = (score, i, cut)
+            if best:
+                _, i, cut = best
+                for side in (True, False):
+                    leaf([k for k in at if (x[k][i] <= cut) == side], [k for k in everyone if (x[k][i] <= cut) == side], level + 1)
+            else:
+                for k in everyone:
+                    total[k] += base + math.floor(g / c + 0.5)
+
+        leaf([k for k in range(n) if w[k]], list(range(n)), 0)
+    return [v / (count * scale) for v in total]
+
+
+def test_forest_against_plain_python(spark, rows):
+    df = frame(spark, rows).withColumnRenamed("i", "entity_id")
+    model = md.fit_forest(df, ["a", "b", "c"], trees=4, depth=3)
+    got = [r["prediction"] for r in model.predict(df).orderBy("entity_id").collect()]
+    assert got == plain_forest(rows, 3, 4, 3)
+
+
+def test_a_forest_does_not_depend_on_placement(spark, rows):
+    df = frame(spark, rows).withColumnRenamed("i", "entity_id").withColumn("role", F.when(F.col("entity_id") % 3 == 0, "x").otherwise("y"))
+    sets = {"x": ["a", "b"], "y": ["c", "b"]}
+    whole = trees.fit_forest_sets(df.coalesce(1), sets, by="role", trees=6, depth=3)
+    dealt = trees.fit_forest_sets(df.repartition(5), sets, by="role", trees=6, depth=3)
+    assert {k: m.trees for k, m in whole.items()} == {k: m.trees for k, m in dealt.items()}
+    assert whole["x"].trees != whole["y"].trees
