@@ -332,8 +332,9 @@ def gbt_predict(v: Views) -> DataFrame:
     return _predicted(v, md.fit_boosted_trees)
 
 
-def forest_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.FOREST) -> str:
-    """CTEs, all trees a level at a time: ``forest`` has every row of ``test`` with ``forest`` predicted."""
+def forest_sql(train: str, test: str, role_columns: dict[str, list[str]], settings: dict = C.FOREST, binned: bool = True) -> str:
+    """CTEs, all trees a level at a time: ``forest`` has every row of ``test`` with ``forest`` predicted.
+    Without ``binned`` those of ``binned_sql`` must be there already, with as many bins."""
     bins, depth, count = (settings[k] for k in ("bins", "depth", "trees"))
     prime = 2**31 - 1
     steps = " + ".join(f"CASE WHEN u >= {limit} THEN 1 ELSE 0 END" for limit in trees.DRAWS)
@@ -358,7 +359,8 @@ def forest_sql(train: str, test: str, role_columns: dict[str, list[str]], settin
       SELECT id, l.role, l.t, w, CASE WHEN l.node < 0 THEN l.node WHEN s.f IS NULL THEN -l.node WHEN bins[s.f] <= s.bin THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
       FROM wood{k} l JOIN boost_bins USING (id) LEFT JOIN wood_split{k} s ON s.role = l.role AND s.t = l.t AND s.node = l.node)"""
 
-    return f"""{binned_sql(train, test, role_columns, bins)},
+    before = f"{binned_sql(train, test, role_columns, bins)}," if binned else ""
+    return f"""{before}
     wood_drawn AS (
       SELECT id, role, t, train, place, (x2 * 48271) % {prime} AS u FROM (
         SELECT *, (x1 * x1) % {prime} AS x2 FROM (
@@ -532,7 +534,24 @@ def feature_ablation(v: Views) -> DataFrame:
     return rounded(ev.ablate_by_role(prepared(v), sets, HOLDOUT, "target_period"), 6, "mae", "rmse", "r2")
 
 
-@query("model_comparison")
+COMPARED_SQL = f"""{BOOSTED_SQL},
+    {forest_sql('held_train', 'held_test', ROLE_COLUMNS, binned=False)},
+    {elastic_sql('held_train', 'held_test', ROLE_COLUMNS)},
+    {side_sql('prepared', 'target_period')},
+    {', '.join(ridge_sql(role, f'{role}_train', columns) for role, columns in ROLE_COLUMNS.items())},
+    linear AS ({' UNION ALL '.join(
+        f"SELECT entity_id, period, role, {ridge_value(columns)} AS linear FROM {role}_test, {role}_fit" for role, columns in ROLE_COLUMNS.items()
+    )}),
+    every AS (
+      SELECT * FROM held_test JOIN linear USING (entity_id, period, role) JOIN boosted USING (entity_id, period, role)
+      JOIN forest USING (entity_id, period, role) JOIN elastic USING (entity_id, period, role)),
+    guesses AS ({' UNION ALL '.join(
+        f"SELECT role, '{name}' AS model, outcome AS actual, {value} AS predicted FROM every"
+        for name, value in (("ridge", "linear"), ("elastic_net", "elastic"), ("forest", "forest"), ("boosted", "boosted"), ("blend", "(linear + boosted) / 2"))
+    )})"""
+
+
+@query("model_comparison", f"{COMPARED_SQL} SELECT role, model, {metric_columns('actual', 'predicted')} FROM guesses GROUP BY role, model")
 def model_comparison(v: Views) -> DataFrame:
     return rounded(ev.compare_models_by_role(prepared(v), ROLE_COLUMNS, None, HOLDOUT, "target_period"), 6, "mae", "rmse", "r2")
 
