@@ -3,10 +3,13 @@
 A rule names a host and a path prefix and fits that host and its subdomains; the longest
 fitting rule decides. Where none fits, a model judges: n-grams of three to five characters
 of host and path are hashed to a fixed width and weighed by a logistic regression that is
-fitted on the small labelled table below. All of it runs as Spark columns and pyspark.ml.
+fitted on a small labelled table: any table of (url, label), or ``labelled_urls``. All of it
+runs as Spark columns and pyspark.ml, so the table may also be a large one.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule, and
-the verdict of a URL without n-grams. An empty table gives no rows. Other columns are not read.
+the verdict of a URL without n-grams. An empty table gives no rows. Labels other than ``allow``
+and ``block`` are left out; with none of one of the two, all other urls get the label there is, and
+``allow`` without any. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -90,24 +93,39 @@ def grams(host: Column, path: Column) -> Column:
     return F.concat(*parts)
 
 
-def train(spark: SparkSession) -> PipelineModel:
-    """Hashing and regression, fitted on the labelled table (200 rows)."""
-    rows = [(h, p, 1.0) for h in BLOCKED_HOSTS for p in BLOCKED_PATHS] + [(h, p, 0.0) for h in ALLOWED_HOSTS for p in ALLOWED_PATHS]
-    table = spark.createDataFrame(rows, "host string, path string, label double").coalesce(1)
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """The table that is used if none is given: 200 rows of (url, label)."""
+    rows = [(f"http://{h}{p}", BLOCK) for h in BLOCKED_HOSTS for p in BLOCKED_PATHS]
+    rows += [(f"http://{h}{p}", ALLOW) for h in ALLOWED_HOSTS for p in ALLOWED_PATHS]
+    return spark.createDataFrame(rows, "url string, label string").coalesce(1)
+
+
+def train(labelled: DataFrame) -> PipelineModel | str:
+    """Hashing and regression, fitted on (url, label); the only label if there is but one."""
+    rows = labelled.where(F.col("label").isin(ALLOW, BLOCK))
+    labels = sorted(r["label"] for r in rows.select("label").distinct().collect())
+    if len(labels) < 2:
+        return labels[0] if labels else ALLOW
+    host, path = host_and_path(F.col("url").cast("string"))
+    table = rows.select(host.alias("host"), path.alias("path"), (F.col("label") == BLOCK).cast("double").alias("label"))
     hashing = HashingTF(numFeatures=WIDTH, binary=True, inputCol="grams", outputCol="features")
     made = hashing.transform(table.withColumn("grams", grams(F.col("host"), F.col("path"))))
     model = LogisticRegression(regParam=0.01, maxIter=50).fit(made)
     return PipelineModel([hashing, model])
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, labelled: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's chance of ``block`` for every row."""
     host, path = host_and_path(F.col("url").cast("string"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
-    scored = train(pages.sparkSession).transform(parts.withColumn("grams", grams(F.col("host"), F.col("path"))))
-    chance = vector_to_array("probability")[1]
+    model = train(labelled_urls(pages.sparkSession) if labelled is None else labelled)
+    if isinstance(model, str):
+        scored, by_model, chance = parts, F.lit(model), F.lit(float(model == BLOCK))
+    else:
+        scored = model.transform(parts.withColumn("grams", grams(F.col("host"), F.col("path"))))
+        by_model = F.when(F.col("prediction") == 1.0, BLOCK).otherwise(ALLOW)
+        chance = vector_to_array("probability")[1]
     found = matching_rule(F.col("host"), F.col("path"), rules)
-    by_model = F.when(F.col("prediction") == 1.0, BLOCK).otherwise(ALLOW)
     return scored.withColumn("found", found).select(
         "page_id", "host", "path", F.col("found.rule").alias("rule"),
         F.coalesce(F.col("found.verdict"), by_model).alias("verdict"), chance.alias("block_chance"),

@@ -8,6 +8,8 @@ import random
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from pitval.llm import language, url_filter, warc
 from tests.llm.conftest import sentence
 
@@ -81,6 +83,27 @@ def test_url_rules_and_model(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_a_labelled_table_of_ones_own(spark):
+    """Accuracy on urls that were held out, for hosts of two kinds."""
+    rng = random.Random(7)
+
+    def url(kind):
+        words = {"block": ["lotto", "jackpot", "spin", "bonus"], "allow": ["archive", "garden", "museum", "lecture"]}[kind]
+        return f"https://{rng.choice(words)}-{rng.choice(words)}{rng.randint(1, 99)}.test/{rng.choice(words)}/{rng.randint(1, 999)}"
+
+    rows = [(k, url(kind), kind) for k, kind in enumerate(rng.choices(["allow", "block"], k=400))]
+    rows += [(900, None, "block"), (901, "http://x.test/" + "spin/" * 20_000, "other"), (902, "http://a.test/", None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, label string")
+    known, held = table.where("page_id % 4 <> 0"), table.where("page_id % 4 = 0 or page_id >= 900")
+    got = {r["page_id"]: r for r in url_filter.judge(held.drop("label"), [], known).collect()}
+    assert len(got) == held.count()
+    right = [got[k]["verdict"] == kind for k, _, kind in rows if k % 4 == 0 and k < 900]
+    assert sum(right) >= 0.97 * len(right) and got[901]["verdict"] == "block"
+    for labels, want in ((["block"], "block"), (["other"], "allow")):
+        few = table.where(F.col("label").isin(labels))
+        assert {r["verdict"] for r in url_filter.judge(held, [], few).collect()} == {want}
+
+
 def test_warc_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 150_000)
     rng = random.Random(6)
