@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitval import constants as C
-from pitval.functions.similarity import best_scores, token_set_ratio
+from pitval.functions.similarity import best_scores, token_set_ratio_batch
 from pitval.functions.text import name_tokens
 from pitval.operators.skew import shuffle_width
 from pitval.session import materialize
@@ -281,7 +281,7 @@ def fuzzy_pairs(
         _edit_candidates(queries, names, threshold)
     )
     return candidates.distinct().withColumn(
-        "score", token_set_ratio(F.col("left_norm"), F.col("right_norm"))
+        "score", token_set_ratio_batch(F.col("left_norm"), F.col("right_norm"))
     ).filter(F.col("score") >= threshold)
 
 

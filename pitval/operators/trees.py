@@ -17,6 +17,7 @@ plans stay short.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -24,7 +25,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -409,14 +409,14 @@ def fit_forest_sets(
                     total, count = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
                     np.add.at(total, where.reshape(-1), np.repeat(value[at] * drawn[at], width))
                     np.add.at(count, where.reshape(-1), np.repeat(drawn[at], width))
-                    blob = zstandard.compress(np.stack([found, total, count]).tobytes(), 1)
+                    blob = zlib.compress(np.stack([found, total, count]).tobytes(), 1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([g], pa.int32()), pa.array([t], pa.int32()), pa.array([blob], pa.binary())], ["grp", "tree", "sums"]
                     )
 
         def split(key: tuple, table: pa.Table) -> pa.Table:
             g, t = (k.as_py() for k in key)
-            parts = [np.frombuffer(zstandard.decompress(b), np.int64).reshape(3, -1) for b in table.column("sums").to_pylist()]
+            parts = [np.frombuffer(zlib.decompress(b), np.int64).reshape(3, -1) for b in table.column("sums").to_pylist()]
             cell, total, count = np.concatenate(parts, axis=1)
             found, where = np.unique(cell, return_inverse=True)
             totals, counts = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)

@@ -126,3 +126,22 @@ def test_lcs_matches_the_table_recurrence():
 def test_token_set_ratio(spark, a, b, score):
     got = one(spark, similarity.token_set_ratio(F.lit(a).cast("string"), F.lit(b)))[0]
     assert got == pytest.approx(score, abs=1e-9)
+
+
+def test_both_forms_of_the_similarity(spark):
+    """The Column expression and the Arrow batches, also on names of several lanes, against one pair at a time."""
+    rng = random.Random(17)
+    stems = ["jose", "maria", "a", "bb", "christopher", "o", "é漢", "anderson", "xx" * 40, "y" * 130, "yx" * 35]
+
+    def name():
+        made = " ".join(rng.choices(stems, k=rng.randint(0, 5)))
+        at = rng.randint(0, len(made))
+        return rng.choice([made, made, made[:at] + rng.choice("abq ") + made[at:], f" {made}  "])
+
+    pairs = [(name(), name()) for _ in range(300)] + [(None, "a"), ("", None), ("a", "a")]
+    df = spark.createDataFrame(pairs, "l string, r string")
+    scores = (f(F.col("l"), F.col("r")) for f in (similarity.token_set_ratio, similarity.token_set_ratio_batch))
+    for row in df.select("l", "r", *[c.alias(f"s{i}") for i, c in enumerate(scores)]).collect():
+        assert row["s0"] == row["s1"] == similarity.token_set_score(row["l"], row["r"])
+    plan = df.select(similarity.token_set_ratio(F.col("l"), F.col("r")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
