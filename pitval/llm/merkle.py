@@ -20,8 +20,9 @@ Defined cases: a null field is ``-``, which no value is. A null group is a group
 and comes first, a null id comes first in its group. Rows with one id are ordered by their
 digest; equal rows are leaves of their own. A group of one leaf has that leaf as subroot and
 no step; a table of one group has its subroot as root. An empty table gives an empty
-manifest. Columns other than the listed ones don't count and are not kept; whole texts are
-hashed where they are read, and don't move.
+manifest. ``manifest`` carries any other columns along, whatever their names, but for those named
+as its results, which it replaces; they don't count in the tree. Whole texts are hashed where
+they are read, and don't move.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitval.llm.common import read
+from pitval.llm.common import free_name, read
 from pitval.operators.skew import place_in_order
 from pitval.session import materialize
 
@@ -45,6 +46,7 @@ BLOCK = FAN**BLOCK_LEVELS
 #: About so many nodes are one group of a Python task, so that small groups share its start-up.
 TASK_NODES = 1024
 DIGEST_CHARS = 64
+RESULTS = ("proof", "subroot", "root")
 
 
 def field(column: Column) -> Column:
@@ -133,11 +135,9 @@ def _raised(nodes: DataFrame, tasks: int) -> DataFrame:
 
 def _lowered(nodes: DataFrame, messages: DataFrame, tasks: int) -> DataFrame:
     """``nodes`` with proof and roots; ``messages`` (grp, idx, proof, subroot, root) are for the tops of their blocks."""
-    added = ("proof", "subroot", "root")
-
     def work(table: pa.Table, told: pa.Table) -> pa.Table:
         sent = {(m["grp"], m["idx"]): m for m in told.to_pylist()}
-        out = {k: [None] * table.num_rows for k in added}
+        out = {k: [None] * table.num_rows for k in RESULTS}
         places = table.column("idx").to_pylist()
         for group, block, _, rows, found in _blocks(table):
             message = sent[group, block]
@@ -145,7 +145,7 @@ def _lowered(nodes: DataFrame, messages: DataFrame, tasks: int) -> DataFrame:
             for r in rows:
                 out["proof"][r], out["subroot"][r], out["root"][r] = proofs[places[r]], message["subroot"], message["root"]
         made = table.drop_columns(["task"])
-        for k in added:
+        for k in RESULTS:
             made = made.append_column(k, pa.array(out[k], pa.string()))
         return made
 
@@ -202,15 +202,19 @@ def manifest(leaves: DataFrame) -> DataFrame:
 
     ``id`` orders the leaves of a group, ``grp`` may be null.
     """
+    one = free_name("_one", leaves.columns)
+    others = [F.col(f"`{c}`") for c in leaves.columns if c.lower() not in ("id", "grp", "digest", *RESULTS)]
     # One letter before the group, so that a null sorts before all and joins like a value.
-    marked = leaves.withColumn("grp", F.when(F.col("grp").isNull(), "0").otherwise(F.concat(F.lit("1"), F.col("grp"))))
+    group = F.when(F.col("grp").isNull(), "0").otherwise(F.concat(F.lit("1"), F.col("grp").cast("string")))
+    marked = leaves.select("id", group.alias("grp"), "digest", F.struct(F.lit(0).alias(one), *others).alias("others"))
     low = Tree(_placed(materialize(marked, "leaves"), ["id", "digest"], "leaf-places"))
     groups = low.tops().select(F.lit("").alias("grp"), F.col("grp").alias("member"), "digest")
     high = Tree(_placed(groups, ["member"], "group-places"))
     root = high.tops().select("grp", F.lit("").alias("proof"), F.col("digest").alias("subroot"), F.col("digest").alias("root"))
     told = high.proofs(root).select(F.col("member").alias("grp"), "proof", F.col("digest").alias("subroot"), "root")
     found = low.proofs(materialize(told, "group-proofs"))
-    return found.withColumn("grp", F.when(F.col("grp") != "0", F.expr("substring(grp, 2)"))).drop("idx", "n")
+    own_group = F.when(F.col("grp") != "0", F.expr("substring(grp, 2)")).alias("grp")
+    return found.select("id", own_group, "digest", "others.*", *RESULTS).drop(one)
 
 
 def _steps(proof: Column) -> Column:

@@ -91,10 +91,11 @@ def test_each_row_a_group_of_its_own(spark, tmp_path):
 
 
 def test_other_columns_and_a_proof_by_hand(spark):
-    leaves = spark.createDataFrame([(k, "g", h(str(k)), "kept") for k in range(5)], "id long, grp string, digest string, more string")
+    names = ["more", "idx", "n", "task", "_row", "_slot", "_part", "size", "first", "offset", "member", "Others", "proof"]
+    leaves = spark.createDataFrame([(k, "g", h(str(k)), *names) for k in range(5)], "id long, grp string, digest string, " + ", ".join(f"{n} string" for n in names))
     rows = {r["id"]: r for r in merkle.manifest(leaves).collect()}
     low = [h(str(k)) for k in range(5)]
-    assert rows[4]["proof"] == f"1{low[3]},1{h(*low[:3])}" and rows[4]["more"] == "kept"
+    assert rows[4]["proof"] == f"1{low[3]},1{h(*low[:3])}" and all(rows[4][n] == n for n in names[:-1])
     assert {r["root"] for r in rows.values()} == {h(h(*low[:3]), h(*low[3:]))} == {r["subroot"] for r in rows.values()}
     one = spark.createDataFrame([(low[4], rows[4]["proof"])], "d string, p string")
     assert one.select(merkle.folded(F.col("d"), F.col("p"))).first()[0] == rows[4]["root"]
