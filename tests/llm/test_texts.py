@@ -335,3 +335,21 @@ def test_a_stored_map_is_edited(spark, tmp_path, make_docs):
     assert load.max() < 40_001 + 2_000
     with pytest.raises(ValueError, match="slots"):
         sharding.place(make_docs(rows), 5, slots=128, maps=maps)
+
+
+def test_token_counts_by_small_chunks_and_buckets(make_docs, odd_rows, monkeypatch):
+    """Chunks of few texts and many buckets give the same counts; long texts the same pre-tokens."""
+    from tokenizers import Tokenizer
+
+    path = pieces.tokenizer_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_counts, "BUCKET_BYTES", 64)
+    monkeypatch.setattr(token_counts, "CHUNK_BYTES", 1000)
+    rows = odd_rows + [(60, "<|endoftext|>"), (60, "<|endoftext|>" * 3 + " a"), (61, "a\0b\0" * 400)]
+    got = token_counts.count_tokens(make_docs(rows).coalesce(2), path).collect()
+    want = [(i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 2048) for i, t in rows]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    own = token_counts.Counter(path)
+    whole = [list(own.pretokens(t or "")) for _, t in rows]
+    monkeypatch.setattr(token_counts, "PIECE_BYTES", 5)
+    assert [list(own.pretokens(t or "")) for _, t in rows] == whole
