@@ -5,16 +5,19 @@ capitals. Any 13 consecutive words hold nine 5-word grams; the least of their ha
 the window's fingerprint. A text keeps the fingerprints of all its windows, about one
 for every five words, and two texts that share 13 words share a fingerprint.
 
-1. Fingerprints of documents are joined with those of the items; only ids come out.
-2. In documents with a match, each place of a matched gram is extended to every 13-word
+1. One scan cuts documents into words and keeps their fingerprints that may be an item's: a
+   filter of fixed size (``FILTER_SLOTS``, two places a fingerprint) drops nearly all others
+   before they become rows. Texts without any left are not moved again.
+2. The fingerprints left are joined with those of the items; only ids come out.
+3. In documents with a match, each place of a matched gram is extended to every 13-word
    window around it, and those windows are joined with the items' own, word for word.
 
-An item of fewer than 13 words is one window of its own length. It has no whole winnowing
-window, so its fingerprint is the least of its grams (of five words, or of its length if
-that is less), and documents offer all their grams of that size, but only where the
-benchmark has such items.
+An item of fewer than 13 words is one window of its own length and has a leg of its own: its
+fingerprint is the least of its grams (of five words, or of its length if that is less), and
+documents pass all their grams of that size through a second filter, of short items only.
+Documents are winnowed for the whole windows whether or not there are short items.
 
-The items' tables are broadcast only if counted under ``BROADCAST_ROWS``, otherwise the
+The items' tables are broadcast only if measured under ``BROADCAST_BYTES``, otherwise the
 joins shuffle. Items with a common window are kept once as a set, however many
 documents hold it.
 
@@ -38,7 +41,10 @@ WINDOW_WORDS = 13
 GRAM_WORDS = 5
 #: 5-word grams in a window of 13.
 GRAMS = WINDOW_WORDS - GRAM_WORDS + 1
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
+#: Places of a filter, seven to a byte. More fingerprints than fit only let more of the documents' through.
+SLOT_BITS = 7
+FILTER_SLOTS = SLOT_BITS << 16
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -69,16 +75,44 @@ def grams(tokens: Column, size: int) -> Column:
 
 def winnowed(hashes: Column) -> Column:
     """The least of every GRAMS consecutive hashes, distinct."""
-    return bound(
-        hashes,
-        lambda h: F.array_distinct(
-            F.transform(_upto(F.size(h) - GRAMS), lambda i: F.array_min(F.slice(h, i + 1, GRAMS)))
-        ),
-    )
 
+    def least(of: Column, other: Column, apart: int) -> Column:
+        return F.zip_with(of, F.slice(other, apart + 1, F.greatest(F.size(other) - apart, F.lit(0))), lambda x, y: F.least(x, y))
+
+    def windows(h: Column) -> Column:
+        """By doubling: the least of 2, 4 and 8 hashes, then of 9. The last ones lack neighbours and go."""
+        eight = bound(least(h, h, 1), lambda two: bound(least(two, two, 2), lambda four: least(four, four, 4)))
+        return F.slice(least(eight, h, GRAMS - 1), 1, F.greatest(F.size(h) - GRAMS + 1, F.lit(0)))
+
+    return bound(hashes, lambda h: F.array_distinct(windows(h)))
+
+
+def _slots(print_: Column) -> list[Column]:
+    """The two places of a fingerprint in a filter."""
+    return [F.pmod(part, F.lit(FILTER_SLOTS)).cast("int") for part in (print_, F.shiftright(print_, 32))]
+
+
+class Filter:
+    """A fixed number of bits that says of a fingerprint that it may be, or is not, one of ``prints``."""
+
+    def __init__(self, prints: DataFrame):
+        marks = bytearray(-(-FILTER_SLOTS // SLOT_BITS))
+        places = prints.select(F.explode(F.array(*_slots(F.col("print")))).alias("place")).distinct()
+        for row in places.toLocalIterator():  # FILTER_SLOTS at most
+            marks[row["place"] // SLOT_BITS] |= 1 << row["place"] % SLOT_BITS
+        self.marks = F.lit(marks)
 
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    def may_hold(self, print_: Column) -> Column:
+        def marked(place: Column) -> Column:
+            byte = F.substring(self.marks, F.floor(place / SLOT_BITS).cast("int") + 1, 1)
+            return F.getbit(F.ascii(byte.cast("string")), place % SLOT_BITS) == 1  # seven bits are ASCII
+
+        first, second = map(marked, _slots(print_))
+        return first & second
+
+
+def _maybe_broadcast(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 class Benchmark:
@@ -91,8 +125,10 @@ class Benchmark:
         least = F.when(F.col("n") == WINDOW_WORDS, winnowed(gram)).otherwise(F.array(F.array_min(gram)))
         for size in range(1, GRAM_WORDS):
             least = F.when(F.col("n") == size, F.array(F.xxhash64("w"))).otherwise(least)
-        prints = tokens.select(F.explode(least).alias("print")).distinct()
-        self.prints = materialize(prints, "item-prints")
+        prints = tokens.select((F.col("n") < WINDOW_WORDS).alias("short"), F.explode(least).alias("print")).distinct()
+        prints = materialize(prints, "item-prints")
+        self.prints = prints.select("print").distinct()
+        self.whole, self.short = Filter(prints.where("not short")), Filter(prints.where("short"))
         window = F.transform(_upto(F.size("w") - F.col("n")), lambda i: F.concat_ws(" ", F.slice("w", i + 1, F.col("n"))))
         by_window = (
             tokens.select("item", F.explode(F.array_distinct(window)).alias("window"))
@@ -102,29 +138,34 @@ class Benchmark:
         both = materialize(by_window.withColumn("set_id", F.xxhash64("items", "nameless")), "item-windows")
         self.windows = both.select("window", "set_id")
         self.sets = both.select("set_id", "items", "nameless").dropDuplicates(["set_id"])
-        self.print_rows, self.window_rows = self.prints.count(), both.count()
+        # A row's own cost counts as 16 bytes.
+        name_bytes = F.aggregate("items", F.lit(16).cast("long"), lambda total, x: total + 16 + F.octet_length(x))
+        sizes = both.select(F.sum(F.octet_length("window") + 24).alias("windows"), F.sum(name_bytes).alias("sets")).first()
+        self.print_bytes, self.window_bytes, self.set_bytes = 24 * prints.count(), sizes["windows"] or 0, sizes["sets"] or 0
         #: Lengths of the windows there are; at most 13 values.
         self.lengths = sorted(r["n"] for r in tokens.select("n").distinct().collect())
 
+    def offered(self, tokens: Column) -> Column:
+        """The fingerprints of a document that may be an item's."""
+        short = sorted({min(n, GRAM_WORDS) for n in self.lengths if n < WINDOW_WORDS})
+        parts = [F.filter(grams(tokens, size), self.short.may_hold) for size in short if size < GRAM_WORDS]
 
-def _offered(tokens: Column, lengths: list[int]) -> Column:
-    """The fingerprints of a document, given the lengths of the items' windows."""
-    gram = grams(tokens, GRAM_WORDS)  # used once
-    if any(GRAM_WORDS <= n < WINDOW_WORDS for n in lengths):
-        parts = [gram]
-    else:
-        parts = [winnowed(gram)]
-    parts += [grams(tokens, n) for n in lengths if n < GRAM_WORDS]
-    return F.array_distinct(F.concat(*parts)) if len(parts) > 1 else F.array_distinct(parts[0])
+        def of_five(gram: Column) -> Column:
+            legs = [F.filter(winnowed(gram), self.whole.may_hold)] if WINDOW_WORDS in self.lengths else []
+            legs += [F.filter(gram, self.short.may_hold)] if GRAM_WORDS in short else []
+            return F.concat(*legs)
 
+        if self.lengths and self.lengths[-1] >= GRAM_WORDS:
+            parts.append(bound(grams(tokens, GRAM_WORDS), of_five))
+        return F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<bigint>")
 
-def _extended(tokens: Column, matched: Column, lengths: list[int]) -> Column:
+def _extended(tokens: Column, matched: Column, bench: Benchmark) -> Column:
     """(start, size, window) of every window around the places of matched grams."""
     found = []
-    for n in lengths:
+    for n in bench.lengths:
         size = min(n, GRAM_WORDS)
-        hashes = grams(tokens, size)
-        places = F.array_compact(F.transform(hashes, lambda h, i: F.when(F.array_contains(matched, h), i)))
+        hashes, leg = grams(tokens, size), bench.short if n < WINDOW_WORDS else bench.whole
+        places = F.array_compact(F.transform(hashes, lambda h, i: F.when(leg.may_hold(h) & F.array_contains(matched, h), i)))
         last = F.size(tokens) - n
         starts = F.flatten(F.transform(places, _around(n - size, last)))
         found.append(F.transform(F.array_distinct(starts), _cut(tokens, n)))
@@ -151,36 +192,36 @@ def _cut(tokens: Column, n: int):
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Of every row of ``docs`` (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated; and text_hash."""
     bench = Benchmark(items)
-    lengths = bench.lengths
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     keys = ["doc_id", "text_hash"]
-    if lengths:
-        offered = texts.select(*keys, F.explode(bound(words(F.col("text")), lambda w: _offered(w, lengths))).alias("print"))
-        matched = (
-            offered.join(_maybe_broadcast(bench.prints, bench.print_rows), "print")
-            .groupBy(*keys)
-            .agg(F.collect_set("print").alias("prints"))
-        )
-    else:
-        matched = texts.select(*keys, F.array().cast("array<bigint>").alias("prints")).limit(0)
-    matched = matched.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), "prints")
-    same = texts.doc_id.eqNullSafe(F.col("m_id")) & (texts.text_hash == F.col("m_hash"))
-    tokens = texts.join(matched, same, "left")
+
+    def first(w: Column) -> Column:
+        return F.struct(F.size(w).cast("long").alias("n_words"), bench.offered(w).alias("prints"))
+
+    scanned = texts.select(*keys, "text", bound(words(F.col("text")), first).alias("x")).select(*keys, "text", "x.*")
+    # Of texts without a fingerprint that may match, only the number of words is kept.
+    scanned = scanned.withColumn("text", F.when(F.size("prints") > 0, F.col("text")))
+    rows = materialize(scanned, "document-prints")
+    some = rows.where(F.size("prints") > 0)
+    matched = (
+        some.select(*keys, F.explode("prints").alias("print"))
+        .join(_maybe_broadcast(bench.prints, bench.print_bytes), "print")
+        .groupBy(*keys)
+        .agg(F.collect_set("print").alias("matched"))
+        .select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), "matched")
+    )
+    same = some.doc_id.eqNullSafe(F.col("m_id")) & (some.text_hash == F.col("m_hash"))
     none = F.array().cast("array<struct<start:int,size:int,window:string>>")
 
     def work(w: Column) -> Column:
-        windows = F.when(F.col("prints").isNotNull(), _extended(w, F.col("prints"), lengths)) if lengths else none
-        return F.struct(F.size(w).cast("long").alias("n_words"), F.coalesce(windows, none).alias("windows"))
+        return _extended(w, F.col("matched"), bench) if bench.lengths else none
 
-    rows = materialize(
-        tokens.select(*keys, bound(words(F.col("text")), work).alias("x")).select(*keys, "x.n_words", "x.windows"),
-        "document-windows",
-    )
     found = (
-        rows.select(*keys, F.explode("windows").alias("x"))
+        some.join(matched, same)
+        .select(*keys, F.explode(bound(words(F.col("text")), work)).alias("x"))
         .select(*keys, "x.start", "x.size", "x.window")
         .distinct()
-        .join(_maybe_broadcast(bench.windows, bench.window_rows), "window")
+        .join(_maybe_broadcast(bench.windows, bench.window_bytes), "window")
     )
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("start", "size"))),
@@ -194,7 +235,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     per_doc = found.groupBy(*keys).agg(covered.alias("n_hit"), F.collect_set("set_id").alias("sets"))
     listed = (
         per_doc.select(*keys, "n_hit", F.explode("sets").alias("set_id"))
-        .join(_maybe_broadcast(bench.sets, bench.window_rows), "set_id")
+        .join(_maybe_broadcast(bench.sets, bench.set_bytes), "set_id")
         .groupBy(*keys)
         .agg(F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("nameless").alias("nameless"))
         .select(
@@ -204,7 +245,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     same = rows.doc_id.eqNullSafe(F.col("h_id")) & (rows.text_hash == F.col("h_hash"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return rows.drop("windows").join(listed, same, "left").select(
+    return rows.drop("text", "prints").join(listed, same, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_hash",

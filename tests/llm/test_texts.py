@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pitval.llm import decontaminate, pieces, quality_lines, sharding, simhash, suffixes, token_counts
 from tests.llm.conftest import sentence
@@ -153,8 +154,11 @@ def contaminated(rows, items):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("short", [False, True])
-def test_contamination(spark, make_docs, odd_rows, short):
+@pytest.mark.parametrize("short,slots", [(False, None), (True, None), (True, 7)])
+def test_contamination(spark, make_docs, odd_rows, monkeypatch, short, slots):
+    """Also where the filter is full and lets every fingerprint through."""
+    if slots:
+        monkeypatch.setattr(decontaminate, "FILTER_SLOTS", slots)
     by_id = dict(odd_rows)
     items = [(1, by_id[10][200:700]), (2, by_id[10][200:700].upper()), (10, by_id[5][:90]), (3, None), (4, "  -- "), (5, sentence(random.Random(9), 50))]
     if short:
@@ -166,6 +170,28 @@ def test_contamination(spark, make_docs, odd_rows, short):
     assert sorted((r["doc_id"] for r in kept), key=repr) == sorted((r[0] for r in contaminated(odd_rows, items) if not r[5]), key=repr)
 
 
+def test_winnowing(spark):
+    rng = random.Random(3)
+    lists = [[rng.randint(-50, 50) for _ in range(n)] for n in (0, 1, 8, 9, 10, 40)]
+    got = spark.createDataFrame([(h,) for h in lists], "h array<bigint>").select(decontaminate.winnowed(F.col("h"))).collect()
+    assert [set(r[0]) for r in got] == [{min(h[i : i + 9]) for i in range(len(h) - 8)} for h in lists]
+
+
+def test_short_items_leave_winnowing_on(spark):
+    """A document of unlike words offers few fingerprints, with a short item in the benchmark or without."""
+    text = " ".join(f"w{i}" for i in range(400))
+    items = [(1, " ".join(f"w{i}" for i in range(100, 300)))]
+    sizes = []
+    for more in ([], [(2, "some other short item here now")]):
+        bench = decontaminate.Benchmark(spark.createDataFrame(items + more, "item_id long, text string"))
+        offered = spark.createDataFrame([(text,)], "text string").select(bench.offered(decontaminate.words(F.col("text"))).alias("o"))
+        prints = set(offered.first()["o"])
+        own = {r["print"] for r in bench.prints.collect()}
+        sizes.append(len(prints & own))
+        assert len(prints - own) < 5
+    assert sizes[0] == sizes[1] < 80
+
+
 def base_figures(text):
     text = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
