@@ -18,7 +18,9 @@ them with its bytes is a context, about one for every 32 bytes of text.
    compared byte by byte, so the result is exact.
 4. The spans return to their chunk, where overlapping ones are joined.
 
-Strings with equal leading bytes share a bucket, so none has an equal beyond its
+The number of buckets follows the bytes of the texts, however small the sample is: where the
+ranges that it can tell apart are fewer, each range is cut further by the hash of the anchor's
+leading 32 bytes. Strings with equal leading bytes share a bucket, so none has an equal beyond its
 boundary. Leading bytes that the sample shows to be frequent would make one bucket
 large; their contexts are cut into single strings and dealt by the hash of the whole
 string, where a very frequent one counts at most once a chunk.
@@ -51,6 +53,8 @@ BUCKET_BYTES = 2 << 20
 #: Texts and anchors that the splitters are taken from; they steer the balance, not the result.
 SAMPLE_TEXTS = 2000
 SAMPLE_LEADS = 100_000
+#: Ranges between splitters; so many that the sample has some 50 leads for each.
+MOST_RANGES = SAMPLE_LEADS // 50
 BLOCK = 1 << 17
 SMALL_RANGE = 4096
 LEAST_ID = -(2**63)
@@ -254,7 +258,10 @@ class RepeatFinder:
         total = docs.agg(F.count("*").alias("rows"), F.sum(text_bytes(F.col(text_col))).alias("bytes")).first()
         self.rows, self.bytes = total["rows"], total["bytes"] or 0
         self.chunks = max(1, self.bytes // CHUNK_BYTES)
-        self.buckets = max(1, self.bytes // BUCKET_BYTES)
+        wanted = max(1, self.bytes // BUCKET_BYTES)
+        self.ranges = min(wanted, MOST_RANGES)
+        self.cuts = -(-wanted // self.ranges)
+        self.buckets = self.ranges * self.cuts
         self.docs = docs.withColumn(self.hash_col, F.xxhash64(text_col)).withColumn(
             self.chunk_col, F.pmod(F.xxhash64(id_col, self.hash_col), F.lit(self.chunks)).cast("int")
         )
@@ -276,7 +283,7 @@ class RepeatFinder:
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         values, counts = np.unique(got.view(np.uint64).byteswap(), return_counts=True)
         hot = values[counts >= max(4, len(got) / (4 * self.buckets))]
-        at = np.searchsorted(np.cumsum(counts), np.arange(1, self.buckets) * len(got) / self.buckets)
+        at = np.searchsorted(np.cumsum(counts), np.arange(1, self.ranges) * len(got) / self.ranges)
         return np.unique(values[at]), hot
 
     def shared_leads(self) -> DataFrame:
@@ -319,7 +326,7 @@ class RepeatFinder:
         """(bucket, chunk, packed, strings): contexts by bucket. A bucket past the last holds
         the spans of one chunk that repeat within it."""
         id_col, text_col, hash_col, chunk_col = self.id_col, self.text_col, self.hash_col, self.chunk_col
-        length, buckets = self.length, self.buckets
+        length, buckets, cuts_in_range = self.length, self.buckets, self.cuts
         parts, hot = self.splitters()
 
         def work(table: pa.Table, flags: pa.Table) -> pa.Table:
@@ -335,6 +342,7 @@ class RepeatFinder:
             known.append(in_order[1:][in_order[1:] == in_order[:-1]])
             some = np.isin(hashes, np.concatenate(known))
             first, last, anchor = found.first[some], found.last[some], found.anchor[some]
+            cut = (hashes[some] >> np.uint64(32)).astype(np.int64) * cuts_in_range >> 32
             lead = unaligned_words(chunk.data)[anchor].byteswap() if len(anchor) else np.zeros(0, np.uint64)
             raw = chunk.data.tobytes()
             # Of contexts with equal bytes and anchor, all but the first of the chunk are repeats.
@@ -348,7 +356,7 @@ class RepeatFinder:
             rest = ~repeat
             is_hot = np.isin(lead, hot)
             plain = np.flatnonzero(rest & ~is_hot)
-            whole = [(first[plain], last[plain] + length, anchor[plain], np.searchsorted(parts, lead[plain], side="right"))]
+            whole = [(first[plain], last[plain] + length, anchor[plain], np.searchsorted(parts, lead[plain], side="right") * cuts_in_range + cut[plain])]
             single = np.flatnonzero(rest & is_hot)
             if len(single):
                 sizes = last[single] - first[single] + 1

@@ -49,6 +49,16 @@ def test_repeats(make_docs, odd_rows, monkeypatch, small):
     assert found_repeats(make_docs(odd_rows)) == removed(odd_rows)
 
 
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_repeats_with_more_buckets_than_ranges(make_docs, odd_rows, monkeypatch, ranges):
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5_000)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(suffixes, "MOST_RANGES", ranges)
+    finder = suffixes.RepeatFinder(make_docs(odd_rows))
+    assert finder.ranges == ranges and finder.buckets > 20
+    assert found_repeats(make_docs(odd_rows)) == removed(odd_rows)
+
+
 def test_repeats_with_every_lead_frequent(make_docs, odd_rows, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5_000)
 
