@@ -111,6 +111,9 @@ def loaded(dictionary: bytes) -> zstandard.ZstdCompressionDict:
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a uri; Hadoop's names of a store are turned into those of ``pyarrow.fs``."""
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri.removeprefix("file:")
     return fs.FileSystem.from_uri(uri)

@@ -191,3 +191,11 @@ def test_ids_that_are_null_or_repeated(spark, monkeypatch):
     assert [model.predict(t)[0] for t in ("kat hond", "chat chien")] == ["aa", "bb"]
     assert "wort" not in model.words
     assert language.predict(docs, model).count() == len(rows)
+
+
+def test_store_names(monkeypatch):
+    asked = []
+    monkeypatch.setattr(warc.fs, "FileSystem", type("Any", (), {"from_uri": staticmethod(asked.append)}))
+    for uri in ("s3a://bucket/a", "s3n://bucket/a", "hdfs://host/a", "file:/tmp/a"):
+        warc.place(uri)
+    assert asked == ["s3://bucket/a", "s3://bucket/a", "hdfs://host/a", "file:///tmp/a"]
