@@ -8,9 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pitval.functions.similarity import token_set_score
-from pitval.operators import fuzzy
+from pitval.functions.similarity import best_scores, token_set_score
+from pitval.operators import fuzzy, resolve
 from pitval.operators.resolve import resolve_mentions
+from pitval.session import materialize
 
 REGISTRY = "entity_id long, first_name string, last_name string"
 OUTCOMES = "entity_id long, period int, group_code string"
@@ -172,3 +173,46 @@ def test_the_best_score_below_the_threshold(spark, monkeypatch, block):
 def test_no_names_to_be_near_to(spark):
     asked = spark.createDataFrame([("a b",)], "norm string")
     assert [tuple(r) for r in fuzzy.best_below(asked, spark.createDataFrame([], "norm string")).collect()] == [("a b", 0.0)]
+
+
+def test_the_best_scores_of_a_block(spark):
+    """Shared words, names beyond 64 characters, blanks and other scripts against one comparison at a time."""
+    rng = random.Random(11)
+    words = ["hot", "bolt", "é漢", "zzz", "x", *(str(i) for i in range(20))]
+    names = [" ".join(rng.choice(words) + rng.choice(["", "q"]) for _ in range(rng.randint(1, 5))) for _ in range(80)]
+    names += ["".join(rng.choice("abcé ") for _ in range(90)) for _ in range(10)] + ["", " "]
+    queries, known = names[::2], names[1::2]
+    assert best_scores(queries, known) == [max(token_set_score(q, n) for n in known) for q in queries]
+    assert best_scores(["a"], []) == [0.0] and best_scores([], ["a"]) == []
+
+
+def test_a_search_of_few_bytes_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BLOCK_NAMES", 10)
+    made = []
+
+    def kept(df, label):
+        made.append((label, df))
+        return materialize(df, label)
+
+    monkeypatch.setattr(fuzzy, "materialize", kept)
+    names = spark.createDataFrame([(f"n{i}",) for i in range(100)], "norm string")
+    fuzzy.best_below(spark.createDataFrame([(f"zz {i}",) for i in range(100)], "norm string"), names).collect()
+    searched = [df for label, df in made if label == "nearest-scores"]
+    assert searched and "REPARTITION_BY_NUM" in searched[0]._jdf.queryExecution().toString()
+
+
+def test_a_name_is_normalized_once(spark, monkeypatch):
+    labels = []
+
+    def kept(df, label):
+        labels.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(resolve, "materialize", kept)
+    mentions = spark.createDataFrame([(1, "Al Bo", None), (1, "Al Bo", None), (None, "zq", "SD")], "feed_id long, player_name string, group_code string")
+    registry = spark.createDataFrame([(7, "al", "bo"), (None, "al", "bx")], "entity_id long, first_name string, last_name string")
+    outcomes = spark.createDataFrame([(7, 5, "SDP")], "entity_id long, period int, group_code string")
+    listed = spark.createDataFrame([], "player_name string, group_code string, entity_id long")
+    made = resolve_mentions(mentions, registry, outcomes, listed, 5).select("feed_id", "entity_id", "method").collect()
+    assert sorted(map(tuple, made), key=repr) == [(1, 7, "exact"), (1, 7, "exact"), (None, None, "unresolved")]
+    assert {"keyed", "names", "recent", "active-names"} <= set(labels)
