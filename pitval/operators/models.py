@@ -319,7 +319,7 @@ def fit_models(
     train: DataFrame, models: Mapping[str, tuple[Sequence[str], Fit]], label: str = "outcome", by: str = "role"
 ) -> dict[str, Model]:
     """A model for each value of ``by``: (features, fit). All ridge models come from the same
-    moments, all boosted ones and all forests from the same passes."""
+    moments, all boosted ones and all forests from the same passes, also those of blends."""
 
     def sets(kind: Fit) -> dict[str, Sequence[str]]:
         return {name: columns for name, (columns, fit) in models.items() if fit is kind}
@@ -331,6 +331,9 @@ def fit_models(
         made |= fit_boosted_sets(train, boosted, label, by=by)
     if forests := sets(fit_forest):
         made |= fit_forest_sets(train, forests, label, by=by)
+    if blends := sets(fit_blend):
+        parts = [fit(train, blends, label, by=by) for fit in (fit_ridge_sets, fit_boosted_sets)]
+        made |= {name: BlendModel([own[name] for own in parts]) for name in blends}
     for name, (columns, fit) in models.items():
         if name not in made:
             made[name] = fit(train.filter(F.col(by) == name), columns, label)

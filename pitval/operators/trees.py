@@ -9,15 +9,16 @@ also in the first tree, which starts from the mean of the labels.
 
 Labels, gradients and leaves are whole numbers of a fixed fraction of a unit, so sums are exact
 and a model does not depend on how rows are placed. Several groups of rows, each with features
-of its own, are fitted in the same passes. The state of the rows is cached from tree to tree, and
-written every ``WRITTEN_TREES`` trees, so that a lost executor costs the trees since then and
-plans stay short.
+of its own, are fitted in the same passes. Rows lie in blocks of ``BLOCK_ROWS``, a row of the table
+each, feature by feature: a pass reads the bins as they are and adds up sums in a task, and only
+these sums move. The state of the rows is cached from tree to tree, and written every
+``WRITTEN_TREES`` trees, so that a lost executor costs the trees since then and plans stay short.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,11 @@ from pitval.operators.quantiles import values_at_ranks
 from pitval.operators.skew import with_position
 from pitval.session import materialize
 
+# Ship the helpers with the task, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WRITTEN_TREES = 10
+BLOCK_ROWS = 1 << 16
 #: Binary digits of the greatest label, as a whole number; 2^34 rows of it still sum to a long.
 LABEL_BITS = 28
 _LEAST_GAIN = 1e-6
@@ -115,58 +121,122 @@ def _cuts(rows: DataFrame, means: Mapping[str | None, list], bins: int) -> dict[
 
 
 def _binned(rows: DataFrame, groups: Sequence[str | None], models: Mapping[str | None, BoostedModel], names: Sequence[str]) -> DataFrame:
-    """(grp as a number, bins, label as a whole number, place) of every row."""
+    """Blocks of rows of a group: (grp as a number, rows, sum of the labels, bins by feature, labels as
+    whole numbers, places)."""
     plans = {
         g: (number, [names.index(c) for c in m.features], [(mean, np.array(cut)) for mean, cut in zip(m.means, m.cuts, strict=True)], m.scale)
         for number, (g, m) in enumerate((g, models[g]) for g in groups)
     }
+    kind = _bin_type(models)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[tuple]] = {}
+
+        def block(number: int) -> pa.RecordBatch:
+            bins, y, place = (np.concatenate(parts, axis=-1) for parts in zip(*waiting.pop(number), strict=True))
+            made = [number, len(y), int(y.sum()), bins.tobytes(), y.tobytes(), place.tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(made, _BLOCK_TYPES, strict=True)], _BLOCK_NAMES)
+
         for batch in batches:
             own = np.array(batch.column("grp").to_pylist(), object)
             values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(names))
-            labels = batch.column("y").to_numpy(zero_copy_only=False)
+            labels, places_of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "place"))
             for group, (number, places, features, scale) in plans.items():
                 at = np.flatnonzero(np.array([g == group for g in own], bool))
                 if not len(at):
                     continue
-                columns = []
-                for place, (mean, cut) in zip(places, features, strict=True):
+                bins = np.zeros((len(places), len(at)), kind)
+                for line, place, (mean, cut) in zip(bins, places, features, strict=True):
                     x = values[at, place]
-                    columns.append(np.searchsorted(cut, np.where(np.isnan(x), mean, x), side="left"))
-                bins = np.stack(columns, axis=1).astype(np.int32) if columns else np.zeros((len(at), 0), np.int32)
-                starts = np.arange(len(at) + 1, dtype=np.int32) * len(columns)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), number, np.int32)), pa.ListArray.from_arrays(pa.array(starts), pa.array(bins.reshape(-1))),
-                        pa.array(np.floor(labels[at] * scale + 0.5).astype(np.int64)), batch.column("place").take(pa.array(at)),
-                    ],
-                    ["grp", "bins", "y", "place"],
-                )
-
-    return rows.mapInArrow(work, "grp int, bins array<int>, y long, place long")
-
-
-def _lookup(lists: Sequence[Sequence[int]], node: str, kind: str = "INT") -> str:
-    """An entry of the group's list. The lists are one literal of the plan, not of the generated
-    code, so that all trees run the same compiled code."""
-    flat = ", ".join(str(v) for own in lists for v in own)
-    return f"CAST(array({flat}) AS ARRAY<{kind}>)[grp * {len(lists[0])} + {node}]"
-
-
-def _node(trees: Sequence[Tree], levels: int) -> str:
-    """The heap number that a row reaches after ``levels`` splits of its group's tree."""
-    node = "1"
-    for _ in range(levels):
-        feature, bin_ = (_lookup(lists, node) for lists in ([t.features for t in trees], [t.bins for t in trees]))
-        node = f"2 * ({node}) + CAST(bins[{feature}] > {bin_} AS INT)"
+                    line[:] = np.searchsorted(cut, np.where(np.isnan(x), mean, x), side="left")
+                waiting.setdefault(number, []).append((bins, np.floor(labels[at] * scale + 0.5).astype(np.int64), places_of[at]))
+                if sum(len(y) for _, y, _ in waiting[number]) >= BLOCK_ROWS:
+                    yield block(number)
+        for number in list(waiting):
+            yield block(number)
+
+    return rows.mapInArrow(work, "grp int, n long, total long, bins binary, y binary, place binary")
+
+
+_BLOCK_NAMES = ["grp", "n", "total", "bins", "y", "place"]
+_BLOCK_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
+
+def _bin_type(models: Mapping[str | None, BoostedModel]) -> type:
+    most = max((len(cut) for m in models.values() for cut in m.cuts), default=0)
+    return np.uint8 if most < 256 else np.uint16 if most < 1 << 16 else np.int32
+
+
+def _blocks(batch: pa.RecordBatch, kind: type, numbers: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(group, bins by feature and row, the numbers of a column) of each block."""
+    for g, n, bins, own in zip(*(batch.column(c) for c in ("grp", "n", "bins", numbers)), strict=True):
+        matrix = np.frombuffer(bins.as_buffer(), kind)
+        yield g.as_py(), matrix.reshape(len(matrix) // n.as_py(), n.as_py()), np.frombuffer(own.as_buffer(), np.int64)
+
+
+def _reached(bins: np.ndarray, tree: Tree, levels: int) -> np.ndarray:
+    """The heap number of each row after ``levels`` splits; ``bins`` has a line for each feature."""
+    if levels > 6:
+        node, rows = np.ones(bins.shape[1], np.int64), np.arange(bins.shape[1])
+        features, limits = np.array(tree.features), np.array(tree.bins)
+        for _ in range(levels):
+            node = 2 * node + (bins[features[node], rows] > limits[node] if len(bins) else False)
+        return node
+    # Few nodes: a comparison of a whole feature for each is faster than a look at each row's own.
+    node = np.ones(bins.shape[1], np.uint8)
+    for level in range(levels):
+        right = np.zeros(bins.shape[1], bool)
+        for k in range(1 << level, 2 << level):
+            if tree.bins[k] != _NEVER:
+                right |= (bins[tree.features[k]] > tree.bins[k]) & (node == k)
+        node = 2 * node + right
     return node
 
 
-def _added(state: DataFrame, trees: Sequence[Tree], depth: int) -> DataFrame:
-    """``state`` with the leaves of a tree of each group added to the margins."""
-    leaf = _lookup([t.leaves for t in trees], f"{_node(trees, depth)} - {1 << depth}", "BIGINT")
-    return state.selectExpr("grp", "bins", "y", f"margin + {leaf} AS margin")
+def _sums(bins: np.ndarray, cells: int, first: np.ndarray, value: np.ndarray, weight: np.ndarray | None, into: tuple[np.ndarray, np.ndarray]) -> None:
+    """Adds the sums and counts of a block to ``into``, a line of ``cells`` for each feature. A row's cell is
+    its ``first`` plus its bin. Sums of a block are whole numbers far below 2^53, so they are exact."""
+    for line, total, count in zip(bins, *into, strict=True):
+        cell = first + line
+        total += np.bincount(cell, value, cells).astype(np.int64)
+        count += np.bincount(cell, weight, cells).astype(np.int64)
+
+
+def _added(state: DataFrame, trees: Sequence[Tree], depth: int, kind: type) -> DataFrame:
+    """``state`` with the leaves of a tree of each group added to the gradients."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for g, bins, gradient in _blocks(batch, kind, "gradient"):
+                leaves = np.array(trees[g].leaves, np.int64)
+                made.append((gradient + leaves[_reached(bins, trees[g], depth).astype(np.int64) - (1 << depth)]).tobytes())
+            kept = [batch.column(c) for c in ("grp", "n", "bins")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], ["grp", "n", "bins", "gradient"])
+
+    return state.mapInArrow(work, "grp int, n long, bins binary, gradient binary")
+
+
+def _cells(state: DataFrame, trees: Sequence[Tree], level: int, bins: int, kind: type) -> pa.Table:
+    """(grp, node, feature, bin, total, rows): sums of the gradients, one row for each cell with rows."""
+    nodes = 1 << level
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for g, matrix, gradient in _blocks(batch, kind, "gradient"):
+                if g not in sums:
+                    sums[g] = tuple(np.zeros((len(matrix), nodes * bins), np.int64) for _ in range(2))
+                first = (_reached(matrix, trees[g], level).astype(np.int64) - nodes) * bins
+                _sums(matrix, nodes * bins, first, gradient.astype(np.float64), None, sums[g])
+        for g, (total, count) in sums.items():
+            feature, cell = np.nonzero(count)
+            columns = [np.full(len(cell), g), nodes + cell // bins, feature, cell % bins]
+            arrays = [*(pa.array(c, pa.int32()) for c in columns), pa.array(total[feature, cell]), pa.array(count[feature, cell])]
+            yield pa.RecordBatch.from_arrays(arrays, ["grp", "node", "feature", "bin", "total", "rows"])
+
+    sent = state.mapInArrow(work, "grp int, node int, feature int, bin int, total long, rows long")
+    return sent.groupBy("grp", "node", "feature", "bin").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows")).toArrow()
 
 
 def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dict[tuple[int, int], tuple]:
@@ -197,15 +267,16 @@ def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dic
     return best
 
 
-def _grown(state: DataFrame, groups: int, depth: int, rate: float, penalty: float, least: Sequence[float]) -> list[Tree]:
+def _grown(
+    state: DataFrame, groups: int, depth: int, rate: float, penalty: float, least: Sequence[float], bins: int, kind: type
+) -> list[Tree]:
     """The next tree of each group."""
     inner = 1 << depth
     trees = [Tree([0] * inner, [_NEVER] * inner, [0] * inner) for _ in range(groups)]
     sums: list[dict[int, tuple[int, int]]] = [{} for _ in range(groups)]
     open_ = {(g, 1) for g in range(groups)}
     for level in range(depth):
-        rows = state.selectExpr("grp", f"{_node(trees, level)} AS node", "margin - y AS g", "posexplode(bins) AS (feature, bin)")
-        cells = rows.groupBy("grp", "node", "feature", "bin").agg(F.sum("g").alias("total"), F.count(F.lit(1)).alias("rows")).toArrow()
+        cells = _cells(state, trees, level, bins, kind)
         if not level:
             # Any feature has the sums of all rows.
             for g, feature, total, count in zip(*(cells.column(n).to_pylist() for n in ("grp", "feature", "total", "rows")), strict=True):
@@ -257,12 +328,24 @@ def _started(
         scale = 2.0 ** (LABEL_BITS - int(np.ceil(np.log2(facts[g]["most"]))) if facts[g]["most"] else 0)
         models[g] = kind([names[i] for i in known], [means[g][i] for i in known], [cuts[g, i] for i in known], scale, 0)
     state = materialize(_binned(wanted, groups, models, names), "tree-state")
-    totals = {r["grp"]: r for r in state.groupBy("grp").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).collect()}
+    totals = {r["grp"]: r for r in state.groupBy("grp").agg(F.sum("total").alias("y"), F.sum("n").alias("n")).collect()}
     for number, g in enumerate(groups):
         models[g].base = int(np.floor(totals[number]["y"] / totals[number]["n"] + 0.5))
     return models, state
 
 
+def _first_gradients(state: DataFrame, bases: Sequence[int]) -> DataFrame:
+    """The blocks with the gradients of models without a tree."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(bases[g.as_py()] - np.frombuffer(y.as_buffer(), np.int64)).tobytes() for g, y in zip(batch.column("grp"), batch.column("y"), strict=True)]
+            kept = [batch.column(c) for c in ("grp", "n", "bins")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], ["grp", "n", "bins", "gradient"])
+
+    return materialize(state.mapInArrow(work, "grp int, n long, bins binary, gradient binary"), "tree-state")
+
+
 def fit_boosted_sets(
     train: DataFrame,
     feature_sets: Mapping[str | None, Sequence[str]],
@@ -277,17 +360,17 @@ def fit_boosted_sets(
     """A model for each value of ``by`` (under None, without it), each on features of its own."""
     models, state = _started(train, feature_sets, label, by, bins, BoostedModel)
     groups = list(models)
-    bases = F.element_at(F.array(*[F.lit(models[g].base).cast("long") for g in groups]), F.col("grp") + 1)
-    current = state.select("grp", "bins", "y", bases.alias("margin"))
+    kind = _bin_type(models)
+    current = _first_gradients(state, [models[g].base for g in groups])
     kept: list[DataFrame] = []
     least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
     for k in range(trees):
-        made = _grown(current, len(groups), depth, rate, penalty, least)
+        made = _grown(current, len(groups), depth, rate, penalty, least, bins, kind)
         for g, tree in zip(groups, made, strict=True):
             models[g].trees.append(tree)
         if k + 1 == trees:
             break
-        older, current = current, _added(current, made, depth)
+        older, current = current, _added(current, made, depth, kind)
         if k % WRITTEN_TREES == WRITTEN_TREES - 1:
             current = materialize(current, "tree-state")
             kept.append(older)
@@ -310,24 +393,24 @@ _PRIME = (1 << 31) - 1
 DRAWS = [int(sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) * _PRIME) for n in range(9)]
 
 
-def draws(place: np.ndarray, tree: int) -> np.ndarray:
-    """How often a tree's bootstrap sample holds each row."""
-    p = place % _PRIME
-    x = ((p + 1) * 40692 + (tree + 1) * 69621) % _PRIME
-    x = x * x % _PRIME
-    x = (x + p + 7 * tree + 1) % _PRIME
-    x = x * x % _PRIME
-    return np.searchsorted(np.array(DRAWS), x * 48271 % _PRIME, side="right")
+def _rest(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo ``_PRIME``, for 0 <= x < 2^62: two folds in place of a division."""
+    x = (x & _PRIME) + (x >> 31)
+    x = (x & _PRIME) + (x >> 31)
+    return np.where(x >= _PRIME, x - _PRIME, x)
 
 
-def _reached(bins: np.ndarray, tree: Tree, levels: int) -> np.ndarray:
-    """The heap number of each row after ``levels`` splits."""
-    node = np.ones(len(bins), np.int64)
-    features, limits, rows = np.array(tree.features), np.array(tree.bins), np.arange(len(bins))
-    for _ in range(levels):
-        right = bins[rows, features[node]] > limits[node] if bins.shape[1] else np.zeros(len(bins), bool)
-        node = 2 * node + right
-    return node
+def draws(place: np.ndarray, tree: int) -> np.ndarray:
+    """How often a tree's bootstrap sample holds each row."""
+    p = _rest(place)
+    x = _rest((p + 1) * 40692 + (tree + 1) * 69621)
+    x = _rest(x * x)
+    x = _rest(x + p + 7 * tree + 1)
+    x = _rest(_rest(x * x) * 48271)
+    drawn = np.zeros(len(x), np.int8)
+    for limit in DRAWS:
+        drawn += x >= limit
+    return drawn
 
 
 @dataclass
@@ -347,10 +430,10 @@ class ForestModel:
         @pandas_udf(T.LongType())
         def total(values: pd.Series) -> pd.Series:
             x = np.array(values.tolist(), float).reshape(len(values), len(cuts))
-            bins = np.stack([np.searchsorted(c, x[:, i], side="left") for i, c in enumerate(cuts)], axis=1) if cuts else np.zeros((len(x), 0), int)
+            bins = np.stack([np.searchsorted(c, x[:, i], side="left") for i, c in enumerate(cuts)]) if cuts else np.zeros((0, len(x)), int)
             made = np.zeros(len(x), np.int64)
             for tree in trees:
-                made += np.array(tree.leaves)[_reached(bins, tree, depth) - (1 << depth)]
+                made += np.array(tree.leaves)[_reached(bins, tree, depth).astype(np.int64) - (1 << depth)]
             return pd.Series(made)
 
         values = [F.coalesce(finite(F.col(c).cast("double")), F.lit(m)) for c, m in zip(self.features, self.means, strict=True)]
@@ -372,13 +455,13 @@ def fit_forest_sets(
 
     How often a tree draws a row is a function of the row's place in ``order`` (of the columns
     there are) and the tree's number, so the forest does not depend on how rows are placed. A task
-    sends one compressed table of sums for each tree; the sums of a tree meet in one place, and
+    sends one table of sums for each tree; the sums of a tree meet in one place, and
     come back as its splits.
     """
     order = [c for c in order if c in train.columns]
     models, state = _started(train, feature_sets, label, by, bins, ForestModel, order or [label])
     groups = list(models)
-    widths = [len(models[g].features) for g in groups]
+    widths, kind = [len(models[g].features) for g in groups], _bin_type(models)
     bases = [models[g].base for g in groups]
     least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
     inner = 1 << depth
@@ -388,44 +471,43 @@ def fit_forest_sets(
 
     for level in range(depth):
 
-        def send(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+        nodes = 1 << level
+
+        def send(batches: Iterator[pa.RecordBatch], level: int = level, nodes: int = nodes) -> Iterator[pa.RecordBatch]:
             parts = [b for b in batches if b.num_rows]
-            if not parts:
-                return
-            table = pa.Table.from_batches(parts)
-            of = table.column("grp").to_numpy()
-            for g, width in enumerate(widths):
-                own = table.take(np.flatnonzero(of == g))
-                if not own.num_rows:
-                    continue
-                matrix = own.column("bins").combine_chunks().flatten().to_numpy().reshape(own.num_rows, width).astype(np.int64)
-                value, place = own.column("y").to_numpy() - bases[g], own.column("place").to_numpy()
+            blocks: dict[int, list[tuple]] = {}
+            for batch in parts:
+                for (g, matrix, y), place in zip(_blocks(batch, kind, "y"), batch.column("place"), strict=True):
+                    blocks.setdefault(g, []).append((matrix, y - bases[g], np.frombuffer(place.as_buffer(), np.int64)))
+            for g, own in blocks.items():
                 for t in range(trees):
-                    drawn = draws(place, t)
-                    at = np.flatnonzero(drawn)
-                    node = _reached(matrix[at], grown[g][t], level)
-                    cell = ((node[:, None] * width + np.arange(width)) * bins + matrix[at]).reshape(-1)
-                    found, where = np.unique(cell, return_inverse=True)
-                    total, count = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
-                    np.add.at(total, where.reshape(-1), np.repeat(value[at] * drawn[at], width))
-                    np.add.at(count, where.reshape(-1), np.repeat(drawn[at], width))
-                    blob = zlib.compress(np.stack([found, total, count]).tobytes(), 1)
+                    sums = tuple(np.zeros((widths[g], nodes * bins), np.int64) for _ in range(2))
+                    for matrix, value, place in own:
+                        drawn = draws(place, t)
+                        at = np.flatnonzero(drawn)
+                        weight = drawn[at].astype(np.float64)
+                        mine = matrix[:, at]
+                        first = (_reached(mine, grown[g][t], level).astype(np.int64) - nodes) * bins
+                        _sums(mine, nodes * bins, first, value[at] * weight, weight, sums)
+                    total, count = (a.reshape(widths[g], nodes, bins).transpose(1, 0, 2).reshape(-1) for a in sums)
+                    found = np.flatnonzero(count)
+                    blob = np.stack([found, total[found], count[found]]).tobytes()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([g], pa.int32()), pa.array([t], pa.int32()), pa.array([blob], pa.binary())], ["grp", "tree", "sums"]
                     )
 
         def split(key: tuple, table: pa.Table) -> pa.Table:
             g, t = (k.as_py() for k in key)
-            parts = [np.frombuffer(zlib.decompress(b), np.int64).reshape(3, -1) for b in table.column("sums").to_pylist()]
-            cell, total, count = np.concatenate(parts, axis=1)
-            found, where = np.unique(cell, return_inverse=True)
-            totals, counts = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
-            np.add.at(totals, where.reshape(-1), total)
-            np.add.at(counts, where.reshape(-1), count)
             width = widths[g]
+            totals, counts = (np.zeros(nodes * width * bins, np.int64) for _ in range(2))
+            for blob in table.column("sums").to_pylist():
+                found, total, count = np.frombuffer(blob, np.int64).reshape(3, -1)
+                totals[found] += total
+                counts[found] += count
+            found = np.flatnonzero(counts)
             cells = pa.table({
-                "grp": np.full(len(found), g), "node": found // bins // width, "feature": found // bins % width, "bin": found % bins,
-                "total": totals, "rows": counts,
+                "grp": np.full(len(found), g), "node": nodes + found // bins // width if width else found, "feature": found // bins % max(width, 1),
+                "bin": found % bins, "total": totals[found], "rows": counts[found],
             })
             rows = [(node, f, b, *left, *right) for (_, node), (f, b, left, right) in _best_splits(cells, 0.0, least).items()]
             first = cells.filter(pa.compute.equal(cells.column("feature"), 0))

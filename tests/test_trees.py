@@ -188,3 +188,33 @@ def test_a_forest_does_not_depend_on_placement(spark, rows):
     dealt = trees.fit_forest_sets(df.repartition(5), sets, by="role", trees=6, depth=3)
     assert {k: m.trees for k, m in whole.items()} == {k: m.trees for k, m in dealt.items()}
     assert whole["x"].trees != whole["y"].trees
+
+
+def test_blends_of_several_roles_share_their_passes(spark, rows, monkeypatch):
+    df = frame(spark, rows).withColumn("role", F.when(F.col("i") % 3 == 0, "x").otherwise("y"))
+    calls = []
+    few = lambda *a, **k: calls.append(a[1]) or trees.fit_boosted_sets(*a, **k, trees=2)
+    monkeypatch.setattr(md, "fit_boosted_sets", few)
+    made = md.fit_models(df, {"x": (["a", "b"], md.fit_blend), "y": (["c", "b"], md.fit_blend)})
+    assert len(calls) == 1 and set(calls[0]) == {"x", "y"}
+    for role, columns in (("x", ["a", "b"]), ("y", ["c", "b"])):
+        own = df.filter(F.col("role") == role)
+        parts = [predicted(md.fit_ridge(own, columns), own), predicted(md.fit_boosted_trees(own, columns, trees=2), own)]
+        assert predicted(made[role], own) == pytest.approx([(a + b) / 2 for a, b in zip(*parts, strict=True)], abs=1e-9)
+
+
+def test_rows_lie_in_blocks(spark, rows, monkeypatch):
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 20)
+    _, state = trees._started(frame(spark, rows).coalesce(1), {None: ["a", "b"]}, "outcome", None, 256, trees.BoostedModel)
+    assert state.count() < len(rows) and sum(r["n"] for r in state.select("n").collect()) == len(rows)
+
+
+def test_draws_are_those_of_a_division():
+    place, p = np.array([0, 1, 5, (1 << 31) - 2, (1 << 31) - 1, 1 << 40]), (1 << 31) - 1
+    for tree in (0, 7, 299):
+        want = []
+        for k in place.tolist():
+            x = ((k % p + 1) * 40692 + (tree + 1) * 69621) % p
+            x = (x * x % p + k % p + 7 * tree + 1) % p
+            want.append(sum(limit <= x * x % p * 48271 % p for limit in trees.DRAWS))
+        assert trees.draws(place, tree).tolist() == want
