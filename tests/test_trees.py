@@ -193,7 +193,7 @@ def test_a_forest_does_not_depend_on_placement(spark, rows):
 def test_blends_of_several_roles_share_their_passes(spark, rows, monkeypatch):
     df = frame(spark, rows).withColumn("role", F.when(F.col("i") % 3 == 0, "x").otherwise("y"))
     calls = []
-    few = lambda *a, **k: calls.append(a[1]) or trees.fit_boosted_sets(*a, **k, trees=2)
+    few = lambda *a, **k: calls.append(a[1]) or trees.fit_boosted_sets(*a, **(k | {"trees": 2}))
     monkeypatch.setattr(md, "fit_boosted_sets", few)
     made = md.fit_models(df, {"x": (["a", "b"], md.fit_blend), "y": (["c", "b"], md.fit_blend)})
     assert len(calls) == 1 and set(calls[0]) == {"x", "y"}
