@@ -107,15 +107,17 @@ class _Block:
         self.parts.append(np.fromiter(map(self.numbers(lang).__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
-    def cut(self, lang: bytes) -> _Block:
-        """Moves what follows the last end of a piece to a new block."""
+    def cut(self, lang: bytes) -> _Block | None:
+        """Moves what follows the last end of a piece to a new block; None if no piece has ended."""
         made, items = _Block(), np.concatenate(self.parts)
         ends = np.flatnonzero(items < 0)
-        last = int(ends[-1]) + 1 if len(ends) else 0
-        if last:
-            prefix = len(lang) + 1
-            made.add(lang, [self.keys[k][prefix:] for k in items[last:].tolist()])
-            self.parts, self.size = [items[:last]], last
+        if not len(ends):
+            return None
+        last, prefix = int(ends[-1]) + 1, len(lang) + 1
+        made.add(lang, [self.keys[k][prefix:] for k in items[last:].tolist()])
+        self.parts, self.size = [items[:last]], last
+        # Words are numbered as they come, so those that only stand behind the cut have the last numbers.
+        del self.keys[int(items[:last].max()) + 1 :]
         return made
 
 
@@ -138,11 +140,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
         for lang, text in zip(langs, batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
             for segment in _segments(text.translate(_TABLE)):
                 block.add(lang, segment.replace(_END, b" \xff ").split())
-                if block.size >= BLOCK_WORDS:
-                    rest = block.cut(lang)
-                    if rest.size < block.size:
-                        yield block
-                        block = rest
+                if block.size >= BLOCK_WORDS and (rest := block.cut(lang)):
+                    yield block
+                    block = rest
             block.add(lang, [_END])
     if block.size:
         yield block

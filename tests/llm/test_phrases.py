@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from pitval.llm import phrases
 
@@ -68,6 +69,23 @@ def test_phrases(spark, monkeypatch, sizes, longest):
     assert sorted(map(tuple, got)) == expected(rows, longest)
 
 
+@pytest.mark.parametrize("rows", [
+    [("en", "alpha beta gamma delta. omega")] * 12,
+    [("en", ". . , . , , ! ."), ("en", " ".join(["one two. " + "p q r s t u v w " * 9, "three four"] * 4))] * 3,
+    [("en", "p q r s t u v w " * 40), ("de", "p q, " + "r s t " * 40 + ". r s t")],
+])
+def test_a_block_is_cut_at_an_end(spark, monkeypatch, rows):
+    """Words that only stand behind the cut leave the block; a piece longer than a block stays whole."""
+    monkeypatch.setattr(phrases, "BLOCK_WORDS", 6)
+    monkeypatch.setattr(phrases, "_SEGMENT_BYTES", 40)
+    cloudpickle.register_pickle_by_value(phrases)  # else tasks have the module's own sizes
+    try:
+        got = phrases.collocations(make(spark, rows).coalesce(1)).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(phrases)
+    assert sorted(map(tuple, got)) == expected(rows)
+
+
 def test_ranks(spark, tmp_path, monkeypatch):
     rng = random.Random(62)
     rows = texts(rng, 100)
