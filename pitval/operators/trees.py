@@ -11,8 +11,9 @@ Labels, gradients and leaves are whole numbers of a fixed fraction of a unit, so
 and a model does not depend on how rows are placed. Several groups of rows, each with features
 of its own, are fitted in the same passes. Rows lie in blocks of ``BLOCK_ROWS``, a row of the table
 each, feature by feature: a pass reads the bins as they are and adds up sums in a task, and only
-these sums move. The state of the rows is cached from tree to tree, and written every
-``WRITTEN_TREES`` trees, so that a lost executor costs the trees since then and plans stay short.
+these sums move. A pass of boosting has little to do and there are many, so it is a plain job on
+blocks, without a query to plan. The state of the rows is cached from tree to tree, and made from the
+written blocks and all trees every ``WRITTEN_TREES`` trees, so that what it is made from stays short.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,8 @@ WRITTEN_TREES = 10
 BLOCK_ROWS = 1 << 16
 #: Binary digits of the greatest label, as a whole number; 2^34 rows of it still sum to a long.
 LABEL_BITS = 28
+#: Tasks whose sums meet in the driver at once; those of more meet in tasks first.
+SENT_AT_ONCE = 64
 _LEAST_GAIN = 1e-6
 _NEVER = 1 << 14  # no bin is above it
 
@@ -70,23 +73,8 @@ class BoostedModel:
     trees: list[Tree] = field(default_factory=list)
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        values = [F.coalesce(finite(F.col(c).cast("double")), F.lit(m)) for c, m in zip(self.features, self.means, strict=True)]
-        sums = [self._walk(tree, values, 1) for tree in self.trees]
-        # Added in pairs, so that the expression is not as deep as there are trees.
-        while len(sums) > 1:
-            sums = [sum(sums[k + 1 : k + 2], sums[k]) for k in range(0, len(sums), 2)]
-        total = F.lit(self.base) + sums[0] if sums else F.lit(self.base)
-        return df.withColumn(out, total / F.lit(self.scale))
-
-    def _walk(self, tree: Tree, values: Sequence[Column], node: int) -> Column:
-        inner = len(tree.features)
-        if node >= inner:
-            return F.lit(tree.leaves[node - inner]).cast("long")
-        number, bin_ = tree.features[node], tree.bins[node]
-        left = self._walk(tree, values, 2 * node)
-        if bin_ == _NEVER:
-            return left
-        return F.when(values[number] <= F.lit(self.cuts[number][bin_]), left).otherwise(self._walk(tree, values, 2 * node + 1))
+        total = _tree_sums(self, df)
+        return df.withColumn(out, (F.lit(self.base) + total) / F.lit(self.scale))
 
 
 def _prepared(train: DataFrame, names: Sequence[str], label: str, by: str | None, order: Sequence[str]) -> DataFrame:
@@ -193,6 +181,24 @@ def _reached(bins: np.ndarray, tree: Tree, levels: int) -> np.ndarray:
     return node
 
 
+def _tree_sums(model: BoostedModel | ForestModel, df: DataFrame) -> Column:
+    """For each row the sum of the leaves that it reaches."""
+    cuts, trees = [np.array(c) for c in model.cuts], model.trees
+    depth = len(trees[0].features).bit_length() - 1 if trees else 0
+
+    @pandas_udf(T.LongType())
+    def total(values: pd.Series) -> pd.Series:
+        x = np.array(values.tolist(), float).reshape(len(values), len(cuts))
+        bins = np.stack([np.searchsorted(c, x[:, i], side="left") for i, c in enumerate(cuts)]) if cuts else np.zeros((0, len(x)), int)
+        made = np.zeros(len(x), np.int64)
+        for tree in trees:
+            made += np.array(tree.leaves)[_reached(bins, tree, depth).astype(np.int64) - (1 << depth)]
+        return pd.Series(made)
+
+    values = [F.coalesce(finite(F.col(c).cast("double")), F.lit(m)) for c, m in zip(model.features, model.means, strict=True)]
+    return total(F.array(*values).cast("array<double>"))
+
+
 def _sums(bins: np.ndarray, cells: int, first: np.ndarray, value: np.ndarray, weight: np.ndarray | None, into: tuple[np.ndarray, np.ndarray]) -> None:
     """Adds the sums and counts of a block to ``into``, a line of ``cells`` for each feature. A row's cell is
     its ``first`` plus its bin. Sums of a block are whole numbers far below 2^53, so they are exact."""
@@ -202,41 +208,68 @@ def _sums(bins: np.ndarray, cells: int, first: np.ndarray, value: np.ndarray, we
         count += np.bincount(cell, weight, cells).astype(np.int64)
 
 
-def _added(state: DataFrame, trees: Sequence[Tree], depth: int, kind: type) -> DataFrame:
+def _rows_of(state: DataFrame, kind: type) -> RDD:
+    """(group, bins by feature and row, labels) of each written block."""
+
+    def block(row: tuple) -> tuple[int, np.ndarray, np.ndarray]:
+        g, n, bins, y = row
+        matrix = np.frombuffer(bins, kind)
+        return g, matrix.reshape(len(matrix) // n, n), np.frombuffer(y, np.int64)
+
+    return state.select("grp", "n", "bins", "y").rdd.map(block)
+
+
+def _gradients(blocks: RDD, bases: Sequence[int], grown: Sequence[Sequence[Tree]], depth: int) -> RDD:
+    """Blocks with the gradients of models with the trees ``grown``."""
+    grown = [list(own) for own in grown]
+
+    def work(block: tuple) -> tuple[int, np.ndarray, np.ndarray]:
+        g, bins, y = block
+        gradient = bases[g] - y
+        for tree in grown[g]:
+            gradient += _leaves(bins, tree, depth)
+        return g, bins, gradient
+
+    return blocks.map(work)
+
+
+def _added(state: RDD, trees: Sequence[Tree], depth: int) -> RDD:
     """``state`` with the leaves of a tree of each group added to the gradients."""
+    return state.map(lambda block: (block[0], block[1], block[2] + _leaves(block[1], trees[block[0]], depth)))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for g, bins, gradient in _blocks(batch, kind, "gradient"):
-                leaves = np.array(trees[g].leaves, np.int64)
-                made.append((gradient + leaves[_reached(bins, trees[g], depth).astype(np.int64) - (1 << depth)]).tobytes())
-            kept = [batch.column(c) for c in ("grp", "n", "bins")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], ["grp", "n", "bins", "gradient"])
 
-    return state.mapInArrow(work, "grp int, n long, bins binary, gradient binary")
+def _leaves(bins: np.ndarray, tree: Tree, depth: int) -> np.ndarray:
+    return np.array(tree.leaves, np.int64)[_reached(bins, tree, depth).astype(np.int64) - (1 << depth)]
 
 
-def _cells(state: DataFrame, trees: Sequence[Tree], level: int, bins: int, kind: type) -> pa.Table:
+def _cells(state: RDD, trees: Sequence[Tree], level: int, bins: int) -> pa.Table:
     """(grp, node, feature, bin, total, rows): sums of the gradients, one row for each cell with rows."""
     nodes = 1 << level
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for g, matrix, gradient in _blocks(batch, kind, "gradient"):
-                if g not in sums:
-                    sums[g] = tuple(np.zeros((len(matrix), nodes * bins), np.int64) for _ in range(2))
-                first = (_reached(matrix, trees[g], level).astype(np.int64) - nodes) * bins
-                _sums(matrix, nodes * bins, first, gradient.astype(np.float64), None, sums[g])
-        for g, (total, count) in sums.items():
-            feature, cell = np.nonzero(count)
-            columns = [np.full(len(cell), g), nodes + cell // bins, feature, cell % bins]
-            arrays = [*(pa.array(c, pa.int32()) for c in columns), pa.array(total[feature, cell]), pa.array(count[feature, cell])]
-            yield pa.RecordBatch.from_arrays(arrays, ["grp", "node", "feature", "bin", "total", "rows"])
+    def add(sums: dict, block: tuple) -> dict:
+        g, matrix, gradient = block
+        if g not in sums:
+            sums[g] = tuple(np.zeros((len(matrix), nodes * bins), np.int64) for _ in range(2))
+        first = (_reached(matrix, trees[g], level).astype(np.int64) - nodes) * bins
+        _sums(matrix, nodes * bins, first, gradient.astype(np.float64), None, sums[g])
+        return sums
+
+    def met(sums: dict, more: dict) -> dict:
+        for g, own in more.items():
+            sums[g] = tuple(a + b for a, b in zip(sums[g], own, strict=True)) if g in sums else own
+        return sums
+
+    made = state.treeAggregate({}, add, met, 1 if state.getNumPartitions() <= SENT_AT_ONCE else 2)
+    parts: list[list[np.ndarray]] = [[] for _ in _CELL_NAMES]
+    for g, (total, count) in made.items():
+        feature, cell = np.nonzero(count)
+        own = [np.full(len(cell), g), nodes + cell // bins, feature, cell % bins, total[feature, cell], count[feature, cell]]
+        for part, column in zip(parts, own, strict=True):
+            part.append(column)
+    return pa.table([np.concatenate(part or [np.zeros(0, np.int64)]) for part in parts], _CELL_NAMES)
 
-    sent = state.mapInArrow(work, "grp int, node int, feature int, bin int, total long, rows long")
-    return sent.groupBy("grp", "node", "feature", "bin").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows")).toArrow()
+
+_CELL_NAMES = ["grp", "node", "feature", "bin", "total", "rows"]
 
 
 def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dict[tuple[int, int], tuple]:
@@ -268,7 +301,7 @@ def _best_splits(cells: pa.Table, penalty: float, least: Sequence[float]) -> dic
 
 
 def _grown(
-    state: DataFrame, groups: int, depth: int, rate: float, penalty: float, least: Sequence[float], bins: int, kind: type
+    state: RDD, groups: int, depth: int, rate: float, penalty: float, least: Sequence[float], bins: int
 ) -> list[Tree]:
     """The next tree of each group."""
     inner = 1 << depth
@@ -276,7 +309,7 @@ def _grown(
     sums: list[dict[int, tuple[int, int]]] = [{} for _ in range(groups)]
     open_ = {(g, 1) for g in range(groups)}
     for level in range(depth):
-        cells = _cells(state, trees, level, bins, kind)
+        cells = _cells(state, trees, level, bins)
         if not level:
             # Any feature has the sums of all rows.
             for g, feature, total, count in zip(*(cells.column(n).to_pylist() for n in ("grp", "feature", "total", "rows")), strict=True):
@@ -334,18 +367,6 @@ def _started(
     return models, state
 
 
-def _first_gradients(state: DataFrame, bases: Sequence[int]) -> DataFrame:
-    """The blocks with the gradients of models without a tree."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [(bases[g.as_py()] - np.frombuffer(y.as_buffer(), np.int64)).tobytes() for g, y in zip(batch.column("grp"), batch.column("y"), strict=True)]
-            kept = [batch.column(c) for c in ("grp", "n", "bins")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], ["grp", "n", "bins", "gradient"])
-
-    return materialize(state.mapInArrow(work, "grp int, n long, bins binary, gradient binary"), "tree-state")
-
-
 def fit_boosted_sets(
     train: DataFrame,
     feature_sets: Mapping[str | None, Sequence[str]],
@@ -360,28 +381,24 @@ def fit_boosted_sets(
     """A model for each value of ``by`` (under None, without it), each on features of its own."""
     models, state = _started(train, feature_sets, label, by, bins, BoostedModel)
     groups = list(models)
-    kind = _bin_type(models)
-    current = _first_gradients(state, [models[g].base for g in groups])
-    kept: list[DataFrame] = []
+    blocks, bases = _rows_of(state, _bin_type(models)), [models[g].base for g in groups]
     least = [_LEAST_GAIN * models[g].scale * models[g].scale for g in groups]
+    older, current = None, _gradients(blocks, bases, [[] for _ in groups], depth).persist(StorageLevel.MEMORY_AND_DISK)
     for k in range(trees):
-        made = _grown(current, len(groups), depth, rate, penalty, least, bins, kind)
+        made = _grown(current, len(groups), depth, rate, penalty, least, bins)
+        if older is not None:
+            older.unpersist()
         for g, tree in zip(groups, made, strict=True):
             models[g].trees.append(tree)
-        if k + 1 == trees:
-            break
-        older, current = current, _added(current, made, depth, kind)
+        older = current
         if k % WRITTEN_TREES == WRITTEN_TREES - 1:
-            current = materialize(current, "tree-state")
-            kept.append(older)
-            for frame in kept:
-                frame.unpersist()
-            kept = []
+            current = _gradients(blocks, bases, [models[g].trees for g in groups], depth)
         else:
-            current = current.persist()
-            kept.append(older)
-    for frame in [*kept, current]:
-        frame.unpersist()
+            current = _added(current, made, depth)
+        current.persist(StorageLevel.MEMORY_AND_DISK)
+    for state_ in (older, current):
+        if state_ is not None:
+            state_.unpersist()
     return models
 
 
@@ -425,20 +442,7 @@ class ForestModel:
     trees: list[Tree] = field(default_factory=list)
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        cuts, trees, depth = [np.array(c) for c in self.cuts], self.trees, len(self.trees[0].features).bit_length() - 1
-
-        @pandas_udf(T.LongType())
-        def total(values: pd.Series) -> pd.Series:
-            x = np.array(values.tolist(), float).reshape(len(values), len(cuts))
-            bins = np.stack([np.searchsorted(c, x[:, i], side="left") for i, c in enumerate(cuts)]) if cuts else np.zeros((0, len(x)), int)
-            made = np.zeros(len(x), np.int64)
-            for tree in trees:
-                made += np.array(tree.leaves)[_reached(bins, tree, depth).astype(np.int64) - (1 << depth)]
-            return pd.Series(made)
-
-        values = [F.coalesce(finite(F.col(c).cast("double")), F.lit(m)) for c, m in zip(self.features, self.means, strict=True)]
-        sum_ = total(F.array(*values).cast("array<double>"))
-        return df.withColumn(out, sum_ / F.lit(len(trees) * self.scale))
+        return df.withColumn(out, _tree_sums(self, df) / F.lit(len(self.trees) * self.scale))
 
 
 def fit_forest_sets(

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from pitval.operators import models as md
 from pitval.operators import quantiles, trees
@@ -92,6 +93,17 @@ def test_the_placement_of_rows_does_not_show(spark, rows, monkeypatch):
     assert md.fit_boosted_trees(df.repartition(7), ["a", "b", "c"], trees=5).trees == whole.trees
 
 
+def test_a_pass_of_boosting_plans_no_query(spark, rows, monkeypatch):
+    """Also where the sums of many tasks meet in steps; the trees are the same."""
+    df, calls = frame(spark, rows), []
+    whole = md.fit_boosted_trees(df.coalesce(1), ["a", "b", "c"], trees=4)
+    planned = DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, *a, **k: calls.append(1) or planned(self, *a, **k))
+    monkeypatch.setattr(trees, "SENT_AT_ONCE", 1)
+    made = md.fit_boosted_trees(df.repartition(7), ["a", "b", "c"], trees=4)
+    assert len(calls) == 1 and made.trees == whole.trees
+
+
 def test_groups_are_fitted_as_if_alone(spark, rows):
     df = frame(spark, rows).withColumn("role", F.when(F.col("i") % 3 == 0, "x").otherwise("y"))
     both = trees.fit_boosted_sets(df, {"x": ["a", "b"], "y": ["c", "b"]}, by="role", trees=3)
