@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from pitval import schemas
 from pitval.operators.pairs import PAIR_COLUMNS
@@ -341,3 +342,25 @@ def test_the_whole_chain(spark, store, tmp_path):
     assert recommend.backtest(store, "2026-02-01").count() == 0
     for_group = recommend.recommend(store, group="NYM").collect()
     assert for_group and all(p.group_code_a == "NYM" for p in for_group)
+
+
+def test_row_ids_are_not_broadcast(spark, store, monkeypatch):
+    """A table's ids may be many however small its files are: neither side of their joins goes to the driver."""
+    store.replace_for_date("registry", spark.createDataFrame([(1, "Ada", "Quill")], NAMES), D1)
+    store.replace_for_date("outcomes", spark.createDataFrame([(1, 2026, "OAK")], "entity_id long, period int, group_code string"), D1)
+    overrides = spark.createDataFrame([], "player_name string, group_code string, entity_id long, seq int")
+    plans, join = [], DataFrame.join
+
+    def joined(self, other, on=None, how=None):
+        made = join(self, other, on, how)
+        if isinstance(on, str | list) and "feed_id" in on:
+            plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(DataFrame, "join", joined)
+    for ids in ((1, 2), (2, 3)):
+        store.replace_for_date("feed", spark.createDataFrame([(i, 2026, "bat", "Ada Quill", "OAK", "SS") for i in ids], FEED_ROWS), D1)
+        resolution.resolve_all(store, overrides, 2026)
+    assert sorted(r["feed_id"] for r in store.read("resolutions").collect()) == [2, 3]
+    # Rows of the feed's folder stand on either side of these joins.
+    assert len(plans) == 8 and not any("BroadcastHashJoin" in p for p in plans)
